@@ -34,6 +34,8 @@ LEDGER_SCHEMA = T.StructType(
         T.StructField("route", T.StringType()),
         T.StructField("deliverable", T.BooleanType()),
         T.StructField("content_length", T.IntegerType()),
+        T.StructField("sent", T.BooleanType()),
+        # response status; 0 when nothing was sent (undeliverable payload)
         T.StructField("status_code", T.IntegerType()),
     ]
 )
@@ -123,7 +125,7 @@ def _sender(transport):
                     pdf["url"], pdf["body"], pdf["deliverable"], pdf["content_length"]
                 ):
                     if not ok:
-                        codes.append(None)
+                        codes.append(0)
                         continue
                     data = body.encode("utf-8")
                     headers = {
@@ -131,8 +133,9 @@ def _sender(transport):
                         "Content-Length": str(len(data)),
                     }
                     codes.append(int(transport.send(url, data, headers)))
-                out = pdf[[f.name for f in LEDGER_SCHEMA.fields if f.name != "status_code"]].copy()
-                out["status_code"] = pd.array(codes, dtype="Int32")
+                out = pdf[[f.name for f in LEDGER_SCHEMA.fields[:6]]].copy()
+                out["sent"] = pdf["deliverable"].astype(bool)
+                out["status_code"] = pd.array(codes, dtype="int32")
                 yield out
         finally:
             transport.close()
@@ -157,7 +160,9 @@ def deliver(
         ledger_path = f"{checkpoint_dir(spark).rstrip('/')}/ledger-{uuid.uuid4().hex}"
     rows = payload_wire_rows(batch_df, schema, cfg)
     if skip_delivered is not None:
-        done = skip_delivered.where(F.col("status_code").between(200, 299)).select("payload_id")
+        done = skip_delivered.where(
+            F.col("sent") & F.col("status_code").between(200, 299)
+        ).select("payload_id")
         rows = rows.join(done, "payload_id", "left_anti")
     sent = (
         rows.repartition(cfg.send_partitions, "batch_id")
@@ -169,7 +174,7 @@ def deliver(
 
 
 def status_rollup(ledger: DataFrame) -> DataFrame:
-    return ledger.groupBy("route", "deliverable", "status_code").agg(
+    return ledger.groupBy("route", "sent", "status_code").agg(
         F.count(F.lit(1)).alias("n_payloads"),
         F.sum("content_length").cast("long").alias("bytes"),
     )
