@@ -14,8 +14,8 @@ def batch_size_check(batch_df: DataFrame) -> DataFrame:
     return sized.groupBy("app_id").agg(
         F.count(F.lit(1)).alias("n_batches"),
         F.sum("size").cast("long").alias("n_payloads"),
-        F.min("size").alias("min_batch"),
-        F.max("size").alias("max_batch"),
+        F.min("size").cast("long").alias("min_batch"),
+        F.max("size").cast("long").alias("max_batch"),
     )
 
 

@@ -13,10 +13,12 @@ previous ledger already records as delivered.
 
 from __future__ import annotations
 
+import sys
 import uuid
 from typing import Iterator, Protocol
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -156,6 +158,10 @@ def deliver(
     and return the ledger as read back from storage."""
     spark = batch_df.sparkSession
     transport = transport or DryRunTransport()
+    # the sender closure and transports travel by value, so executors need
+    # no copy of this package for the send itself (ship it with --py-files
+    # for everything else)
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     if ledger_path is None:
         ledger_path = f"{checkpoint_dir(spark).rstrip('/')}/ledger-{uuid.uuid4().hex}"
     rows = payload_wire_rows(batch_df, schema, cfg)

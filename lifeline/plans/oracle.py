@@ -212,9 +212,10 @@ state_proj AS (
   FROM state_ident),
 payload_state AS (
   SELECT app_id, hashed_user_id AS user_id,
-    to_json({{'URL': mp_url, 'app_id': app_id, 'client_id': client_id, 'user_id': hashed_user_id,
-              'user_properties': {{{props}}}, 'events': {state_event}}}) AS payload_json,
-    to_json({{'user_id': hashed_user_id, 'user_properties': {{{props}}}, 'events': {state_event}}}) AS rest_json,
+    CAST(to_json({{'URL': mp_url, 'app_id': app_id, 'client_id': client_id, 'user_id': hashed_user_id,
+              'user_properties': {{{props}}}, 'events': {state_event}}}) AS VARCHAR) AS payload_json,
+    CAST(to_json({{'user_id': hashed_user_id, 'user_properties': {{{props}}}, 'events': {state_event}}}) AS VARCHAR)
+      AS rest_json,
     client_id, mp_url
   FROM state_proj),
 day_events AS (
@@ -249,9 +250,10 @@ ev_lists AS (
   FROM ev_numbered GROUP BY ALL),
 payload_events AS (
   SELECT app_id, user_id, split, chunk, CAST(len(events) AS BIGINT) AS n_events,
-    replace(to_json({{'URL': mp_url, 'app_id': app_id, 'client_id': client_id, 'user_id': user_id, 'events': events}}),
+    replace(CAST(to_json({{'URL': mp_url, 'app_id': app_id, 'client_id': client_id, 'user_id': user_id,
+                           'events': events}}) AS VARCHAR),
             '"client_id":null,', '') AS payload_json,
-    to_json({{'user_id': user_id, 'events': events}}) AS rest_json,
+    CAST(to_json({{'user_id': user_id, 'events': events}}) AS VARCHAR) AS rest_json,
     client_id, mp_url
   FROM ev_lists),
 bucketed_state AS (
@@ -286,8 +288,8 @@ def wire_sql(source: str, cfg: SyncConfig) -> str:
     inner = "substr(rest_json, 2, length(rest_json) - 2)"
     body = f"""CASE
         WHEN client_id IS NULL THEN rest_json
-        WHEN {mobile} THEN '{{' || {inner} || ',\"app_instance_id\":' || to_json(client_id) || '}}'
-        ELSE '{{\"client_id\":' || to_json(client_id) || ',' || {inner} || '}}' END"""
+        WHEN {mobile} THEN '{{' || {inner} || ',\"app_instance_id\":' || CAST(to_json(client_id) AS VARCHAR) || '}}'
+        ELSE '{{\"client_id\":' || CAST(to_json(client_id) AS VARCHAR) || ',' || {inner} || '}}' END"""
     rs = route_sql(cfg)
     return f"""wire_{source} AS (
   SELECT w.*, {_hash_free("w.batch_id", "w.body")} AS payload_id,

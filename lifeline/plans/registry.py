@@ -307,7 +307,7 @@ FROM wire_state"""
         "events_of_day_sorted": f"""{W} SELECT user_id, event_custom_type, date_of_change, client_id, app_id, mp_url,
             subscription_id, offer_type FROM events_ident ORDER BY user_id DESC""",
         "user_events_window": f"""{W} SELECT user_id, split, chunk, CAST(len(events) AS BIGINT) AS n_events,
-            to_json(events) AS events_json FROM ev_lists""",
+            CAST(to_json(events) AS VARCHAR) AS events_json FROM ev_lists""",
         "payload_state": f"{W} SELECT app_id, user_id, payload_json FROM payload_state",
         "payload_events": f"{W} SELECT app_id, user_id, split, chunk, n_events, payload_json FROM payload_events",
         "wire_body": f"{W}, {wire_state} SELECT app_id, user_id, url, body, content_length, deliverable FROM wire_state",
