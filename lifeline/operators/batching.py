@@ -13,6 +13,7 @@ as ``ntile(N) OVER (PARTITION BY app ORDER BY key)``.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -57,25 +58,31 @@ def distributed_ntile(
     within the group), with N = bucket_count(total rows, target).
 
     Runs on range partitions, so a group holding most rows is spread over
-    many tasks.  The numbered frame is checkpointed to the shared folder:
-    partition ids and row sequence must not change between the count pass
-    and the numbering pass, even if executors are lost.
+    many tasks.  The input is persisted first, so the range-bound sampling
+    and the range shuffle compute the upstream plan once.  The numbered
+    frame is checkpointed to the shared folder: partition ids and row
+    sequence must not change between the count pass and the numbering pass,
+    even if executors are lost.  The per-(partition, group) offsets table is
+    only persisted: it is recomputed exactly from that checkpoint.
     """
     spark = df.sparkSession
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [group_col, *order_cols]
+    source = df.persist(StorageLevel.MEMORY_AND_DISK)
     ranged = (
-        df.repartitionByRange(parts, *[F.col(k).asc_nulls_first() for k in keys])
+        source.repartitionByRange(parts, *[F.col(k).asc_nulls_first() for k in keys])
         .sortWithinPartitions(*[F.col(k).asc_nulls_first() for k in keys])
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_seq", F.monotonically_increasing_id())
     )
     ranged = reliable_checkpoint(ranged)
+    source.unpersist()
 
     counts = ranged.groupBy(group_col, "_pid").agg(
         F.count(F.lit(1)).alias("_cnt"), F.min("_seq").alias("_seq0")
     )
-    # counts has at most (range partitions + groups) rows
+    # counts has at most (range partitions + groups - 1) rows: each group
+    # covers a contiguous run of range partitions
     before = Window.partitionBy(group_col).orderBy("_pid")
     offsets = counts.select(
         group_col,
@@ -84,8 +91,7 @@ def distributed_ntile(
         (F.sum("_cnt").over(before) - F.col("_cnt")).alias("_before"),
         F.sum("_cnt").over(Window.partitionBy(group_col)).alias("n_group"),
         bucket_count(F.sum("_cnt").over(Window.partitionBy()), target).alias("n_buckets"),
-    )
-    offsets = reliable_checkpoint(offsets)
+    ).persist(StorageLevel.MEMORY_AND_DISK)
     if offsets.count() <= OFFSETS_BROADCAST_MAX:
         offsets = F.broadcast(offsets)
     i = F.col("_before") + F.col("_seq") - F.col("_seq0")

@@ -103,7 +103,19 @@ def _content_hash(*cols: Column) -> Column:
     return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
 
 
-def chunk_user_events(rows: DataFrame, cfg: SyncConfig) -> DataFrame:
+def hot_users(rows: DataFrame, cfg: SyncConfig) -> DataFrame:
+    """Users with more than ``cfg.payload_split_rows`` rows, and how many
+    sub-groups their rows are salted over.  At most
+    rows / payload_split_rows users can qualify."""
+    counts = rows.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n"))
+    return counts.where(F.col("_n") > cfg.payload_split_rows).select(
+        "user_id", F.ceil(F.col("_n") / cfg.payload_split_rows).cast("long").alias("_splits")
+    )
+
+
+def chunk_user_events(
+    rows: DataFrame, cfg: SyncConfig, hot: DataFrame | None = None
+) -> DataFrame:
     """Number each user's events and cut them into chunks of at most
     ``cfg.max_events_per_payload`` (``_split``, ``_chunk``, ``_rn``).
 
@@ -111,12 +123,10 @@ def chunk_user_events(rows: DataFrame, cfg: SyncConfig) -> DataFrame:
     rows are spread over ceil(n / split_rows) sub-groups by a content hash,
     so no numbering window holds more than about ``split_rows`` rows.  Only
     the (few) hot users travel to the rows, as a broadcast whose row count
-    is checked first; any user not in it has one sub-group.
+    is checked first; any user not in it has one sub-group.  ``hot`` may be
+    computed upstream on a cheaper frame with the same per-user row counts.
     """
-    counts = rows.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n"))
-    hot = counts.where(F.col("_n") > cfg.payload_split_rows).select(
-        "user_id", F.ceil(F.col("_n") / cfg.payload_split_rows).cast("long").alias("_splits")
-    )
+    hot = hot_users(rows, cfg) if hot is None else hot
     hot_side = F.broadcast(hot) if hot.count() <= cfg.hot_user_broadcast_max else hot
     salted = rows.join(hot_side, "user_id", "left").withColumn(
         "_split",
@@ -143,9 +153,11 @@ def chunk_user_events(rows: DataFrame, cfg: SyncConfig) -> DataFrame:
     )
 
 
-def user_event_lists(rows: DataFrame, cfg: SyncConfig) -> DataFrame:
+def user_event_lists(
+    rows: DataFrame, cfg: SyncConfig, hot: DataFrame | None = None
+) -> DataFrame:
     """Per (user, sub-group, chunk) the ordered list of event structs."""
-    chunked = chunk_user_events(rows, cfg)
+    chunked = chunk_user_events(rows, cfg, hot)
     event = F.struct(
         F.col("event_custom_type").alias("name"),
         F.struct(
@@ -163,9 +175,11 @@ def user_event_lists(rows: DataFrame, cfg: SyncConfig) -> DataFrame:
     )
 
 
-def event_payloads(rows: DataFrame, cfg: SyncConfig) -> DataFrame:
+def event_payloads(
+    rows: DataFrame, cfg: SyncConfig, hot: DataFrame | None = None
+) -> DataFrame:
     """One payload per (user, chunk) listing that chunk's events."""
-    lists = user_event_lists(rows, cfg)
+    lists = user_event_lists(rows, cfg, hot)
     payload = F.struct(
         F.col("mp_url").alias("URL"),
         F.col("app_id"),

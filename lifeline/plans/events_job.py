@@ -63,8 +63,23 @@ def event_rows(inputs: Inputs, cfg: SyncConfig) -> DataFrame:
     return events_with_identity(inputs, cfg).select(*EVENT_ROW_COLUMNS)
 
 
+def hot_day_users(inputs: Inputs, cfg: SyncConfig) -> DataFrame:
+    """Hot users counted on the day's events, before the identity join: the
+    join keeps or drops whole users, so the counts are the same, and the
+    count check does not re-run the identity aggregate."""
+    return payload.hot_users(day_events(inputs, cfg), cfg)
+
+
+def event_lists(inputs: Inputs, cfg: SyncConfig) -> DataFrame:
+    return payload.user_event_lists(
+        events_with_identity(inputs, cfg), cfg, hot_day_users(inputs, cfg)
+    )
+
+
 def event_payloads(inputs: Inputs, cfg: SyncConfig) -> DataFrame:
-    return payload.event_payloads(events_with_identity(inputs, cfg), cfg)
+    return payload.event_payloads(
+        events_with_identity(inputs, cfg), cfg, hot_day_users(inputs, cfg)
+    )
 
 
 def event_bucketed(inputs: Inputs, cfg: SyncConfig) -> DataFrame:

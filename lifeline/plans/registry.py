@@ -136,8 +136,7 @@ def q_events_of_day_sorted(spark, sf_dir):
 
 
 def q_user_events_window(spark, sf_dir):
-    rows = events_job.events_with_identity(_inputs(spark, sf_dir), CFG)
-    lists = payload.user_event_lists(rows, CFG)
+    lists = events_job.event_lists(_inputs(spark, sf_dir), CFG)
     return lists.select(
         "user_id",
         F.col("_split").alias("split"),
