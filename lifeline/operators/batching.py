@@ -52,6 +52,7 @@ def distributed_ntile(
     order_cols: list[str],
     target: int,
     partitions: int | None = None,
+    rows_per_partition: int = 500_000,
 ) -> DataFrame:
     """``df`` plus ``bucket`` (and ``n_buckets``, ``n_group``): ntile over
     ``group_col`` ordered by ``order_cols`` (which must make a total order
@@ -65,10 +66,13 @@ def distributed_ntile(
     even if executors are lost.  The per-(partition, group) offsets table is
     only persisted: it is recomputed exactly from that checkpoint.
     """
-    spark = df.sparkSession
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [group_col, *order_cols]
     source = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if partitions is None:
+        # size range partitions by rows; this count also fills the cache
+        # that the bound sampling and the shuffle then read
+        partitions = max(1, -(-source.count() // rows_per_partition))
+    parts = partitions
     ranged = (
         source.repartitionByRange(parts, *[F.col(k).asc_nulls_first() for k in keys])
         .sortWithinPartitions(*[F.col(k).asc_nulls_first() for k in keys])
@@ -119,6 +123,7 @@ def assign_buckets(payloads: DataFrame, cfg: SyncConfig) -> DataFrame:
         ["user_id", "payload_json"],
         cfg.target_batch_size,
         cfg.bucket_partitions,
+        cfg.rows_per_range_partition,
     )
 
 

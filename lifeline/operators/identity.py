@@ -4,19 +4,76 @@ For each hashed analytics user: the first non-null client (pseudo) id and
 the app id of the very first event (a null there falls back to the default
 app id).  "First" is by (event_timestamp, event_id), the id breaking ties.
 
-Computed as one grouped aggregate with ``min_by``: partial aggregation
-folds every user's events map-side, so a user owning a third of all events
-still reaches the shuffle as one row per map task.  Joining this one row per
-user to the subscription side afterwards replaces window functions over
-the join product.
+The per-user state is two structs, the smallest
+``(event_timestamp, event_id, value)`` over the user's events (for the
+client id: over events that have one).  A minimum of structs is a plain
+grouped aggregate:
+
+* partial aggregation folds every user's events map-side, so a user owning
+  a third of all events reaches the shuffle as one row per map task;
+* states of disjoint shard ranges merge exactly (minimum of minima), so the
+  whole-history identity can be kept as a table of one row per user and
+  updated with only the new shards (``fold_shards``) instead of rescanning
+  the history every day.
+
+Joining this one row per user to the subscription side replaces window
+functions over the join product.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lifeline.config import SyncConfig
+from lifeline.sources.shards import ShardedEvents
+
+
+def _first(value) -> F.Column:
+    return F.struct(
+        F.col("event_timestamp").alias("ts"), F.col("event_id").alias("event_id"), value.alias("value")
+    )
+
+
+def first_touch_state(analytics: DataFrame) -> DataFrame:
+    """``user_id``, ``first_client`` and ``first_app`` structs (mergeable)."""
+    pseudo = F.col("user_pseudo_id")
+    return analytics.groupBy("user_id").agg(
+        F.min(F.when(pseudo.isNotNull(), _first(pseudo))).alias("first_client"),
+        F.min(_first(F.col("app_info.firebase_app_id"))).alias("first_app"),
+    )
+
+
+def merge_first_touch(*states: DataFrame) -> DataFrame:
+    """Exact merge of states built from disjoint (or overlapping) events."""
+    union = reduce(lambda a, b: a.unionByName(b), states)
+    return union.groupBy("user_id").agg(
+        F.min("first_client").alias("first_client"), F.min("first_app").alias("first_app")
+    )
+
+
+def finalize_first_touch(state: DataFrame, cfg: SyncConfig) -> DataFrame:
+    """``user_id`` (hashed), ``client_id`` (may be null), ``app_id``."""
+    return state.select(
+        "user_id",
+        F.col("first_client.value").alias("client_id"),
+        F.coalesce(F.col("first_app.value"), F.lit(cfg.default_app_id)).alias("app_id"),
+    )
+
+
+def restrict_to_keys(df: DataFrame, keys: DataFrame | None, cfg: SyncConfig) -> DataFrame:
+    """Semi-join ``df`` to the ``user_id`` key set when its counted size is
+    within ``cfg.identity_broadcast_max_keys`` (broadcast, no shuffle of
+    ``df``); above that bound ``df`` is returned as is and the inner join
+    after the aggregate does the restriction."""
+    if keys is None:
+        return df
+    keys = keys.select("user_id").distinct()
+    if keys.count() <= cfg.identity_broadcast_max_keys:
+        return df.join(F.broadcast(keys), "user_id", "left_semi")
+    return df
 
 
 def first_touch(
@@ -24,31 +81,25 @@ def first_touch(
     cfg: SyncConfig,
     keys: DataFrame | None = None,
 ) -> DataFrame:
-    """``user_id`` (hashed), ``client_id`` (may be null), ``app_id``.
-
-    ``keys``: optional one-column (``user_id``) frame of the users that will
-    be looked up.  When its row count is within
-    ``cfg.identity_broadcast_max_keys`` it is broadcast as a semi-join
-    filter ahead of the aggregate (no shuffle of the events, only matching
-    users aggregated); above that bound the filter is skipped and the inner
-    join after the aggregate does the restriction.
-    """
-    ev = analytics.select(
-        "user_id",
-        "user_pseudo_id",
-        F.col("app_info.firebase_app_id").alias("first_app"),
-        "event_timestamp",
-        "event_id",
-    )
-    if keys is not None:
-        keys = keys.select("user_id").distinct()
-        if keys.count() <= cfg.identity_broadcast_max_keys:
-            ev = ev.join(F.broadcast(keys), "user_id", "left_semi")
-    order = F.struct("event_timestamp", "event_id")
-    first_client = F.min_by(
-        "user_pseudo_id", F.when(F.col("user_pseudo_id").isNotNull(), order)
-    )
-    return ev.groupBy("user_id").agg(
-        first_client.alias("client_id"),
-        F.coalesce(F.min_by("first_app", order), F.lit(cfg.default_app_id)).alias("app_id"),
-    )
+    """First-touch identity over ``analytics``, optionally only for ``keys``
+    (see ``restrict_to_keys``)."""
+    return finalize_first_touch(first_touch_state(restrict_to_keys(analytics, keys, cfg)), cfg)
+
+
+def fold_shards(
+    state: DataFrame | None,
+    analytics: ShardedEvents,
+    after: str | None,
+    through: str,
+) -> DataFrame:
+    """Identity state through shard ``through``: ``state`` (covering shards
+    up to ``after``) merged with the shards after ``after``.  With no prior
+    state, all shards up to ``through``."""
+    fresh = first_touch_state(analytics.between(after, through, low_inclusive=False))
+    return fresh if state is None else merge_first_touch(state, fresh)
+
+
+def write_state(state: DataFrame, path: str) -> None:
+    """Store an identity state (one row per user) as a new table version;
+    the next run reads it back with ``spark.read.parquet(path)``."""
+    state.write.mode("errorifexists").parquet(path)

@@ -15,8 +15,14 @@ from lifeline.functions.names import event_custom_type
 from lifeline.functions.routing import route_columns
 from lifeline.operators import batching, payload
 from lifeline.operators.events import events_of_day
-from lifeline.operators.identity import first_touch
+from lifeline.operators.identity import (
+    finalize_first_touch,
+    first_touch,
+    fold_shards,
+    restrict_to_keys,
+)
 from lifeline.sources.inputs import Inputs
+from lifeline.sources.shards import ShardedEvents
 
 EVENT_ROW_COLUMNS = (
     "user_id",
@@ -34,17 +40,42 @@ def day_events(inputs: Inputs, cfg: SyncConfig) -> DataFrame:
     return events_of_day(inputs.subscription_events, cfg)
 
 
-def events_with_identity(inputs: Inputs, cfg: SyncConfig) -> DataFrame:
+def day_identity(
+    inputs: Inputs,
+    cfg: SyncConfig,
+    keys: DataFrame,
+    identity_state: DataFrame | None = None,
+    state_through: str | None = None,
+) -> DataFrame:
+    """First-touch identity of ``keys``.  Without a stored state, over the
+    configured shard scope (all history by default).  With
+    ``identity_state`` covering shards through ``state_through``, only the
+    later shards are read and merged into it (same result)."""
+    if identity_state is None:
+        return first_touch(inputs.analytics.scope(cfg.events_shard_range), cfg, keys=keys)
+    if cfg.events_shard_range is not None:
+        raise ValueError("a stored identity state covers all history")
+    state = restrict_to_keys(identity_state, keys, cfg)
+    fresh = restrict_to_keys(
+        inputs.analytics.between(state_through, None, low_inclusive=False), keys, cfg
+    )
+    return finalize_first_touch(fold_shards(state, ShardedEvents(fresh), None, None), cfg)
+
+
+def events_with_identity(
+    inputs: Inputs,
+    cfg: SyncConfig,
+    identity_state: DataFrame | None = None,
+    state_through: str | None = None,
+) -> DataFrame:
     """Day events of users known to analytics, named and routed; keeps the
     raw ``event_type`` (the payload order uses it as the last tie-break).
 
     Only the day's users are looked up: their key set is broadcast ahead of
-    the identity aggregate when its size allows (see ``first_touch``).
+    the identity aggregate when its size allows (see ``restrict_to_keys``).
     """
     day = day_events(inputs, cfg)
-    ident = first_touch(
-        inputs.analytics.scope(cfg.events_shard_range), cfg, keys=day.select("user_id")
-    )
+    ident = day_identity(inputs, cfg, day.select("user_id"), identity_state, state_through)
     r = route_columns(F.col("app_id"), cfg)
     return day.join(ident, "user_id", "inner").select(
         "user_id",

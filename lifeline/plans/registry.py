@@ -99,6 +99,20 @@ def q_identity_first_touch(spark, sf_dir):
     return first_touch(_inputs(spark, sf_dir).analytics.all(), CFG)
 
 
+# identity kept as a state table: shards through this day folded first,
+# the rest merged in afterwards (must equal the whole-history identity)
+STATE_THROUGH = "20240115"
+
+
+def q_identity_first_touch_incremental(spark, sf_dir):
+    from lifeline.operators.identity import finalize_first_touch, fold_shards
+
+    analytics = _inputs(spark, sf_dir).analytics
+    older = fold_shards(None, analytics, None, STATE_THROUGH)
+    latest = fold_shards(older, analytics, STATE_THROUGH, CFG.shard(CFG.today_local))
+    return finalize_first_touch(latest, CFG)
+
+
 def q_route_endpoint(spark, sf_dir):
     ident = first_touch(_inputs(spark, sf_dir).analytics.all(), CFG)
     r = route_columns(F.col("app_id"), CFG)
@@ -239,6 +253,7 @@ QUERIES: dict[str, Query] = {
     "subscription_status": q_subscription_status,
     "hash_user_key": q_hash_user_key,
     "identity_first_touch": q_identity_first_touch,
+    "identity_first_touch_incremental": q_identity_first_touch_incremental,
     "route_endpoint": q_route_endpoint,
     "state_identity_join": q_state_identity_join,
     "state_projection": q_state_projection,
@@ -293,6 +308,7 @@ FROM wire_state"""
         "subscription_status": f"{W} SELECT subscription_status, count(*) AS n_states FROM state GROUP BY 1",
         "hash_user_key": f"{W} SELECT DISTINCT user_id, sha256('{cfg.user_key_prefix}' || user_id) AS hashed_user_id FROM snapshot",
         "identity_first_touch": f"{W} SELECT * FROM ident_all",
+        "identity_first_touch_incremental": f"{W} SELECT * FROM ident_all",
         "route_endpoint": f"""{W} SELECT user_id, app_id, {rs['route']} AS route, {rs['app_secret']} AS app_secret,
             {rs['endpoint']} AS endpoint, {rs['mp_url']} AS mp_url FROM ident_all""",
         "state_identity_join": f"{W} SELECT * FROM state_ident",

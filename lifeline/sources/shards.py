@@ -39,18 +39,26 @@ class ShardedEvents:
     def all(self) -> DataFrame:
         return self.df
 
-    def between(self, lo: str, hi: str) -> DataFrame:
-        """Shards ``lo`` ..= ``hi`` (both ``yyyyMMdd``)."""
-        cond = F.col("suffix").between(F.lit(lo), F.lit(hi))
+    def between(
+        self, lo: str | None, hi: str | None, low_inclusive: bool = True
+    ) -> DataFrame:
+        """Shards from ``lo`` (inclusive unless ``low_inclusive`` is false)
+        through ``hi``, both ``yyyyMMdd``; ``None`` leaves a side open."""
+        sfx = F.col("suffix")
+        cond = F.lit(True)
+        if lo is not None:
+            cond = cond & ((sfx >= F.lit(lo)) if low_inclusive else (sfx > F.lit(lo)))
+        if hi is not None:
+            cond = cond & (sfx <= F.lit(hi))
         if self.derived_from is not None:
-            start = dt.datetime.combine(_day(lo), dt.time())
-            end = dt.datetime.combine(_day(hi) + dt.timedelta(days=1), dt.time())
             ts = F.col(self.derived_from)
-            cond = (
-                (ts >= F.lit(start.isoformat(" ")).cast("timestamp_ntz"))
-                & (ts < F.lit(end.isoformat(" ")).cast("timestamp_ntz"))
-                & cond
-            )
+            if lo is not None:
+                first = _day(lo) + (dt.timedelta(0) if low_inclusive else dt.timedelta(days=1))
+                start = dt.datetime.combine(first, dt.time())
+                cond = (ts >= F.lit(start.isoformat(" ")).cast("timestamp_ntz")) & cond
+            if hi is not None:
+                end = dt.datetime.combine(_day(hi) + dt.timedelta(days=1), dt.time())
+                cond = (ts < F.lit(end.isoformat(" ")).cast("timestamp_ntz")) & cond
         return self.df.where(cond)
 
     def scope(self, shard_range: tuple[str, str] | None) -> DataFrame:

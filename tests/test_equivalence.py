@@ -70,3 +70,29 @@ def test_bucket_count_half_even(spark):
         got = spark.createDataFrame([(n,)], "n long").select(
             batching.bucket_count(F.col("n"), 10).alias("b")).first().b
         assert got == max(1, round(n / 10)), n
+
+
+def test_identity_state_folds_exactly(spark, tmp_path):
+    from lifeline.operators.identity import (
+        finalize_first_touch, first_touch_state, fold_shards, write_state)
+
+    analytics = load_testdata(spark, SF_MID).analytics
+    s1 = fold_shards(None, analytics, None, "20240110")
+    write_state(s1, str(tmp_path / "state1"))
+    s1 = spark.read.parquet(str(tmp_path / "state1"))
+    s2 = fold_shards(s1, analytics, "20240110", "20240120")
+    s3 = fold_shards(s2, analytics, "20240120", "20240131")
+    whole = first_touch_state(analytics.all())
+    assert same(s3, whole)
+    assert same(finalize_first_touch(s3, CFG), first_touch(analytics.all(), CFG))
+
+
+def test_event_job_with_stored_state(spark, tmp_path):
+    from lifeline.operators.identity import fold_shards, write_state
+    from lifeline.plans import events_job
+
+    inp = load_testdata(spark, SF_MID)
+    write_state(fold_shards(None, inp.analytics, None, "20240120"), str(tmp_path / "s"))
+    state = spark.read.parquet(str(tmp_path / "s"))
+    got = events_job.events_with_identity(inp, CFG, identity_state=state, state_through="20240120")
+    assert same(got, events_job.events_with_identity(inp, CFG))
