@@ -95,8 +95,10 @@ class SyncConfig:
     payload_split_rows: int = 100_000
     # largest hot-user list broadcast to the event rows
     hot_user_broadcast_max: int = 1_000_000
-    # range partitions used by the distributed ntile; None = one per
-    # rows_per_range_partition payloads (payloads are ~0.5-1 KB of JSON)
+    # batching: an app with at most rows_per_range_partition payloads is
+    # numbered in one task (plain ntile window); bigger inputs use that many
+    # rows per range partition.  bucket_partitions forces the range form
+    # with that many partitions.  Payloads are ~0.5-1 KB of JSON.
     bucket_partitions: int | None = None
     rows_per_range_partition: int = 500_000
 

@@ -33,6 +33,12 @@ def bucket_count(n: Column, target: int) -> Column:
     return F.greatest(F.lit(1).cast("long"), q + F.when(up, 1).otherwise(0))
 
 
+def bucket_count_value(n: int, target: int) -> int:
+    """Driver-side twin of ``bucket_count`` (Python's ``round`` is
+    half-even too)."""
+    return max(1, round(n / target))
+
+
 def ntile_of(i: Column, n: Column, b: Column) -> Column:
     """1-based ntile bucket of 0-based row ``i`` among ``n`` rows, ``b``
     buckets: the first n mod b buckets hold one extra row."""
@@ -46,35 +52,58 @@ def ntile_of(i: Column, n: Column, b: Column) -> Column:
     ).cast("int")
 
 
-def distributed_ntile(
+def ntile(
     df: DataFrame,
     group_col: str,
     order_cols: list[str],
     target: int,
     partitions: int | None = None,
     rows_per_partition: int = 500_000,
+) -> DataFrame:
+    """``df`` plus ``bucket``: ntile over ``group_col`` ordered by
+    ``order_cols`` (a total order within the group), with N =
+    bucket_count(total rows, target).
+
+    One pass over the (persisted) input yields the largest group and the
+    total.  When every group is within ``rows_per_partition`` rows, a group
+    fits one task and the plain ``ntile`` window is used; otherwise, or when
+    ``partitions`` is given, ``distributed_ntile``.  Both give the same
+    buckets.
+    """
+    source = df.persist(StorageLevel.MEMORY_AND_DISK)
+    sizes = source.groupBy(group_col).agg(F.count(F.lit(1)).alias("n"))
+    stats = sizes.agg(F.max("n").alias("biggest"), F.sum("n").alias("total")).first()
+    biggest, total = int(stats.biggest or 0), int(stats.total or 0)
+    if partitions is None and biggest <= rows_per_partition:
+        w = Window.partitionBy(group_col).orderBy(*[F.col(k).asc_nulls_first() for k in order_cols])
+        return source.withColumn("bucket", F.ntile(bucket_count_value(total, target)).over(w))
+    parts = partitions or max(1, -(-total // rows_per_partition))
+    return distributed_ntile(source, group_col, order_cols, target, parts)
+
+
+def distributed_ntile(
+    df: DataFrame,
+    group_col: str,
+    order_cols: list[str],
+    target: int,
+    partitions: int,
 ) -> DataFrame:
     """``df`` plus ``bucket`` (and ``n_buckets``, ``n_group``): ntile over
     ``group_col`` ordered by ``order_cols`` (which must make a total order
     within the group), with N = bucket_count(total rows, target).
 
-    Runs on range partitions, so a group holding most rows is spread over
-    many tasks.  The input is persisted first, so the range-bound sampling
-    and the range shuffle compute the upstream plan once.  The numbered
-    frame is checkpointed to the shared folder: partition ids and row
-    sequence must not change between the count pass and the numbering pass,
-    even if executors are lost.  The per-(partition, group) offsets table is
-    only persisted: it is recomputed exactly from that checkpoint.
+    Runs on ``partitions`` range partitions, so a group holding most rows is
+    spread over many tasks.  The input is persisted first, so the range-bound
+    sampling and the range shuffle compute the upstream plan once.  The
+    numbered frame is checkpointed to the shared folder: partition ids and
+    row sequence must not change between the count pass and the numbering
+    pass, even if executors are lost.  The per-(partition, group) offsets
+    table is only persisted: it is recomputed exactly from that checkpoint.
     """
     keys = [group_col, *order_cols]
     source = df.persist(StorageLevel.MEMORY_AND_DISK)
-    if partitions is None:
-        # size range partitions by rows; this count also fills the cache
-        # that the bound sampling and the shuffle then read
-        partitions = max(1, -(-source.count() // rows_per_partition))
-    parts = partitions
     ranged = (
-        source.repartitionByRange(parts, *[F.col(k).asc_nulls_first() for k in keys])
+        source.repartitionByRange(partitions, *[F.col(k).asc_nulls_first() for k in keys])
         .sortWithinPartitions(*[F.col(k).asc_nulls_first() for k in keys])
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_seq", F.monotonically_increasing_id())
@@ -117,7 +146,7 @@ def assign_buckets(payloads: DataFrame, cfg: SyncConfig) -> DataFrame:
     """Payload rows (``app_id``, ``user_id``, ``payload_json``) with their
     bucket; the order inside an app is (user_id, payload_json), a total
     order since payloads are distinct per user."""
-    return distributed_ntile(
+    return ntile(
         payloads,
         "app_id",
         ["user_id", "payload_json"],

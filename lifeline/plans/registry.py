@@ -26,8 +26,16 @@ CFG = SyncConfig()
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+_BOUND: dict[tuple[int, str], Inputs] = {}
+
+
 def _inputs(spark: SparkSession, sf_dir: str) -> Inputs:
-    return load_testdata(spark, sf_dir, CFG)
+    """Bound inputs, built once per (session, folder): lazy DataFrames only,
+    no data is held; saves re-listing files and re-reading footers."""
+    key = (id(spark), sf_dir)
+    if key not in _BOUND or _BOUND[key].snapshot.sparkSession is not spark:
+        _BOUND[key] = load_testdata(spark, sf_dir, CFG)
+    return _BOUND[key]
 
 
 def _long(*names: str) -> dict[str, F.Column]:

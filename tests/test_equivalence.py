@@ -55,6 +55,11 @@ def test_distributed_ntile_equals_window(spark, n_rows, n_groups, target, parts)
         batching.bucket_count(F.col("n"), target).alias("b")).first().b
     want = ntile_window(df, "g", ["k"], int(n)).select("g", "k", "v", "bucket")
     assert same(got, want)
+    # the adaptive entry point, both paths
+    small = batching.ntile(df, "g", ["k"], target, rows_per_partition=n_rows)
+    assert same(small.select("g", "k", "v", "bucket"), want)
+    big = batching.ntile(df, "g", ["k"], target, rows_per_partition=max(1, n_rows // 5))
+    assert same(big.select("g", "k", "v", "bucket"), want)
 
 
 @pytest.mark.parametrize("n,expected", [(0, 1), (14, 1), (15, 1), (43, 1), (44, 2), (58, 2), (73, 3)])
