@@ -140,6 +140,10 @@ def chunk_user_events(
             F.lit(0).cast("long"),
         ),
     )
+    # shuffle on (user, sub-group) explicitly: were the hot list joined
+    # without broadcast, its user-only partitioning would otherwise satisfy
+    # the window and keep a hot user in one task
+    salted = salted.repartition("user_id", "_split")
     w = Window.partitionBy("user_id", "_split").orderBy(
         F.col("event_custom_type").asc_nulls_first(),
         F.col("subscription_id").asc_nulls_first(),
