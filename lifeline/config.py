@@ -73,7 +73,8 @@ class SyncConfig:
     endpoint_base: str = "https://collect.example.invalid/mp"
     default_app_id: str = "G-DEFAULT0000"
     routes: tuple[Route, ...] = field(default=DEFAULT_ROUTES)
-    # hashed user key = sha256 hex of prefix || raw user id
+    # Fixed value: the hashed user key in the analytics tables is the
+    # sha256 hex of this prefix followed by the raw user id.
     user_key_prefix: str = "google|"
     test_user_prefix: str = "dummy"
     snapshot_lookback_days: int = 7
@@ -81,6 +82,7 @@ class SyncConfig:
     state_identity_days: int = 2
     # None = all shards (the event job reads the whole history)
     events_identity_days: int | None = None
+    # Fixed value: name of the one event carried by every state payload.
     state_event_name: str = "update_subs_state_v1"
     target_batch_size: int = 29
     # events of one user are split over payloads of at most this many

@@ -68,7 +68,8 @@ def ntile(
     total.  When every group is within ``rows_per_partition`` rows, a group
     fits one task and the plain ``ntile`` window is used; otherwise, or when
     ``partitions`` is given, ``distributed_ntile``.  Both give the same
-    buckets.
+    buckets.  The result is checkpointed (window path) or built on a
+    checkpoint (range path); the persisted input is released either way.
     """
     source = df.persist(StorageLevel.MEMORY_AND_DISK)
     sizes = source.groupBy(group_col).agg(F.count(F.lit(1)).alias("n"))
@@ -76,9 +77,15 @@ def ntile(
     biggest, total = int(stats.biggest or 0), int(stats.total or 0)
     if partitions is None and biggest <= rows_per_partition:
         w = Window.partitionBy(group_col).orderBy(*[F.col(k).asc_nulls_first() for k in order_cols])
-        return source.withColumn("bucket", F.ntile(bucket_count_value(total, target)).over(w))
+        numbered = source.withColumn("bucket", F.ntile(bucket_count_value(total, target)).over(w))
+        # materialise in the shared folder, then release the cached input
+        out = reliable_checkpoint(numbered)
+        source.unpersist()
+        return out
     parts = partitions or max(1, -(-total // rows_per_partition))
-    return distributed_ntile(source, group_col, order_cols, target, parts)
+    out = distributed_ntile(source, group_col, order_cols, target, parts)
+    source.unpersist()
+    return out
 
 
 def distributed_ntile(
