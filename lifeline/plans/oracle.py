@@ -11,7 +11,6 @@ from __future__ import annotations
 
 from lifeline import config as C
 from lifeline.config import EVENT_NAMES, UNMAPPED_EVENT_NAME, SyncConfig
-from lifeline.operators.batching import OFFSETS_BROADCAST_MAX  # noqa: F401  (doc link)
 from lifeline.operators.state import lookback_start
 from lifeline.sources import bindings as B
 
