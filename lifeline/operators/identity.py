@@ -22,6 +22,7 @@ functions over the join product.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -63,17 +64,23 @@ def finalize_first_touch(state: DataFrame, cfg: SyncConfig) -> DataFrame:
     )
 
 
-def restrict_to_keys(df: DataFrame, keys: DataFrame | None, cfg: SyncConfig) -> DataFrame:
-    """Semi-join ``df`` to the ``user_id`` key set when its counted size is
-    within ``cfg.identity_broadcast_max_keys`` (broadcast, no shuffle of
-    ``df``); above that bound ``df`` is returned as is and the inner join
-    after the aggregate does the restriction."""
+def key_filter(keys: DataFrame | None, cfg: SyncConfig) -> Callable[[DataFrame], DataFrame]:
+    """A filter keeping only rows whose ``user_id`` is in ``keys``: a
+    broadcast semi-join when the key set's counted size is within
+    ``cfg.identity_broadcast_max_keys`` (no shuffle of the filtered frame),
+    else no filter (the inner join after the aggregate restricts).  The key
+    set is counted once, however many frames the filter is applied to."""
     if keys is None:
-        return df
+        return lambda df: df
     keys = keys.select("user_id").distinct()
-    if keys.count() <= cfg.identity_broadcast_max_keys:
-        return df.join(F.broadcast(keys), "user_id", "left_semi")
-    return df
+    if keys.count() > cfg.identity_broadcast_max_keys:
+        return lambda df: df
+    small = F.broadcast(keys)
+    return lambda df: df.join(small, "user_id", "left_semi")
+
+
+def restrict_to_keys(df: DataFrame, keys: DataFrame | None, cfg: SyncConfig) -> DataFrame:
+    return key_filter(keys, cfg)(df)
 
 
 def first_touch(

@@ -19,7 +19,7 @@ from lifeline.operators.identity import (
     finalize_first_touch,
     first_touch,
     fold_shards,
-    restrict_to_keys,
+    key_filter,
 )
 from lifeline.sources.inputs import Inputs
 from lifeline.sources.shards import ShardedEvents
@@ -55,10 +55,9 @@ def day_identity(
         return first_touch(inputs.analytics.scope(cfg.events_shard_range), cfg, keys=keys)
     if cfg.events_shard_range is not None:
         raise ValueError("a stored identity state covers all history")
-    state = restrict_to_keys(identity_state, keys, cfg)
-    fresh = restrict_to_keys(
-        inputs.analytics.between(state_through, None, low_inclusive=False), keys, cfg
-    )
+    only_keys = key_filter(keys, cfg)
+    state = only_keys(identity_state)
+    fresh = only_keys(inputs.analytics.between(state_through, None, low_inclusive=False))
     return finalize_first_touch(fold_shards(state, ShardedEvents(fresh), None, None), cfg)
 
 
