@@ -203,6 +203,15 @@ def q_ntile_buckets(spark, sf_dir):
     return b.select("app_id", "user_id", "payload_json", F.col("bucket").cast("long").alias("bucket"))
 
 
+# range-partitioned ntile forced (8 range partitions), whatever the size
+RANGE_CFG = SyncConfig(bucket_partitions=8)
+
+
+def q_ntile_buckets_scalable(spark, sf_dir):
+    b = state_job.state_bucketed(_inputs(spark, sf_dir), RANGE_CFG)
+    return b.select("app_id", "user_id", "payload_json", F.col("bucket").cast("long").alias("bucket"))
+
+
 def _batches(bucketed: DataFrame) -> DataFrame:
     return batching.batches(bucketed).withColumns(_long("bucket", "n_payloads"))
 
@@ -277,6 +286,7 @@ QUERIES: dict[str, Query] = {
     "wire_body_events": q_wire_body_events,
     "bucket_plan": q_bucket_plan,
     "ntile_buckets": q_ntile_buckets,
+    "ntile_buckets_scalable": q_ntile_buckets_scalable,
     "batch_json_state": q_batch_json_state,
     "batch_json_events": q_batch_json_events,
     "batch_roundtrip": q_batch_roundtrip,
@@ -338,6 +348,7 @@ FROM wire_state"""
         "bucket_plan": f"""{W} SELECT count(*) AS n_payloads,
             greatest(1, CAST(round_even(count(*) / {cfg.target_batch_size}, 0) AS BIGINT)) AS n_buckets FROM payload_state""",
         "ntile_buckets": f"{W} SELECT app_id, user_id, payload_json, bucket FROM bucketed_state",
+        "ntile_buckets_scalable": f"{W} SELECT app_id, user_id, payload_json, bucket FROM bucketed_state",
         "batch_json_state": f"{W} SELECT * FROM batch_state",
         "batch_json_events": f"{W} SELECT * FROM batch_events",
         "batch_roundtrip": f"""{W} SELECT app_id, bucket,
