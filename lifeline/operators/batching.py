@@ -4,11 +4,13 @@ The number of buckets N comes from the total payload count and the target
 batch size (banker's rounding, at least 1); each app's payloads are then
 split into N ntile buckets, and every (app, bucket) becomes one JSON array.
 
-``ntile`` over ``PARTITION BY app_id`` would run each app in one task.  The
-distributed form here range-partitions by (app, order key), numbers rows
-inside each range partition, adds the counts of the preceding partitions of
-the same app, and applies the ntile arithmetic.  It gives the same buckets
-as ``ntile(N) OVER (PARTITION BY app ORDER BY key)``.
+``ntile`` over ``PARTITION BY app_id`` runs each app in one task, which is
+only acceptable while an app's payload count is small: ``ntile`` counts the
+largest app first and uses the window only under that bound.  Beyond it the
+distributed form range-partitions by (app, order key), numbers rows inside
+each range partition, adds the counts of the preceding partitions of the
+same app, and applies the ntile arithmetic.  Both give the same buckets as
+``ntile(N) OVER (PARTITION BY app ORDER BY key)``.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ OFFSETS_BROADCAST_MAX = 2_000_000
 
 
 def bucket_count(n: Column, target: int) -> Column:
-    """max(1, round-half-even(n / target)) in integer arithmetic."""
+    """max(1, round-half-even(n / target)); exact for counts below 2^53."""
     q = F.floor(n / target).cast("long")
     r = n - q * target
     up = (2 * r > target) | ((2 * r == target) & (q % 2 == 1))
