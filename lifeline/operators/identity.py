@@ -64,16 +64,21 @@ def finalize_first_touch(state: DataFrame, cfg: SyncConfig) -> DataFrame:
     )
 
 
-def key_filter(keys: DataFrame | None, cfg: SyncConfig) -> Callable[[DataFrame], DataFrame]:
+def key_filter(
+    keys: DataFrame | None, cfg: SyncConfig, n_keys: int | None = None
+) -> Callable[[DataFrame], DataFrame]:
     """A filter keeping only rows whose ``user_id`` is in ``keys``: a
-    broadcast semi-join when the key set's counted size is within
+    broadcast semi-join when the key set's counted size (``n_keys`` if the
+    caller already counted the distinct keys) is within
     ``cfg.identity_broadcast_max_keys`` (no shuffle of the filtered frame),
     else no filter (the inner join after the aggregate restricts).  The key
     set is counted once, however many frames the filter is applied to."""
     if keys is None:
         return lambda df: df
     keys = keys.select("user_id").distinct()
-    if keys.count() > cfg.identity_broadcast_max_keys:
+    if n_keys is None:
+        n_keys = keys.count()
+    if n_keys > cfg.identity_broadcast_max_keys:
         return lambda df: df
     small = F.broadcast(keys)
     return lambda df: df.join(small, "user_id", "left_semi")
@@ -87,10 +92,12 @@ def first_touch(
     analytics: DataFrame,
     cfg: SyncConfig,
     keys: DataFrame | None = None,
+    n_keys: int | None = None,
 ) -> DataFrame:
     """First-touch identity over ``analytics``, optionally only for ``keys``
-    (see ``restrict_to_keys``)."""
-    return finalize_first_touch(first_touch_state(restrict_to_keys(analytics, keys, cfg)), cfg)
+    (see ``key_filter``)."""
+    only_keys = key_filter(keys, cfg, n_keys)
+    return finalize_first_touch(first_touch_state(only_keys(analytics)), cfg)
 
 
 def fold_shards(

@@ -114,7 +114,7 @@ def hot_users(rows: DataFrame, cfg: SyncConfig) -> DataFrame:
 
 
 def chunk_user_events(
-    rows: DataFrame, cfg: SyncConfig, hot: DataFrame | None = None
+    rows: DataFrame, cfg: SyncConfig, hot: DataFrame | None = None, n_hot: int | None = None
 ) -> DataFrame:
     """Number each user's events and cut them into chunks of at most
     ``cfg.max_events_per_payload`` (``_split``, ``_chunk``, ``_rn``).
@@ -124,10 +124,12 @@ def chunk_user_events(
     so no numbering window holds more than about ``split_rows`` rows.  Only
     the (few) hot users travel to the rows, as a broadcast whose row count
     is checked first; any user not in it has one sub-group.  ``hot`` may be
-    computed upstream on a cheaper frame with the same per-user row counts.
+    computed upstream on a cheaper frame with the same per-user row counts,
+    and ``n_hot`` its row count if already known.
     """
     hot = hot_users(rows, cfg) if hot is None else hot
-    hot_side = F.broadcast(hot) if hot.count() <= cfg.hot_user_broadcast_max else hot
+    n_hot = hot.count() if n_hot is None else n_hot
+    hot_side = F.broadcast(hot) if n_hot <= cfg.hot_user_broadcast_max else hot
     salted = rows.join(hot_side, "user_id", "left").withColumn(
         "_split",
         F.coalesce(
@@ -158,10 +160,10 @@ def chunk_user_events(
 
 
 def user_event_lists(
-    rows: DataFrame, cfg: SyncConfig, hot: DataFrame | None = None
+    rows: DataFrame, cfg: SyncConfig, hot: DataFrame | None = None, n_hot: int | None = None
 ) -> DataFrame:
     """Per (user, sub-group, chunk) the ordered list of event structs."""
-    chunked = chunk_user_events(rows, cfg, hot)
+    chunked = chunk_user_events(rows, cfg, hot, n_hot)
     event = F.struct(
         F.col("event_custom_type").alias("name"),
         F.struct(
@@ -180,10 +182,10 @@ def user_event_lists(
 
 
 def event_payloads(
-    rows: DataFrame, cfg: SyncConfig, hot: DataFrame | None = None
+    rows: DataFrame, cfg: SyncConfig, hot: DataFrame | None = None, n_hot: int | None = None
 ) -> DataFrame:
     """One payload per (user, chunk) listing that chunk's events."""
-    lists = user_event_lists(rows, cfg, hot)
+    lists = user_event_lists(rows, cfg, hot, n_hot)
     payload = F.struct(
         F.col("mp_url").alias("URL"),
         F.col("app_id"),

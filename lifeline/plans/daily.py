@@ -80,10 +80,7 @@ def run_events_sync(
             fold_shards(state, inputs.analytics, state_through, through), new_identity_state_path
         )
         state, state_through = spark.read.parquet(new_identity_state_path), through
-    rows = events_job.events_with_identity(
-        inputs, cfg, identity_state=state, state_through=state_through
-    )
-    payloads = payload.event_payloads(rows, cfg, events_job.hot_day_users(inputs, cfg))
+    payloads = events_job.event_payloads(inputs, cfg, state, state_through)
     batches = batching.batches(batching.assign_buckets(payloads, cfg))
     return _ship(spark, batches, payload.EVENT_PAYLOAD_SCHEMA, cfg, out_dir, "events", transport)
 

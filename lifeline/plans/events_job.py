@@ -7,6 +7,8 @@ payloads of at most ``max_events_per_payload`` events per user -> batches.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,22 +42,44 @@ def day_events(inputs: Inputs, cfg: SyncConfig) -> DataFrame:
     return events_of_day(inputs.subscription_events, cfg)
 
 
+@dataclass(frozen=True)
+class DayStats:
+    """Sizes of the day, from one aggregation over per-user row counts:
+    distinct users (the identity key set) and users above the salting
+    threshold (the hot list)."""
+
+    n_users: int
+    n_hot: int
+
+
+def day_stats(inputs: Inputs, cfg: SyncConfig) -> DayStats:
+    per_user = day_events(inputs, cfg).groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    r = per_user.agg(
+        F.count(F.lit(1)).alias("users"),
+        F.count_if(F.col("n") > cfg.payload_split_rows).alias("hot"),
+    ).first()
+    return DayStats(int(r.users), int(r.hot or 0))
+
+
 def day_identity(
     inputs: Inputs,
     cfg: SyncConfig,
     keys: DataFrame,
     identity_state: DataFrame | None = None,
     state_through: str | None = None,
+    n_keys: int | None = None,
 ) -> DataFrame:
     """First-touch identity of ``keys``.  Without a stored state, over the
     configured shard scope (all history by default).  With
     ``identity_state`` covering shards through ``state_through``, only the
     later shards are read and merged into it (same result)."""
     if identity_state is None:
-        return first_touch(inputs.analytics.scope(cfg.events_shard_range), cfg, keys=keys)
+        return first_touch(
+            inputs.analytics.scope(cfg.events_shard_range), cfg, keys=keys, n_keys=n_keys
+        )
     if cfg.events_shard_range is not None:
         raise ValueError("a stored identity state covers all history")
-    only_keys = key_filter(keys, cfg)
+    only_keys = key_filter(keys, cfg, n_keys)
     state = only_keys(identity_state)
     fresh = only_keys(inputs.analytics.between(state_through, None, low_inclusive=False))
     return finalize_first_touch(fold_shards(state, ShardedEvents(fresh), None, None), cfg)
@@ -66,6 +90,7 @@ def events_with_identity(
     cfg: SyncConfig,
     identity_state: DataFrame | None = None,
     state_through: str | None = None,
+    stats: DayStats | None = None,
 ) -> DataFrame:
     """Day events of users known to analytics, named and routed; keeps the
     raw ``event_type`` (the payload order uses it as the last tie-break).
@@ -74,7 +99,10 @@ def events_with_identity(
     the identity aggregate when its size allows (see ``restrict_to_keys``).
     """
     day = day_events(inputs, cfg)
-    ident = day_identity(inputs, cfg, day.select("user_id"), identity_state, state_through)
+    stats = stats or day_stats(inputs, cfg)
+    ident = day_identity(
+        inputs, cfg, day.select("user_id"), identity_state, state_through, stats.n_users
+    )
     r = route_columns(F.col("app_id"), cfg)
     return day.join(ident, "user_id", "inner").select(
         "user_id",
@@ -101,15 +129,21 @@ def hot_day_users(inputs: Inputs, cfg: SyncConfig) -> DataFrame:
 
 
 def event_lists(inputs: Inputs, cfg: SyncConfig) -> DataFrame:
+    stats = day_stats(inputs, cfg)
     return payload.user_event_lists(
-        events_with_identity(inputs, cfg), cfg, hot_day_users(inputs, cfg)
+        events_with_identity(inputs, cfg, stats=stats), cfg, hot_day_users(inputs, cfg), stats.n_hot
     )
 
 
-def event_payloads(inputs: Inputs, cfg: SyncConfig) -> DataFrame:
-    return payload.event_payloads(
-        events_with_identity(inputs, cfg), cfg, hot_day_users(inputs, cfg)
-    )
+def event_payloads(
+    inputs: Inputs,
+    cfg: SyncConfig,
+    identity_state: DataFrame | None = None,
+    state_through: str | None = None,
+) -> DataFrame:
+    stats = day_stats(inputs, cfg)
+    rows = events_with_identity(inputs, cfg, identity_state, state_through, stats)
+    return payload.event_payloads(rows, cfg, hot_day_users(inputs, cfg), stats.n_hot)
 
 
 def event_bucketed(inputs: Inputs, cfg: SyncConfig) -> DataFrame:
