@@ -20,11 +20,11 @@ from lifeline.operators.events import events_of_day
 from lifeline.operators.identity import (
     finalize_first_touch,
     first_touch,
-    fold_shards,
+    first_touch_state,
     key_filter,
+    merge_first_touch,
 )
 from lifeline.sources.inputs import Inputs
-from lifeline.sources.shards import ShardedEvents
 
 EVENT_ROW_COLUMNS = (
     "user_id",
@@ -82,7 +82,7 @@ def day_identity(
     only_keys = key_filter(keys, cfg, n_keys)
     state = only_keys(identity_state)
     fresh = only_keys(inputs.analytics.between(state_through, None, low_inclusive=False))
-    return finalize_first_touch(fold_shards(state, ShardedEvents(fresh), None, None), cfg)
+    return finalize_first_touch(merge_first_touch(state, first_touch_state(fresh)), cfg)
 
 
 def events_with_identity(
@@ -96,7 +96,7 @@ def events_with_identity(
     raw ``event_type`` (the payload order uses it as the last tie-break).
 
     Only the day's users are looked up: their key set is broadcast ahead of
-    the identity aggregate when its size allows (see ``restrict_to_keys``).
+    the identity aggregate when its size allows (see ``key_filter``).
     """
     day = day_events(inputs, cfg)
     stats = stats or day_stats(inputs, cfg)
