@@ -123,3 +123,47 @@ def test_ntile_arithmetic_grid(spark):
 
     one = spark.range(37).withColumn("t", F.ntile(5).over(Window.orderBy("id")))
     assert [r.t for r in one.orderBy("id").collect()] == [_py_ntile(i, 37, 5) for i in range(37)]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_identity_random_ties_and_nulls(spark, seed):
+    """Many timestamp ties (event_id decides), null client ids and null app
+    ids: aggregate form == window form."""
+    import datetime as dt
+
+    from lifeline.sources.schemas import ANALYTICS_EVENT_SCHEMA
+
+    rnd = random.Random(seed)
+    base = dt.datetime(2024, 1, 30, 12)
+    rows = []
+    for eid in range(400):
+        rows.append((
+            eid,
+            f"h{rnd.randrange(12)}",
+            rnd.choice([None, None, "P1", "P2", "P3"]),
+            rnd.choice([None, base, base + dt.timedelta(seconds=rnd.randrange(3))]),
+            (rnd.choice([None, "1:ios:a", "G-w", "1:android:b"]),),
+            "20240130",
+        ))
+    rnd.shuffle(rows)
+    df = spark.createDataFrame(rows, ANALYTICS_EVENT_SCHEMA).repartition(5)
+    assert same(first_touch(df, CFG), identity_by_windows(df, CFG))
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_latest_entry_random_ties(spark, seed):
+    import datetime as dt
+
+    from lifeline.operators.state import lookback_start
+    from lifeline.sources.schemas import SNAPSHOT_SCHEMA
+
+    rnd = random.Random(100 + seed)
+    today = CFG.today_local
+    rows = [
+        (f"u{rnd.randrange(8)}", today - dt.timedelta(days=rnd.randrange(10)),
+         rnd.choice(["churn", "paying", "trial", None]), dt.date(2023, 1, 1 + rnd.randrange(3)),
+         None, None, today, None, 1, None, None)
+        for _ in range(300)
+    ]
+    df = spark.createDataFrame(rows, SNAPSHOT_SCHEMA)
+    assert same(state.latest_entry(df, CFG), latest_by_rank(df, CFG, lookback_start(CFG)))
