@@ -55,3 +55,24 @@ def test_shard_range_prunes_partitions(spark, tmp_path):
     a = df.select(*cols, F.col("app_info.firebase_app_id"))
     b = derived.between(*CFG.state_shard_range).select(*cols, F.col("app_info.firebase_app_id"))
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_snapshot_lookback_prunes_day_partitions(spark, tmp_path):
+    """Production layout: snapshot partitioned by calendar_date; the
+    lookback bound of the latest entry prunes partitions on both sides of
+    the self-join, and the result equals the unpartitioned one."""
+    from lifeline.operators import state
+    from lifeline.sources.inputs import Inputs
+
+    inp = load_testdata(spark, SF_SMALL)
+    inp.snapshot.write.partitionBy("calendar_date").parquet(str(tmp_path / "snap"))
+    inp.subscription_events.write.parquet(str(tmp_path / "subs"))
+    inp.analytics.write(str(tmp_path / "analytics"))
+    stored = Inputs.read(spark, str(tmp_path / "snap"), str(tmp_path / "subs"), str(tmp_path / "analytics"))
+    latest = state.latest_entry(stored.snapshot, CFG)
+    p = plan(latest)
+    pruned = [line for line in p.splitlines() if line.startswith("PartitionFilters")]
+    assert len(pruned) >= 2 and all("calendar_date" in line and "2024-01-24" in line for line in pruned)
+    base = state.latest_entry(inp.snapshot, CFG)
+    got = latest.select(*base.columns)
+    assert got.exceptAll(base).count() == 0 and base.exceptAll(got).count() == 0
