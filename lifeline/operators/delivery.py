@@ -69,27 +69,47 @@ class DryRunTransport:
 class UrllibTransport:
     """Plain HTTPS POST with the standard library.  ``secrets`` maps the
     secret *names* found in URLs to their values; resolve them on the
-    executor (e.g. from its environment) rather than shipping values."""
-
-    def __init__(self, secrets: dict[str, str], timeout: float = 10.0) -> None:
+    executor (e.g. from its environment) rather than shipping values.
+    Answers 429 and 5xx, and network errors, are retried ``retries`` times
+    with exponential backoff; the last answer is recorded (599 for a
+    network error)."""
+
+    def __init__(
+        self, secrets: dict[str, str], timeout: float = 10.0, retries: int = 3, backoff: float = 0.5
+    ) -> None:
         self.secrets = secrets
         self.timeout = timeout
+        self.retries = retries
+        self.backoff = backoff
 
     def open(self) -> None:
         pass
 
-    def send(self, url: str, body: bytes, headers: dict[str, str]) -> int:
+    def _post_once(self, url: str, body: bytes, headers: dict[str, str]) -> int:
         import urllib.error
         import urllib.request
 
-        base, _, name = url.partition("&api_secret=")
-        real = f"{base}&api_secret={self.secrets[name]}" if name else url
-        req = urllib.request.Request(real, data=body, headers=headers, method="POST")
+        req = urllib.request.Request(url, data=body, headers=headers, method="POST")
         try:
             with urllib.request.urlopen(req, timeout=self.timeout) as resp:
                 return resp.status
         except urllib.error.HTTPError as err:
             return err.code
+        except OSError:
+            return 599
+
+    def send(self, url: str, body: bytes, headers: dict[str, str]) -> int:
+        import time
+
+        base, _, name = url.partition("&api_secret=")
+        real = f"{base}&api_secret={self.secrets[name]}" if name else url
+        code = self._post_once(real, body, headers)
+        for attempt in range(self.retries):
+            if code != 429 and code < 500:
+                break
+            time.sleep(self.backoff * (2**attempt))
+            code = self._post_once(real, body, headers)
+        return code
 
     def close(self) -> None:
         pass

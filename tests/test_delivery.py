@@ -63,3 +63,21 @@ def test_each_payload_sent_once(spark, tmp_path):
     assert again.where("sent").count() == 0
     assert not log2.exists() or log2.read_text() == ""
     assert os.path.isdir(tmp_path / "ledger")
+
+
+def test_urllib_transport_retries_without_network(monkeypatch):
+    """Retry policy only; the POST itself is replaced (no socket opened)."""
+    t = delivery.UrllibTransport({"secret-web": "v"}, retries=2, backoff=0)
+    answers = iter([503, 429, 204])
+    seen = []
+
+    def fake(url, body, headers):
+        seen.append(url)
+        return next(answers)
+
+    monkeypatch.setattr(t, "_post_once", fake)
+    assert t.send("https://x.invalid/mp?measurement_id=G-1&api_secret=secret-web", b"{}", {}) == 204
+    assert len(seen) == 3 and all(u.endswith("api_secret=v") for u in seen)
+    t2 = delivery.UrllibTransport({}, retries=2, backoff=0)
+    monkeypatch.setattr(t2, "_post_once", lambda *a: 400)
+    assert t2.send("https://x.invalid/mp", b"{}", {}) == 400
