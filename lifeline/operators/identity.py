@@ -117,3 +117,48 @@ def write_state(state: DataFrame, path: str) -> None:
     """Store an identity state (one row per user) as a new table version;
     the next run reads it back with ``spark.read.parquet(path)``."""
     state.write.mode("errorifexists").parquet(path)
+
+
+# per-day states: one row per (shard, user), kept as a suffix-partitioned table
+_FIRST = "struct<ts: timestamp_ntz, event_id: bigint, value: string>"
+DAY_STATE_DDL = f"user_id string, first_client {_FIRST}, first_app {_FIRST}, suffix string"
+
+
+def day_states(analytics: DataFrame) -> DataFrame:
+    """Identity state of every (shard, user): a one-day summary that merges
+    exactly with other days (``range_state``)."""
+    pseudo = F.col("user_pseudo_id")
+    return analytics.groupBy("suffix", "user_id").agg(
+        F.min(F.when(pseudo.isNotNull(), _first(pseudo))).alias("first_client"),
+        F.min(_first(F.col("app_info.firebase_app_id"))).alias("first_app"),
+    )
+
+
+def write_day_states(states: DataFrame, path: str) -> None:
+    """Append complete days to the day-state table (one folder per shard)."""
+    states.write.mode("append").partitionBy("suffix").parquet(path)
+
+
+def read_day_states(spark, path: str) -> DataFrame:
+    """The day-state table with the suffix kept as a string."""
+    return spark.read.schema(DAY_STATE_DDL).parquet(path)
+
+
+def range_state(
+    analytics: ShardedEvents,
+    lo: str,
+    hi: str,
+    stored: DataFrame | None = None,
+    stored_through: str | None = None,
+) -> DataFrame:
+    """Identity state over shards ``lo`` ..= ``hi``: stored day states for
+    the shards up to ``stored_through`` (partition-pruned), raw events for
+    the shards after it."""
+    if stored is None or stored_through is None or stored_through < lo:
+        return first_touch_state(analytics.between(lo, hi))
+    upto = min(hi, stored_through)
+    old = stored.where(F.col("suffix").between(F.lit(lo), F.lit(upto))).drop("suffix")
+    if upto >= hi:
+        return merge_first_touch(old)
+    fresh = first_touch_state(analytics.between(upto, hi, low_inclusive=False))
+    return merge_first_touch(old, fresh)

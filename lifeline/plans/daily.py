@@ -19,7 +19,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lifeline.config import SyncConfig
 from lifeline.operators import batching, delivery, payload
-from lifeline.operators.identity import fold_shards, write_state
+from lifeline.operators.identity import (
+    day_states,
+    fold_shards,
+    read_day_states,
+    write_day_states,
+    write_state,
+)
 from lifeline.plans import events_job, state_job
 from lifeline.sources.inputs import Inputs
 
@@ -49,10 +55,29 @@ def _ship(
 
 
 def run_state_sync(
-    spark: SparkSession, inputs: Inputs, cfg: SyncConfig, out_dir: str, transport=None
+    spark: SparkSession,
+    inputs: Inputs,
+    cfg: SyncConfig,
+    out_dir: str,
+    transport=None,
+    day_states_path: str | None = None,
+    states_through: str | None = None,
 ) -> SyncResult:
-    """Subscription state -> user-property payload batches -> delivery."""
-    batches = state_job.state_batches(inputs, cfg)
+    """Subscription state -> user-property payload batches -> delivery.
+
+    With ``day_states_path``, the complete shards after ``states_through``
+    up to yesterday are appended to that day-state table first, and the
+    identity then reads stored days and only today's shard raw."""
+    stored = None
+    if day_states_path:
+        through = cfg.shard(cfg.yesterday_local)
+        if states_through is None or states_through < through:
+            write_day_states(
+                day_states(inputs.analytics.between(states_through, through, low_inclusive=False)),
+                day_states_path,
+            )
+        stored, states_through = read_day_states(spark, day_states_path), through
+    batches = state_job.state_batches(inputs, cfg, stored, states_through)
     return _ship(spark, batches, payload.STATE_PAYLOAD_SCHEMA, cfg, out_dir, "state", transport)
 
 
@@ -97,13 +122,17 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--identity-state")
     ap.add_argument("--state-through")
     ap.add_argument("--new-identity-state")
+    ap.add_argument("--day-states", help="suffix-partitioned day-state table (state job)")
+    ap.add_argument("--day-states-through")
     args = ap.parse_args(argv)
     as_of = dt.datetime.fromisoformat(args.as_of)
     cfg = SyncConfig(as_of=as_of, zone=args.zone)
     spark = SparkSession.builder.appName(f"lifeline-{args.job}").getOrCreate()
     inputs = Inputs.read(spark, args.snapshot, args.subscription_events, args.analytics)
     if args.job == "state":
-        res = run_state_sync(spark, inputs, cfg, args.out)
+        res = run_state_sync(
+            spark, inputs, cfg, args.out, None, args.day_states, args.day_states_through
+        )
     else:
         res = run_events_sync(
             spark, inputs, cfg, args.out, None,

@@ -131,6 +131,17 @@ def q_state_identity_join(spark, sf_dir):
     return state_job.state_with_identity(_inputs(spark, sf_dir), CFG)
 
 
+def q_state_identity_join_incremental(spark, sf_dir):
+    """Day states of every complete shard through yesterday (built here from
+    the raw shards), today's shard raw: same rows as state_identity_join."""
+    from lifeline.operators.identity import day_states
+
+    inputs = _inputs(spark, sf_dir)
+    through = CFG.shard(CFG.yesterday_local)
+    stored = day_states(inputs.analytics.between(None, through))
+    return state_job.state_with_identity(inputs, CFG, stored, through)
+
+
 def q_state_projection(spark, sf_dir):
     return state_job.state_projection(_inputs(spark, sf_dir), CFG)
 
@@ -273,6 +284,7 @@ QUERIES: dict[str, Query] = {
     "identity_first_touch_incremental": q_identity_first_touch_incremental,
     "route_endpoint": q_route_endpoint,
     "state_identity_join": q_state_identity_join,
+    "state_identity_join_incremental": q_state_identity_join_incremental,
     "state_projection": q_state_projection,
     "local_event_date": q_local_event_date,
     "event_name_map": q_event_name_map,
@@ -330,6 +342,7 @@ FROM wire_state"""
         "route_endpoint": f"""{W} SELECT user_id, app_id, {rs['route']} AS route, {rs['app_secret']} AS app_secret,
             {rs['endpoint']} AS endpoint, {rs['mp_url']} AS mp_url FROM ident_all""",
         "state_identity_join": f"{W} SELECT * FROM state_ident",
+        "state_identity_join_incremental": f"{W} SELECT * FROM state_ident",
         "state_projection": f"{W} SELECT * FROM state_proj",
         "local_event_date": f"""{W} SELECT event_id, event_ts,
             CAST(timezone('{cfg.zone}', event_ts AT TIME ZONE 'UTC') AS DATE) AS date_of_change FROM sub_events""",

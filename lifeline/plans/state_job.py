@@ -14,7 +14,7 @@ from lifeline.functions.dates import date_text
 from lifeline.functions.keys import hashed_user_key
 from lifeline.functions.routing import route_columns
 from lifeline.operators import batching, payload, state
-from lifeline.operators.identity import first_touch
+from lifeline.operators.identity import finalize_first_touch, range_state
 from lifeline.sources.inputs import Inputs
 
 STATE_ROW_COLUMNS = (
@@ -34,11 +34,26 @@ def state_rows(inputs: Inputs, cfg: SyncConfig, simplified: bool = True) -> Data
     return state.subscription_state(inputs.snapshot, cfg, simplified=simplified)
 
 
-def state_scope_identity(inputs: Inputs, cfg: SyncConfig) -> DataFrame:
-    return first_touch(inputs.analytics.between(*cfg.state_shard_range), cfg)
-
-
-def state_with_identity(inputs: Inputs, cfg: SyncConfig) -> DataFrame:
+def state_scope_identity(
+    inputs: Inputs,
+    cfg: SyncConfig,
+    day_states: DataFrame | None = None,
+    states_through: str | None = None,
+) -> DataFrame:
+    """First-touch identity over the state shard range; with a day-state
+    table covering shards through ``states_through``, those days are read
+    from it and only later shards raw."""
+    lo, hi = cfg.state_shard_range
+    state = range_state(inputs.analytics, lo, hi, day_states, states_through)
+    return finalize_first_touch(state, cfg)
+
+
+def state_with_identity(
+    inputs: Inputs,
+    cfg: SyncConfig,
+    day_states: DataFrame | None = None,
+    states_through: str | None = None,
+) -> DataFrame:
     """State rows of users seen in the state shard range, with their
     first-touch client and app id.
 
@@ -48,7 +63,9 @@ def state_with_identity(inputs: Inputs, cfg: SyncConfig) -> DataFrame:
     keyed = state_rows(inputs, cfg).withColumn(
         "hashed_user_id", hashed_user_key(F.col("user_id"), cfg.user_key_prefix)
     )
-    ident = state_scope_identity(inputs, cfg).withColumnRenamed("user_id", "hashed_user_id")
+    ident = state_scope_identity(inputs, cfg, day_states, states_through).withColumnRenamed(
+        "user_id", "hashed_user_id"
+    )
     return keyed.join(ident, "hashed_user_id", "inner").select(
         "subscription_cancel_date",
         F.col("subscription_next_renewal_date").alias("subscription_renewal_date"),
@@ -62,10 +79,15 @@ def state_with_identity(inputs: Inputs, cfg: SyncConfig) -> DataFrame:
     )
 
 
-def state_projection(inputs: Inputs, cfg: SyncConfig) -> DataFrame:
+def state_projection(
+    inputs: Inputs,
+    cfg: SyncConfig,
+    day_states: DataFrame | None = None,
+    states_through: str | None = None,
+) -> DataFrame:
     """Dates as ``yyyy-MM-dd`` text, a missing cancel date or client id as
     the empty string, plus the route of the app id."""
-    rows = state_with_identity(inputs, cfg)
+    rows = state_with_identity(inputs, cfg, day_states, states_through)
     r = route_columns(F.col("app_id"), cfg)
     return rows.select(
         F.coalesce(date_text(F.col("subscription_cancel_date")), F.lit("")).alias(
@@ -84,13 +106,30 @@ def state_projection(inputs: Inputs, cfg: SyncConfig) -> DataFrame:
     )
 
 
-def state_payloads(inputs: Inputs, cfg: SyncConfig) -> DataFrame:
-    return payload.state_payloads(state_projection(inputs, cfg), cfg)
+def state_payloads(
+    inputs: Inputs,
+    cfg: SyncConfig,
+    day_states: DataFrame | None = None,
+    states_through: str | None = None,
+) -> DataFrame:
+    return payload.state_payloads(
+        state_projection(inputs, cfg, day_states, states_through), cfg
+    )
 
 
-def state_bucketed(inputs: Inputs, cfg: SyncConfig) -> DataFrame:
-    return batching.assign_buckets(state_payloads(inputs, cfg), cfg)
+def state_bucketed(
+    inputs: Inputs,
+    cfg: SyncConfig,
+    day_states: DataFrame | None = None,
+    states_through: str | None = None,
+) -> DataFrame:
+    return batching.assign_buckets(state_payloads(inputs, cfg, day_states, states_through), cfg)
 
 
-def state_batches(inputs: Inputs, cfg: SyncConfig) -> DataFrame:
-    return batching.batches(state_bucketed(inputs, cfg))
+def state_batches(
+    inputs: Inputs,
+    cfg: SyncConfig,
+    day_states: DataFrame | None = None,
+    states_through: str | None = None,
+) -> DataFrame:
+    return batching.batches(state_bucketed(inputs, cfg, day_states, states_through))
