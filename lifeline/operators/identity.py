@@ -11,10 +11,11 @@ grouped aggregate:
 
 * partial aggregation folds every user's events map-side, so a user owning
   a third of all events reaches the shuffle as one row per map task;
-* states of disjoint shard ranges merge exactly (minimum of minima), so the
-  whole-history identity can be kept as a table of one row per user and
-  updated with only the new shards (``fold_shards``) instead of rescanning
-  the history every day.
+* states of disjoint shard ranges merge exactly (minimum of minima), so
+  identity can be stored rather than rescanned: a cumulative table of one
+  row per user updated with new shards only (``fold_shards``), or a
+  suffix-partitioned table of per-day states (``day_states``) from which
+  any shard range is merged (``range_state``).
 
 Joining this one row per user to the subscription side replaces window
 functions over the join product.
@@ -25,26 +26,30 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lifeline.config import SyncConfig
 from lifeline.sources.shards import ShardedEvents
 
 
-def _first(value) -> F.Column:
+def _first(value: Column) -> Column:
     return F.struct(
         F.col("event_timestamp").alias("ts"), F.col("event_id").alias("event_id"), value.alias("value")
     )
 
 
-def first_touch_state(analytics: DataFrame) -> DataFrame:
-    """``user_id``, ``first_client`` and ``first_app`` structs (mergeable)."""
+def _minima() -> list[Column]:
     pseudo = F.col("user_pseudo_id")
-    return analytics.groupBy("user_id").agg(
+    return [
         F.min(F.when(pseudo.isNotNull(), _first(pseudo))).alias("first_client"),
         F.min(_first(F.col("app_info.firebase_app_id"))).alias("first_app"),
-    )
+    ]
+
+
+def first_touch_state(analytics: DataFrame) -> DataFrame:
+    """``user_id``, ``first_client`` and ``first_app`` structs (mergeable)."""
+    return analytics.groupBy("user_id").agg(*_minima())
 
 
 def merge_first_touch(*states: DataFrame) -> DataFrame:
@@ -127,11 +132,7 @@ DAY_STATE_DDL = f"user_id string, first_client {_FIRST}, first_app {_FIRST}, suf
 def day_states(analytics: DataFrame) -> DataFrame:
     """Identity state of every (shard, user): a one-day summary that merges
     exactly with other days (``range_state``)."""
-    pseudo = F.col("user_pseudo_id")
-    return analytics.groupBy("suffix", "user_id").agg(
-        F.min(F.when(pseudo.isNotNull(), _first(pseudo))).alias("first_client"),
-        F.min(_first(F.col("app_info.firebase_app_id"))).alias("first_app"),
-    )
+    return analytics.groupBy("suffix", "user_id").agg(*_minima())
 
 
 def write_day_states(states: DataFrame, path: str) -> None:
