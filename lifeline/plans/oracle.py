@@ -52,6 +52,17 @@ def _hash(col: str, cfg: SyncConfig) -> str:
     return f"sha256({_q(cfg.user_key_prefix)} || {col})"
 
 
+def _ident_cte(name: str, where: str, cfg: SyncConfig) -> str:
+    """First-touch identity per analytics user over the filtered shards:
+    ordered ``first`` (nulls first, as in Spark's struct order)."""
+    order = "ORDER BY event_timestamp NULLS FIRST, event_id NULLS FIRST"
+    return f"""{name} AS (
+  SELECT user_id,
+    first(user_pseudo_id {order}) FILTER (WHERE user_pseudo_id IS NOT NULL) AS client_id,
+    COALESCE(first(firebase_app_id {order}), {_q(cfg.default_app_id)}) AS app_id
+  FROM analytics {where} GROUP BY user_id)"""
+
+
 def ctes(cfg: SyncConfig) -> str:
     utc, local = _d(cfg.today_utc), _d(cfg.today_local)
     yday = _d(cfg.yesterday_local)
@@ -173,27 +184,9 @@ state_attrs AS (
     subscription_month, gift_card_code,
     COALESCE(payment_vendor, 'unknown') AS subscription_payment_vendor
   FROM swc),
-ident_all AS (
-  SELECT user_id,
-    first(user_pseudo_id ORDER BY event_timestamp NULLS FIRST, event_id NULLS FIRST)
-      FILTER (WHERE user_pseudo_id IS NOT NULL) AS client_id,
-    COALESCE(first(firebase_app_id ORDER BY event_timestamp NULLS FIRST, event_id NULLS FIRST),
-             {_q(cfg.default_app_id)}) AS app_id
-  FROM analytics GROUP BY user_id),
-ident_state AS (
-  SELECT user_id,
-    first(user_pseudo_id ORDER BY event_timestamp NULLS FIRST, event_id NULLS FIRST)
-      FILTER (WHERE user_pseudo_id IS NOT NULL) AS client_id,
-    COALESCE(first(firebase_app_id ORDER BY event_timestamp NULLS FIRST, event_id NULLS FIRST),
-             {_q(cfg.default_app_id)}) AS app_id
-  FROM analytics WHERE suffix BETWEEN '{s_lo}' AND '{s_hi}' GROUP BY user_id),
-ident_events AS (
-  SELECT user_id,
-    first(user_pseudo_id ORDER BY event_timestamp NULLS FIRST, event_id NULLS FIRST)
-      FILTER (WHERE user_pseudo_id IS NOT NULL) AS client_id,
-    COALESCE(first(firebase_app_id ORDER BY event_timestamp NULLS FIRST, event_id NULLS FIRST),
-             {_q(cfg.default_app_id)}) AS app_id
-  FROM analytics {ev_scope} GROUP BY user_id),
+{_ident_cte("ident_all", "", cfg)},
+{_ident_cte("ident_state", f"WHERE suffix BETWEEN '{s_lo}' AND '{s_hi}'", cfg)},
+{_ident_cte("ident_events", ev_scope, cfg)},
 state_ident AS (
   SELECT s.subscription_cancel_date,
          s.subscription_next_renewal_date AS subscription_renewal_date,
