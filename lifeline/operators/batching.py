@@ -85,7 +85,9 @@ def ntile(
         source.unpersist()
         return out
     parts = partitions or max(1, -(-total // rows_per_partition))
-    out = distributed_ntile(source, group_col, order_cols, target, parts)
+    out = distributed_ntile(
+        source, group_col, order_cols, target, parts, bucket_count_value(total, target)
+    )
     source.unpersist()
     return out
 
@@ -96,6 +98,7 @@ def distributed_ntile(
     order_cols: list[str],
     target: int,
     partitions: int,
+    n_buckets: int | None = None,
 ) -> DataFrame:
     """``df`` plus ``bucket`` (and ``n_buckets``, ``n_group``): ntile over
     ``group_col`` ordered by ``order_cols`` (which must make a total order
@@ -108,6 +111,8 @@ def distributed_ntile(
     row sequence must not change between the count pass and the numbering
     pass, even if executors are lost.  The per-(partition, group) offsets
     table is only persisted: it is recomputed exactly from that checkpoint.
+    Pass ``n_buckets`` when the total is known (``ntile`` does): the bucket
+    count then needs no global window over the offsets table.
     """
     keys = [group_col, *order_cols]
     source = df.persist(StorageLevel.MEMORY_AND_DISK)
@@ -132,7 +137,11 @@ def distributed_ntile(
         "_seq0",
         (F.sum("_cnt").over(before) - F.col("_cnt")).alias("_before"),
         F.sum("_cnt").over(Window.partitionBy(group_col)).alias("n_group"),
-        bucket_count(F.sum("_cnt").over(Window.partitionBy()), target).alias("n_buckets"),
+        (
+            F.lit(n_buckets).cast("long")
+            if n_buckets is not None
+            else bucket_count(F.sum("_cnt").over(Window.partitionBy()), target)
+        ).alias("n_buckets"),
     ).persist(StorageLevel.MEMORY_AND_DISK)
     if offsets.count() <= OFFSETS_BROADCAST_MAX:
         offsets = F.broadcast(offsets)
