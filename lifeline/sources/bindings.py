@@ -13,6 +13,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lifeline.functions.dates import shard_suffix
 from lifeline.sources.shards import ShardedEvents
 
 # The snapshot anchor day and the invented date bases.
@@ -114,6 +115,6 @@ def analytics_from_events(events: DataFrame, key_prefix: str) -> ShardedEvents:
         pseudo.alias("user_pseudo_id"),
         F.col("ts").alias("event_timestamp"),
         F.struct(app.alias("firebase_app_id")).alias("app_info"),
-        F.date_format(F.col("ts"), "yyyyMMdd").alias("suffix"),
+        shard_suffix(F.col("ts")).alias("suffix"),
     )
     return ShardedEvents(df, derived_from="event_timestamp")
