@@ -61,3 +61,26 @@ def test_state_sync_with_day_states(spark, tmp_path):
     plain = registry.q_batch_json_state(spark, SF_SMALL)
     got = res.batches.select("app_id", res.batches.bucket.cast("long").alias("bucket"), "n_payloads", "payload_array")
     assert got.exceptAll(plain).count() == 0 and plain.exceptAll(got).count() == 0
+
+
+def test_command_line(spark, tmp_path, capsys):
+    """Both jobs through the command line on the production layout."""
+    inp = load_testdata(spark, SF_SMALL)
+    inp.snapshot.write.parquet(str(tmp_path / "snap"))
+    inp.subscription_events.write.parquet(str(tmp_path / "subs"))
+    inp.analytics.write(str(tmp_path / "analytics"))
+    common = ["--snapshot", str(tmp_path / "snap"), "--subscription-events", str(tmp_path / "subs"),
+              "--analytics", str(tmp_path / "analytics"), "--as-of", "2024-01-31T12:00:00+00:00"]
+    daily.main(["state", *common, "--out", str(tmp_path / "out_state"),
+                "--day-states", str(tmp_path / "days")])
+    daily.main(["events", *common, "--out", str(tmp_path / "out_events"),
+                "--new-identity-state", str(tmp_path / "ident_v1")])
+    printed = capsys.readouterr().out
+    assert "'sent': True" in printed and "'status_code': 204" in printed
+    for name in ("out_state/state_batches", "out_state/state_ledger", "out_events/events_batches",
+                 "out_events/events_ledger", "days", "ident_v1"):
+        assert (tmp_path / name).is_dir(), name
+    want = registry.q_batch_json_events(spark, SF_SMALL)
+    got = spark.read.parquet(str(tmp_path / "out_events/events_batches"))
+    got = got.select("app_id", got.bucket.cast("long").alias("bucket"), "n_payloads", "payload_array")
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
