@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from lifeline.config import SyncConfig
 from lifeline.functions.routing import route_columns
-from lifeline.operators.payload import wire_rows
+from lifeline.operators.payload import wire_columns
 from lifeline.session import checkpoint_dir
 
 LEDGER_SCHEMA = T.StructType(
@@ -116,24 +116,25 @@ class UrllibTransport:
 
 
 def payload_wire_rows(batch_df: DataFrame, schema: T.StructType, cfg: SyncConfig) -> DataFrame:
-    """One row per payload of every batch, with its wire body."""
+    """One row per payload of every batch, with its wire body (each batch's
+    JSON array is parsed once, straight into payload structs)."""
     items = batch_df.select(
         "app_id",
         F.concat_ws(":", F.col("app_id"), F.col("bucket").cast("string")).alias("batch_id"),
-        F.posexplode(F.from_json(F.col("payload_array"), T.ArrayType(T.StringType()))).alias(
-            "payload_index", "payload_json"
+        F.posexplode(F.from_json(F.col("payload_array"), T.ArrayType(schema))).alias(
+            "payload_index", "p"
         ),
     )
-    wired = wire_rows(items, schema)
-    return wired.select(
+    w = wire_columns(F.col("p"), schema)
+    return items.select(
         "batch_id",
         F.col("payload_index").cast("int").alias("payload_index"),
-        F.sha2(F.concat_ws("|", F.col("batch_id"), F.col("body")), 256).alias("payload_id"),
+        F.sha2(F.concat_ws("|", F.col("batch_id"), w["body"]), 256).alias("payload_id"),
         route_columns(F.col("app_id"), cfg)["route"].alias("route"),
-        "deliverable",
-        F.col("content_length").cast("int").alias("content_length"),
-        "url",
-        "body",
+        w["deliverable"].alias("deliverable"),
+        w["content_length"].cast("int").alias("content_length"),
+        w["url"].alias("url"),
+        w["body"].alias("body"),
     )
 
 

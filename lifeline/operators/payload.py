@@ -203,27 +203,34 @@ def event_payloads(
     )
 
 
-def wire_rows(payloads: DataFrame, schema: T.StructType) -> DataFrame:
-    """From rows with ``payload_json``: URL, wire body, byte length and
-    whether the payload can be delivered (client id present, not blank).
+def wire_columns(p: Column, schema: T.StructType) -> dict[str, Column]:
+    """URL, wire body, byte length and deliverability of a parsed payload
+    struct ``p`` (fields as in ``schema``).
 
     Key order follows the original sender: the id key moves to the end on
     mobile endpoints; ``to_json`` leaves out whichever of the two is null.
     """
-    p = F.from_json(F.col("payload_json"), schema)
     names = [f.name for f in schema.fields if f.name not in ("URL", "app_id", "client_id")]
     url = p["URL"]
     mobile = is_mobile_endpoint(F.substring_index(url, "&api_secret=", 1))
     client = p["client_id"]
-    body = F.struct(
-        F.when(~mobile, client).alias("client_id"),
-        *[p[n].alias(n) for n in names],
-        F.when(mobile, client).alias("app_instance_id"),
-    )
-    out = payloads.select(
-        "*",
-        url.alias("url"),
-        F.to_json(body).alias("body"),
-        (client.isNotNull() & (F.trim(client) != "")).alias("deliverable"),
+    body = F.to_json(
+        F.struct(
+            F.when(~mobile, client).alias("client_id"),
+            *[p[n].alias(n) for n in names],
+            F.when(mobile, client).alias("app_instance_id"),
+        )
     )
-    return out.withColumn("content_length", F.octet_length("body"))
+    return {
+        "url": url,
+        "body": body,
+        "deliverable": client.isNotNull() & (F.trim(client) != ""),
+        "content_length": F.octet_length(body),
+    }
+
+
+def wire_rows(payloads: DataFrame, schema: T.StructType) -> DataFrame:
+    """Rows with ``payload_json`` plus URL, wire body, byte length and
+    whether the payload can be delivered (client id present, not blank)."""
+    w = wire_columns(F.from_json(F.col("payload_json"), schema), schema)
+    return payloads.select("*", *[c.alias(n) for n, c in w.items()])
