@@ -89,10 +89,6 @@ def key_filter(
     return lambda df: df.join(small, "user_id", "left_semi")
 
 
-def restrict_to_keys(df: DataFrame, keys: DataFrame | None, cfg: SyncConfig) -> DataFrame:
-    return key_filter(keys, cfg)(df)
-
-
 def first_touch(
     analytics: DataFrame,
     cfg: SyncConfig,
