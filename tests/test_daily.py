@@ -84,3 +84,17 @@ def test_command_line(spark, tmp_path, capsys):
     got = spark.read.parquet(str(tmp_path / "out_events/events_batches"))
     got = got.select("app_id", got.bucket.cast("long").alias("bucket"), "n_payloads", "payload_array")
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_empty_day_runs_clean(spark, tmp_path):
+    """A day without subscription events: empty payloads, batches and ledger,
+    no errors (size checks on zero rows, empty broadcasts, empty ntile)."""
+    import datetime as dt
+
+    from lifeline.plans import events_job
+
+    cfg = SyncConfig(as_of=dt.datetime(2030, 6, 1, 12, tzinfo=dt.timezone.utc))
+    inp = load_testdata(spark, SF_SMALL, cfg)
+    assert events_job.event_payloads(inp, cfg).count() == 0
+    res = daily.run_events_sync(spark, inp, cfg, str(tmp_path))
+    assert res.batches.count() == 0 and res.ledger.count() == 0

@@ -113,3 +113,34 @@ def test_dead_or_arm_changes_nothing(spark):
     a = state.snapshot_with_churn(latest, churn, simplified=False)
     b = state.snapshot_with_churn(latest, churn, simplified=True)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_two_clocks_at_the_midnight_gap(spark):
+    """23:30 UTC on the 30th is already the 31st in Berlin: the churn arms
+    compare with the UTC day, the others with the local day."""
+    cfg = SyncConfig(as_of=dt.datetime(2024, 1, 30, 23, 30, tzinfo=dt.timezone.utc))
+    assert (cfg.today_utc, cfg.today_local) == (dt.date(2024, 1, 30), dt.date(2024, 1, 31))
+    jan30 = dt.date(2024, 1, 30)
+    rows = [row("u1", jan30, bce=jan30),
+            row("u1", jan30, group="churn", bce=jan30, churn_type="voluntary")]
+    df = spark.createDataFrame(rows, SNAPSHOT_SCHEMA)
+    got = [r.subscription_status for r in state.subscription_state(df, cfg).collect()]
+    # end (30th) is not before the UTC day (30th): not churned yet by arm 1;
+    # not stale (local day - 1 = 30th); end before the local day: not active
+    assert got == [C.STATUS_UNKNOWN]
+    one_clock = SyncConfig(as_of=dt.datetime(2024, 1, 31, 12, tzinfo=dt.timezone.utc))
+    got = [r.subscription_status for r in state.subscription_state(df, one_clock).collect()]
+    assert got == [C.STATUS_CHURN_VOLUNTARY]
+
+
+def test_config_validation():
+    import pytest
+
+    with pytest.raises(ValueError):
+        SyncConfig(as_of=dt.datetime(2024, 1, 31))  # naive instant
+    with pytest.raises(ValueError):
+        SyncConfig(routes=C.DEFAULT_ROUTES[:-1])  # no default route last
+    cfg = SyncConfig()
+    assert cfg.state_shard_range == ("20240130", "20240131")
+    assert cfg.events_shard_range is None
+    assert SyncConfig(events_identity_days=3).events_shard_range == ("20240129", "20240131")
