@@ -1,8 +1,11 @@
 """Declared schemas of the logical inputs.
 
 Timestamps are ``timestamp_ntz`` holding UTC wall-clock time, so no result
-depends on the session time zone.  Readers of real data with zoned
-timestamps convert once, on read (``to_utc_wall``).
+depends on the session time zone.  The readers declare these schemas: a
+Parquet timestamp stored zoned (UTC-adjusted) reads back as its UTC wall
+time whatever the session zone, and range filters on it still reach the
+scan.  Frames handed over with zoned timestamp columns are converted by
+``conform`` (``to_utc_wall``).
 """
 
 from pyspark.sql import Column, DataFrame

@@ -76,3 +76,30 @@ def test_snapshot_lookback_prunes_day_partitions(spark, tmp_path):
     base = state.latest_entry(inp.snapshot, CFG)
     got = latest.select(*base.columns)
     assert got.exceptAll(base).count() == 0 and base.exceptAll(got).count() == 0
+
+
+def test_zoned_stored_timestamps_read_as_utc_wall_with_pushdown(spark, tmp_path):
+    """Facts stored with zoned timestamps: the declared ntz schema reads
+    their UTC wall time whatever the session zone, and the day filter of the
+    event job still reaches the scan."""
+    import datetime as dt
+
+    from lifeline.operators.events import events_of_day
+    from lifeline.sources.schemas import SUBSCRIPTION_EVENT_SCHEMA
+
+    utc = dt.timezone.utc
+    df = spark.createDataFrame(
+        [(1, "7", "Renewal", dt.datetime(2024, 1, 29, 23, 30, tzinfo=utc), "S1", "x"),
+         (2, "7", "Renewal", dt.datetime(2024, 1, 29, 22, 30, tzinfo=utc), "S1", "y")],
+        "event_id long, user_id string, event_type string, event_ts timestamp, "
+        "subscription_id string, offer_type string")
+    df.write.parquet(str(tmp_path / "ltz"))
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        stored = spark.read.schema(SUBSCRIPTION_EVENT_SCHEMA).parquet(str(tmp_path / "ltz"))
+        day = events_of_day(stored, CFG)
+        assert [r.offer_type for r in day.collect()] == ["x"]  # 00:30 Berlin on the 30th
+        assert "GreaterThanOrEqual(event_ts,2024-01-29T23:00)" in plan(day)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
