@@ -83,3 +83,26 @@ def test_wire_body_rename_and_drop(spark):
     assert json.loads(out[1].body) == {"client_id": "C2", "user_id": "V", "events": []}
     assert [r.deliverable for r in out] == [True, True, False]
     assert out[0].content_length == len(out[0].body.encode("utf-8"))
+
+
+def test_routing_matches_python_model(spark):
+    import random
+
+    rnd = random.Random(7)
+    parts = ["G-", "ios", "android", "1:", ":x", "g-", "IOS", "web", "-"]
+    ids = ["".join(rnd.choice(parts) for _ in range(rnd.randrange(0, 4))) for _ in range(600)]
+    ids += [None]
+
+    def model(app):
+        if app is None:
+            return "android", None
+        for r in CFG.routes[:-1]:
+            if r.match in app:
+                return r.name, f"{CFG.endpoint_base}?{r.id_param}={app}&api_secret={r.secret_name}"
+        r = CFG.routes[-1]
+        return r.name, f"{CFG.endpoint_base}?{r.id_param}={app}&api_secret={r.secret_name}"
+
+    df = spark.createDataFrame([(i, a) for i, a in enumerate(ids)], "i int, app_id string")
+    r = route_columns(F.col("app_id"), CFG)
+    got = {x.i: (x.route, x.mp_url) for x in df.select("i", r["route"].alias("route"), r["mp_url"].alias("mp_url")).collect()}
+    assert all(got[i] == model(a) for i, a in enumerate(ids))
