@@ -117,7 +117,11 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--subscription-events", required=True)
     ap.add_argument("--analytics", required=True, help="suffix-partitioned dataset")
     ap.add_argument("--out", required=True)
-    ap.add_argument("--as-of", required=True, help="ISO instant with offset")
+    ap.add_argument(
+        "--as-of",
+        help="ISO instant with offset (default: now); pass it from the scheduler so reruns "
+        "reproduce the same day",
+    )
     ap.add_argument("--zone", default=SyncConfig().zone)
     ap.add_argument("--identity-state")
     ap.add_argument("--state-through")
@@ -125,7 +129,9 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--day-states", help="suffix-partitioned day-state table (state job)")
     ap.add_argument("--day-states-through")
     args = ap.parse_args(argv)
-    as_of = dt.datetime.fromisoformat(args.as_of)
+    as_of = (
+        dt.datetime.fromisoformat(args.as_of) if args.as_of else dt.datetime.now(dt.timezone.utc)
+    )
     cfg = SyncConfig(as_of=as_of, zone=args.zone)
     spark = SparkSession.builder.appName(f"lifeline-{args.job}").getOrCreate()
     inputs = Inputs.read(spark, args.snapshot, args.subscription_events, args.analytics)
