@@ -167,3 +167,14 @@ def test_latest_entry_random_ties(spark, seed):
     ]
     df = spark.createDataFrame(rows, SNAPSHOT_SCHEMA)
     assert same(state.latest_entry(df, CFG), latest_by_rank(df, CFG, lookback_start(CFG)))
+
+
+def test_bucket_count_grid_matches_python_round(spark):
+    rows = [(n, t) for n in range(0, 401) for t in range(1, 41)]
+    df = spark.createDataFrame(rows, "n long, t long")
+    got = df.select("n", "t", *[
+        batching.bucket_count(F.col("n"), t).alias(f"b{t}") for t in range(1, 41)
+    ]).collect()
+    for r in got:
+        want = batching.bucket_count_value(r.n, r.t)
+        assert r[f"b{r.t}"] == want == max(1, round(r.n / r.t)), (r.n, r.t)
