@@ -8,7 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lifeline.config import SyncConfig
 from lifeline.sources import bindings
-from lifeline.sources.schemas import SNAPSHOT_SCHEMA, SUBSCRIPTION_EVENT_SCHEMA, conform
+from lifeline.sources.schemas import (
+    ANALYTICS_EVENT_SCHEMA,
+    SNAPSHOT_SCHEMA,
+    SUBSCRIPTION_EVENT_SCHEMA,
+    conform,
+)
 from lifeline.sources.shards import ShardedEvents
 
 
@@ -18,6 +23,15 @@ class Inputs:
     subscription_events: DataFrame
     analytics: ShardedEvents
 
+    @classmethod
+    def from_frames(
+        cls, snapshot: DataFrame, subscription_events: DataFrame, analytics: DataFrame
+    ) -> "Inputs":
+        """DataFrames from any source (a warehouse connector, a table):
+        columns are selected and cast to the declared schemas, zoned
+        timestamps become UTC wall time."""
+        return _from_frames(snapshot, subscription_events, analytics)
+
     @classmethod
     def read(
         cls,
@@ -37,6 +51,14 @@ class Inputs:
         )
 
 
+def _from_frames(snapshot: DataFrame, subscription_events: DataFrame, analytics: DataFrame) -> Inputs:
+    return Inputs(
+        conform(snapshot, SNAPSHOT_SCHEMA),
+        conform(subscription_events, SUBSCRIPTION_EVENT_SCHEMA),
+        ShardedEvents(conform(analytics, ANALYTICS_EVENT_SCHEMA)),
+    )
+
+
 def load_testdata(spark: SparkSession, sf_dir: str, cfg: SyncConfig | None = None) -> Inputs:
     """Bind the generated ``orders`` and ``events`` tables under ``sf_dir``."""
     cfg = cfg or SyncConfig()

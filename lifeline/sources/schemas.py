@@ -59,8 +59,9 @@ def to_utc_wall(df: DataFrame, name: str) -> Column:
     if isinstance(dtype, T.TimestampNTZType):
         return F.col(name)
     if isinstance(dtype, T.TimestampType):
-        # zoned instant -> wall clock in UTC, independent of session zone
-        return F.convert_timezone(F.lit("UTC"), F.col(name))
+        # zoned instant -> its wall clock in the session zone -> in UTC:
+        # the UTC wall clock of the instant, whatever the session zone
+        return F.convert_timezone(None, F.lit("UTC"), F.col(name))
     raise TypeError(f"{name}: expected a timestamp, got {dtype.simpleString()}")
 
 

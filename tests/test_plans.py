@@ -103,3 +103,30 @@ def test_zoned_stored_timestamps_read_as_utc_wall_with_pushdown(spark, tmp_path)
         assert "GreaterThanOrEqual(event_ts,2024-01-29T23:00)" in plan(day)
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_frames_with_zoned_timestamps_are_conformed(spark):
+    """Frames handed over with zoned timestamps (any session zone) give the
+    same state and event rows as the bound tables."""
+    from lifeline.plans import events_job, state_job
+    from lifeline.sources.inputs import Inputs
+
+    inp = load_testdata(spark, SF_SMALL)
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        def zoned(df, col):
+            # UTC wall time -> Tokyo wall time -> zoned instant (session zone is Tokyo)
+            tokyo = F.convert_timezone(F.lit("UTC"), F.lit("Asia/Tokyo"), F.col(col))
+            return df.withColumn(col, tokyo.cast("timestamp")).withColumn("extra", F.lit(1))
+        snap = zoned(inp.snapshot, "subscription_cancel_dts")
+        subs = zoned(inp.subscription_events, "event_ts")
+        ana = zoned(inp.analytics.all(), "event_timestamp")
+        assert dict(subs.dtypes)["event_ts"] == "timestamp"
+        framed = Inputs.from_frames(snap, subs, ana)
+        assert dict(framed.subscription_events.dtypes)["event_ts"] == "timestamp_ntz"
+        for a, b in ((state_job.state_with_identity(framed, CFG), state_job.state_with_identity(inp, CFG)),
+                     (events_job.event_rows(framed, CFG), events_job.event_rows(inp, CFG))):
+            assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
