@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from lifeline.config import SyncConfig
 from lifeline.functions.dates import local_date
 from lifeline.functions.keys import hashed_user_key
-from lifeline.functions.names import event_custom_type
 
 
 def local_day_bounds(day: dt.date, zone: str) -> tuple[dt.datetime, dt.datetime]:
@@ -24,10 +23,6 @@ def local_day_bounds(day: dt.date, zone: str) -> tuple[dt.datetime, dt.datetime]
     return start.replace(tzinfo=None), end.replace(tzinfo=None)
 
 
-def with_local_date(sub_events: DataFrame, cfg: SyncConfig) -> DataFrame:
-    return sub_events.withColumn("date_of_change", local_date(F.col("event_ts"), cfg.zone))
-
-
 def events_of_day(sub_events: DataFrame, cfg: SyncConfig, day: dt.date | None = None) -> DataFrame:
     """Distinct (hashed user, type, local date, subscription, offer) of the
     events whose local date is ``day`` (default: yesterday, local).
@@ -54,7 +49,3 @@ def events_of_day(sub_events: DataFrame, cfg: SyncConfig, day: dt.date | None =
         )
         .distinct()
     )
-
-
-def name_events(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("event_custom_type", event_custom_type(F.col("event_type")))
