@@ -86,3 +86,23 @@ def test_query_types_match_oracle(spark, con, name):
                    for f in sdf.schema.fields}
     duck_types = dict(zip(rel.columns, (str(t) for t in rel.types)))
     assert spark_types == duck_types
+
+
+def test_beyond_every_size_bound_matches_oracle(spark, monkeypatch):
+    """All broadcast bounds at zero: identity without the key filter, the
+    hot-user list joined without broadcast, ntile offsets joined without
+    broadcast; tiny split, chunk and partition sizes.  Same batches as SQL."""
+    from conftest import SF_MID
+    from lifeline.config import SyncConfig
+    from lifeline.operators import batching
+    from lifeline.plans import events_job
+    from lifeline.sources.inputs import load_testdata
+
+    monkeypatch.setattr(batching, "OFFSETS_BROADCAST_MAX", 0)
+    cfg = SyncConfig(identity_broadcast_max_keys=0, hot_user_broadcast_max=0,
+                     payload_split_rows=3, max_events_per_payload=2, bucket_partitions=4)
+    mid = duck(SF_MID)
+    got = events_job.event_batches(load_testdata(spark, SF_MID, cfg), cfg).toPandas()
+    got = got.astype({"bucket": "int64"})
+    want = _oracle(mid, cfg, " SELECT * FROM batch_events")
+    assert frame_hash(got) == frame_hash(want)
