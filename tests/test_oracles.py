@@ -106,3 +106,19 @@ def test_beyond_every_size_bound_matches_oracle(spark, monkeypatch):
     got = got.astype({"bucket": "int64"})
     want = _oracle(mid, cfg, " SELECT * FROM batch_events")
     assert frame_hash(got) == frame_hash(want)
+
+
+def test_event_identity_over_a_shard_window_matches_oracle(spark):
+    from conftest import SF_MID
+    from lifeline.config import SyncConfig
+    from lifeline.plans import events_job
+    from lifeline.sources.inputs import load_testdata
+
+    cfg = SyncConfig(events_identity_days=3)
+    mid = duck(SF_MID)
+    got = events_job.event_rows(load_testdata(spark, SF_MID, cfg), cfg).toPandas()
+    want = _oracle(mid, cfg, """ SELECT user_id, event_custom_type, date_of_change, client_id, app_id,
+        mp_url, subscription_id, offer_type FROM events_ident""")
+    assert frame_hash(got) == frame_hash(want)
+    full = events_job.event_rows(load_testdata(spark, SF_MID), SyncConfig()).toPandas()
+    assert frame_hash(got) != frame_hash(full)  # the window changes first touches
