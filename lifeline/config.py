@@ -22,18 +22,19 @@ class Route:
     match: str | None
     id_param: str
     secret_name: str
-    mobile: bool
 
 
 # Routing rules of the collection endpoint, checked in this
 # order, first match wins.
-#   app id contains "G-"  -> web,     id parameter "measurement_id",  mobile no
-#   app id contains "ios" -> ios,     id parameter "firebase_app_id", mobile yes
-#   anything else         -> android, id parameter "firebase_app_id", mobile yes
+#   app id contains "G-"  -> web,     id parameter "measurement_id"
+#   app id contains "ios" -> ios,     id parameter "firebase_app_id"
+#   anything else         -> android, id parameter "firebase_app_id"
+# (Whether the client id is sent as app_instance_id is decided on the
+# endpoint text: it contains "ios" or "android".)
 DEFAULT_ROUTES: tuple[Route, ...] = (
-    Route("web", "G-", "measurement_id", "secret-web", False),
-    Route("ios", "ios", "firebase_app_id", "secret-ios", True),
-    Route("android", None, "firebase_app_id", "secret-android", True),
+    Route("web", "G-", "measurement_id", "secret-web"),
+    Route("ios", "ios", "firebase_app_id", "secret-ios"),
+    Route("android", None, "firebase_app_id", "secret-android"),
 )
 
 # Raw subscription event type -> outbound event name.

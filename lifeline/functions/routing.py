@@ -18,8 +18,8 @@ def _pick(app_id: Column, cfg: SyncConfig, value) -> Column:
 
 
 def route_columns(app_id: Column, cfg: SyncConfig) -> dict[str, Column]:
-    """Route name, secret name, endpoint (URL without the secret), full URL
-    and whether the route is a mobile one; first matching route wins.
+    """Route name, secret name, endpoint (URL without the secret) and full
+    URL; first matching route wins.
 
     A null app id yields null URL parts (``concat`` propagates null), as in
     the SQL it replaces; the jobs always default the app id first.

@@ -122,3 +122,27 @@ def test_event_identity_over_a_shard_window_matches_oracle(spark):
     assert frame_hash(got) == frame_hash(want)
     full = events_job.event_rows(load_testdata(spark, SF_MID), SyncConfig()).toPandas()
     assert frame_hash(got) != frame_hash(full)  # the window changes first touches
+
+
+def test_custom_routes_match_oracle(spark):
+    from conftest import SF_MID
+    from lifeline.config import Route, SyncConfig
+    from lifeline.plans import registry, state_job
+    from lifeline.plans.oracle import wire_sql
+    from lifeline.operators import payload
+    from lifeline.sources.inputs import load_testdata
+
+    cfg = SyncConfig(
+        endpoint_base="https://other.example.invalid/collect",
+        routes=(Route("android", "android", "app", "k-and"), Route("web", "G-", "mid", "k-web"),
+                Route("ios", "ios", "app", "k-ios"), Route("rest", None, "id", "k-rest")),
+    )
+    mid = duck(SF_MID)
+    inp = load_testdata(spark, SF_MID, cfg)
+    got = state_job.state_projection(inp, cfg).toPandas()
+    assert set(got["route"]) == {"android", "web", "ios"}  # the data has no catch-all app id
+    assert frame_hash(got) == frame_hash(_oracle(mid, cfg, " SELECT * FROM state_proj"))
+    wired = registry._wire(state_job.state_payloads(inp, cfg), payload.STATE_PAYLOAD_SCHEMA).toPandas()
+    want = _oracle(mid, cfg, ", " + wire_sql("state", cfg)
+                   + " SELECT app_id, user_id, url, body, content_length, deliverable FROM wire_state")
+    assert frame_hash(wired) == frame_hash(want)
