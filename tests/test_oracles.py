@@ -5,7 +5,7 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
-from tools.check_oracles import duck, frame_hash
+from tools.check_oracles import duck, frame_hash, type_diff
 
 NAMES = sorted(E.queries())
 
@@ -71,21 +71,11 @@ def test_range_partitioned_batches_match_oracle(spark, con):
     assert frame_hash(got) == frame_hash(want)
 
 
-SPARK_TO_DUCK = {
-    "string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "date": "DATE",
-    "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN", "double": "DOUBLE",
-}
-
-
 @pytest.mark.parametrize("name", NAMES)
 def test_query_types_match_oracle(spark, con, name):
     """Same column names and corresponding types on both sides."""
     sdf = E.queries()[name](spark, SF_SMALL)
-    rel = con.sql(E.oracle_sql()[name])
-    spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
-                   for f in sdf.schema.fields}
-    duck_types = dict(zip(rel.columns, (str(t) for t in rel.types)))
-    assert spark_types == duck_types
+    assert type_diff(sdf, con.sql(E.oracle_sql()[name])) == {}
 
 
 def test_beyond_every_size_bound_matches_oracle(spark, monkeypatch):
