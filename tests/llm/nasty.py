@@ -1,0 +1,50 @@
+"""Rows that operators have to bear."""
+
+import random
+
+LONG = " ".join(f"w{k % 977}x" for k in range(60_000))
+
+TEXTS = [
+    None,
+    "",
+    " \t\n",
+    "a",
+    "one two three",
+    "!!! ... ???",
+    "\x00\x1c\x1d\x85\xa0 nul",
+    LONG,
+    LONG,
+    "İstanbul ΣΑΣ ſ ǅ 漢字 かな 👩‍👩‍👧 é ​",
+    "<|endoftext|><|startoftext|> x <|endoftext|>",
+    "a@b.co x@y.z.w a@b.c%d@e.f " + "q" * 5000 + "@h.i",
+    "1.2.3.4 256.1.1.1 1.2.3.4.5.6.7.8 0001.02.3.255 9.9.9",
+    "4111 1111 1111 1111 4111-1111-1111-1112 " + "1 " * 3000 + "4111111111111111",
+    "+1 (555) 123-4567 +49 (0)30.123456 +1 " + "+" * 50 + "12 ((((5",
+    "call (555) 123-4567 or mail jo [at] host [dot] com, card 4111111111111112",
+    "l\nl\nl\n\n\r\n x\n x",
+    "the cat sat " * 40,
+    "A b C d " * 30 + "tail",
+]
+
+
+def documents(copies: int = 1, seed: int = 5) -> list[tuple]:
+    """(doc_id, text, lang, source, n_chars) with the texts above, near copies and shared passages."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("abcdeéß") for _ in range(rng.randint(1, 6)))
+    prose = lambda n: " ".join(word() + ("." if rng.random() < 0.12 else "") for _ in range(n))
+    texts = list(TEXTS) * copies
+    passage = prose(60)
+    for k in range(12):
+        base = prose(rng.randint(60, 200)).split()
+        texts.append(" ".join(base))
+        for _ in range(rng.randint(0, 4)):
+            near = list(base)
+            for _ in range(rng.randint(0, 6)):
+                near[rng.randrange(len(near))] = word()
+            texts.append(" ".join(near))
+        if k % 3 == 0:
+            texts.append(f"{prose(30)}.\n{passage}.\n{prose(20)}")
+    return [(i, t, rng.choice(["en", None]), None if i % 5 == 0 else f"src{i % 3}", None) for i, t in enumerate(texts)]
+
+
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
