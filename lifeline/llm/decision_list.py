@@ -247,15 +247,17 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> l
         .limit(train_rows)
     )
     picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id")
+    # a filter on the statistics would move below the join and compute them for every document
     rows = (
         with_stats(picked, "doc_id", "quality")
-        .where(~base_failed())
-        .select(F.xxhash64("doc_id").alias("h"), "doc_id", "quality", *(feature(f).alias(f) for f in FEATURES))
+        .select(
+            F.xxhash64("doc_id").alias("h"), "doc_id", "quality", base_failed().alias("failed"), *(feature(f).alias(f) for f in FEATURES)
+        )
         .orderBy("h", "doc_id", "quality", *FEATURES)
         .limit(train_rows)
         .collect()
     )
-    return learn([({f: r[f] for f in FEATURES}, 1 - r["quality"]) for r in rows])
+    return learn([({f: r[f] for f in FEATURES}, 1 - r["quality"]) for r in rows if not r["failed"]])
 
 
 def judge(docs: DataFrame, rules: list[Rule]) -> DataFrame:
