@@ -231,7 +231,7 @@ def groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
         if k < STAR_ROUNDS:
             pairs = placed.where("comp != rep_comp").select(F.col("node").alias("a"), F.col("rep").alias("b")).distinct()
         else:
-            pairs = _apart(placed.select("band", "node", "comp"), nodes, percent)
+            pairs = _apart(placed.select("band", "node", "comp"), nodes, texts, width, percent)
         links = links.union(confirm(pairs))
         labels = components(links)
 
@@ -247,20 +247,53 @@ def groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     )
 
 
-def _apart(placed: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+def _explode(width: int):
+    def run(batches):
+        words = _WordHash()
+        for b in batches:
+            for at in range(0, b.num_rows, 256):
+                part = b.slice(at, 256)
+                sets = [shingles(t, width, words) for t in part.column("text").to_pylist()]
+                n = [len(s) for s in sets]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.concatenate(sets).view(np.int64)),
+                        *(pa.array(np.repeat(part.column(c).to_numpy(), n)) for c in ("node", "comp")),
+                    ],
+                    names=["shingle", "node", "comp"],
+                )
+
+    return run
+
+
+def _apart(placed: DataFrame, nodes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """Possible pairs of different components in the same bucket; at least one
-    of a pair is outside the bucket's largest component."""
-    counts = placed.groupBy("band", "comp").count()
+    of a pair is outside the bucket's largest component.
+
+    ``m`` counts the shingles of a node that occur in another component too;
+    the intersection of a pair across components is no larger than either's."""
+    inside = placed.select("node", "comp").distinct().join(texts, "node")
+    each = save(inside.mapInArrow(_explode(width), "shingle bigint, node bigint, comp bigint"), "dedup-shingles")
+    crossing = each.groupBy("shingle").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("shingle")
+    m = save(each.join(crossing, "shingle").groupBy("node").agg(F.count("*").alias("m")), "dedup-crossing")
+    # alone, an intersection of m allows 100 * m >= percent * n
+    alive = nodes.join(m, "node").where(F.col("m") * 100 >= F.col("n") * percent)
+    rest = placed.join(alive, "node")
+    counts = rest.groupBy("band", "comp").count()
     largest = counts.groupBy("band").agg(F.max(F.struct("count", "comp"))["comp"].alias("most"))
-    rich = placed.join(largest, "band").join(nodes, "node").select("band", "node", "comp", "most", "n", "bits0", "bits1")
-    left = rich.where("comp != most").select("band", *(F.col(c).alias(f"{c}_a") for c in ("node", "comp", "n", "bits0", "bits1")))
-    right = rich.select("band", *(F.col(c).alias(f"{c}_b") for c in ("node", "comp", "most", "n", "bits0", "bits1")))
+    cols = ("node", "comp", "n", "m", "bits0", "bits1")
+    rich = save(rest.join(largest, "band").select("band", "most", *cols), "dedup-apart")
+    left = rich.where("comp != most").select("band", *(F.col(c).alias(f"{c}_a") for c in cols))
+    right = rich.select("band", *(F.col(c).alias(f"{c}_b") for c in ("most", *cols)))
+    # of sets with n and k elements, (n + k) * percent / (100 + percent) have to be in both
+    overlap = F.least("m_a", "m_b") * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent
     return (
         left.join(
             right,
             (left.band == right.band)
             & (F.col("comp_a") != F.col("comp_b"))
             & ((F.col("comp_b") == F.col("most_b")) | (F.col("node_a") < F.col("node_b")))
+            & overlap
             & _possible("_a", "_b", percent),
         )
         .select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
