@@ -21,6 +21,7 @@ columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import json
 import uuid
 
 import numpy as np
@@ -51,11 +52,35 @@ def load(path: str):
     return tokenizer
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that byte-level vocabularies write for a byte: itself if it
+    prints, else the next free one from 256."""
+    prints = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in prints]
+    return {**{b: chr(b) for b in prints}, **{b: chr(256 + k) for k, b in enumerate(rest)}}
+
+
 def word_encoder(path: str):
-    """Ids of one pre-token, which is normalised already."""
+    """Ids of one pre-token, which is normalised and split already."""
     tokenizer = load(path)
-    tokenizer.normalizer = None
-    return lambda word: tokenizer.encode(word, add_special_tokens=False).ids
+    special = {t.content: i for i, t in tokenizer.get_added_tokens_decoder().items()}
+    kinds = json.loads(tokenizer.to_str())["pre_tokenizer"]
+    if (kinds or {}).get("pretokenizers", [kinds])[-1]["type"] != "ByteLevel":
+        tokenizer.normalizer = None
+        return lambda word: tokenizer.encode(word, add_special_tokens=False).ids
+    letters, merge = _byte_letters(), tokenizer.model.tokenize
+
+    def ids(word: str) -> list[int]:
+        if word in special:
+            return [special[word]]
+        return [t.id for t in merge(word.encode().decode("latin-1").translate(letters))]
+
+    return ids
+
+
+def id_type(tokenizer) -> str:
+    """The narrowest little-endian type for its ids."""
+    return "<u2" if tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
 
 
 class _Numbers(dict):
@@ -139,19 +164,19 @@ def coded_documents(docs: DataFrame, path: str, chunk_chars: int) -> DataFrame:
 
 
 def encoded_words(coded: DataFrame, path: str) -> DataFrame:
-    """(chunk, number, ids): the ids of every listed word as little-endian
-    unsigned 32-bit integers; each distinct word is encoded once."""
+    """(chunk, number, ids): the ids of every listed word, of the tokenizer's
+    ``id_type``; each distinct word is encoded once."""
     n = int(coded.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     words = coded.where("words is not null").select("chunk", "first", F.posexplode("words").alias("pos", "word"))
     words = words.select("word", "chunk", (F.col("first") + F.col("pos")).alias("number"))
 
     def encode(batches):
-        encoder, last, ids = word_encoder(path), None, b""
+        encoder, kind, last, ids = word_encoder(path), id_type(load(path)), None, b""
         for b in batches:
             out = []
             for word in b.column("word").to_pylist():
                 if word != last:
-                    last, ids = word, np.array(encoder(word), dtype="<u4").tobytes()
+                    last, ids = word, np.array(encoder(word), dtype=kind).tobytes()
                 out.append(ids)
             yield pa.RecordBatch.from_arrays(
                 [b.column("chunk"), b.column("number"), pa.array(out, pa.binary())], names=["chunk", "number", "ids"]
@@ -172,7 +197,9 @@ def vocabulary(path: str) -> list[str]:
 def _assemble(docs: DataFrame, path: str, chunk_chars: int, fields: str, emit) -> DataFrame:
     """Join ids to documents by position; ``emit(ids, decoded)`` makes the
     columns after doc_id from lists of both."""
-    if load(path).decoder is not None:
+    tokenizer = load(path)
+    kind = id_type(tokenizer)
+    if tokenizer.decoder is not None:
         raise ValueError("decoding joins pieces by spaces; the tokenizer has a decoder of its own")
     coded = coded_documents(docs, path, chunk_chars)
     ids = encoded_words(coded, path)
@@ -183,10 +210,10 @@ def _assemble(docs: DataFrame, path: str, chunk_chars: int, fields: str, emit) -
     def join(left: pa.Table, right: pa.Table) -> pa.Table:
         order = np.argsort(right.column("number").to_numpy())
         each = right.column("ids").to_pylist()
-        each = [np.frombuffer(each[k], dtype="<u4") for k in order]
+        each = [np.frombuffer(each[k], dtype=kind) for k in order]
         length = np.array([len(x) for x in each], dtype=np.int64)
         start = np.concatenate(([0], np.cumsum(length)))[:-1]
-        flat = np.concatenate(each) if each else np.empty(0, dtype="<u4")
+        flat = (np.concatenate(each) if each else np.empty(0)).astype("<u4")
         piece = pieces.value
         text = [" ".join([piece[i] for i in x.tolist()]) for x in each]
         parts, done, texts = [], [], []

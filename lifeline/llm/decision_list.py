@@ -7,8 +7,8 @@ low quality: a rule is grown condition by condition on two thirds of the rows
 the rows that it covers are set aside.  The ordered list becomes one
 ``CASE WHEN`` expression.
 
-Learning reads at most ``TRAIN_ROWS`` labelled documents, those with the
-smallest hash of doc_id, and runs on their statistics alone; statistics and
+Learning reads about ``TRAIN_ROWS`` labelled documents (at most twice as many),
+those with the smallest hash of doc_id, and runs on their statistics alone; statistics and
 verdicts cover every row.
 
 Defined results: a null or empty text has no words and fails the base rule;
@@ -27,6 +27,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lifeline.llm.tables import hashed_sample
+
 #: Fixed values of the base rule: fewest words, and the percentage of words in repeated windows.
 MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
@@ -240,11 +242,10 @@ def passes(rules: list[Rule]) -> Column:
 
 def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> list[Rule]:
     """Learn from the labelled documents with the smallest hashes."""
-    sample = (
-        labels.where("doc_id is not null and quality in (0, 1)")
-        .select(F.col("doc_id").cast("long").alias("doc_id"), "quality")
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "quality")
-        .limit(train_rows)
+    sample = hashed_sample(
+        labels.where("doc_id is not null and quality in (0, 1)").select(F.col("doc_id").cast("long").alias("doc_id"), "quality"),
+        train_rows,
+        "doc_id",
     )
     picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id")
     # a filter on the statistics would move below the join and compute them for every document
@@ -254,7 +255,7 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> l
             F.xxhash64("doc_id").alias("h"), "doc_id", "quality", base_failed().alias("failed"), *(feature(f).alias(f) for f in FEATURES)
         )
         .orderBy("h", "doc_id", "quality", *FEATURES)
-        .limit(train_rows)
+        .limit(2 * train_rows)
         .collect()
     )
     return learn([({f: r[f] for f in FEATURES}, 1 - r["quality"]) for r in rows if not r["failed"]])

@@ -34,3 +34,13 @@ def maybe_broadcast(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> Da
 
 def sha256_hex(col: F.Column) -> F.Column:
     return F.sha2(col.cast("binary"), 256)
+
+
+def hashed_sample(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """About ``rows`` rows, at most twice as many: those whose hash of ``keys``
+    is below a bound set from the counted size.  Tasks send on only what is in
+    the sample, however many tasks there are."""
+    n = df.count()
+    if n > rows:
+        df = df.where(F.xxhash64(*keys) <= F.lit(-(2**63) + rows * 2**64 // n))
+    return df.limit(2 * rows)

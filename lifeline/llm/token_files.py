@@ -12,9 +12,9 @@ A document is one frame: its ids, end id included, as little-endian unsigned
 integers of ``width`` bytes.  A short document is read by its segment's row
 and offset alone (``lookup``); ``start`` is the number of ids before it.
 
-The dictionary is trained on the first ``SAMPLE_CHARS`` characters of the
-``SAMPLE_DOCS`` documents with the smallest hash, a fixed bound whatever the
-corpus; only the compression ratio depends on it.
+The dictionary is trained on the first ``SAMPLE_CHARS`` characters of about
+``SAMPLE_DOCS`` documents, those with the smallest hashes, a fixed bound
+whatever the corpus; only the compression ratio depends on it.
 
 Defined results: a null or empty text is the end id alone; rows with a null
 doc_id come first; rows with the same doc_id are in order of text; an empty
@@ -24,6 +24,8 @@ table gives empty files; other columns are not stored.
 from __future__ import annotations
 
 import hashlib
+import sys
+import types
 import zlib
 
 import numpy as np
@@ -33,9 +35,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lifeline.llm.bpe_words import load, word_encoder
+from lifeline.llm.bpe_words import id_type, load, word_encoder
 from lifeline.llm.pretokens import Splitter
-from lifeline.llm.tables import maybe_broadcast
+from lifeline.llm.tables import hashed_sample, maybe_broadcast
 
 FORMAT = 1
 END_ID = 0
@@ -44,8 +46,8 @@ SAMPLE_CHARS = 4_096
 DICTIONARY_BYTES = 64 << 10
 SEGMENT_BYTES = 4 << 20
 SEGMENT_DOCS = 8_192
-#: Words whose ids a task remembers.
-MEMO_WORDS = 300_000
+#: Words whose ids a worker remembers.
+MEMO_WORDS = 600_000
 
 _SEGMENT = (
     "part int, segment int, first_doc bigint, last_doc bigint, doc_ids array<bigint>, n_tokens array<bigint>, "
@@ -58,9 +60,9 @@ class Encoder:
 
     def __init__(self, path: str, end_id: int = END_ID):
         tokenizer = load(path)
-        self.width = 2 if tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
-        self.split, self.end = Splitter(tokenizer), np.array([end_id], dtype=f"<u{self.width}").tobytes()
-        ids, kind = word_encoder(path), f"<u{self.width}"
+        ids, kind = word_encoder(path), id_type(tokenizer)
+        self.width = np.dtype(kind).itemsize
+        self.split, self.end = Splitter(tokenizer), np.array([end_id], dtype=kind).tobytes()
 
         class Memo(dict):
             def __missing__(self, word: str) -> bytes:
@@ -75,14 +77,19 @@ class Encoder:
         return b"".join(map(self.memo.__getitem__, self.split(text))) + self.end
 
 
+def worker_encoder(path: str) -> Encoder:
+    """One encoder per worker process: a task finds what tasks before it in the
+    same process remember.  The place is a module of its own, since functions
+    that are pickled by value have no lasting globals."""
+    place = sys.modules.setdefault("lifeline_worker_encoders", types.ModuleType("lifeline_worker_encoders"))
+    if path not in vars(place):
+        vars(place)[path] = Encoder(path)
+    return vars(place)[path]
+
+
 def train_dictionary(docs: DataFrame, path: str) -> bytes:
     """A zstandard dictionary from the bounded sample; empty if there is too little text."""
-    sample = (
-        docs.select(F.xxhash64("doc_id").alias("h"), "doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("text"))
-        .orderBy("h", "doc_id", "text")
-        .limit(SAMPLE_DOCS)
-        .collect()
-    )
+    sample = hashed_sample(docs, SAMPLE_DOCS, "doc_id").select(F.substring("text", 1, SAMPLE_CHARS).alias("text")).collect()
     encode = Encoder(path)
     arrays = [encode(r["text"]) for r in sample]
     try:
@@ -97,7 +104,7 @@ def _dictionary(data: bytes):
 
 def _write(path: str, dictionary: bytes, sha: str):
     def run(batches):
-        encode = Encoder(path)
+        encode = worker_encoder(path)
         frame = zstandard.ZstdCompressor(level=3, dict_data=_dictionary(dictionary)).compress
         part, segment = TaskContext.get().partitionId(), 0
         ids, counts, frames = [], [], []
@@ -173,16 +180,16 @@ def _open(spark: SparkSession, out: str) -> tuple[bytes, int, str]:
 
 
 def _frames(batch: pa.RecordBatch, dictionary: bytes, width: int, sha: str, wanted=None):
-    """(position, doc_id, start in the segment, ids) of each document of a batch of segments."""
+    """(doc_id, start in the segment, ids) of each document of a batch of segments."""
     read = zstandard.ZstdDecompressor(dict_data=_dictionary(dictionary)).decompress
-    for k, seg in enumerate(batch.to_pylist()):
+    for seg in batch.to_pylist():
         if seg["dictionary_sha256"] != sha:
             raise ValueError("a segment was written with another dictionary")
         at, frames = 0, seg["frames"]
         for j, (doc_id, n) in enumerate(zip(seg["doc_ids"], seg["n_tokens"], strict=True)):
             if wanted is None or doc_id in wanted:
                 data = read(frames[seg["offsets"][j] : seg["offsets"][j + 1]], max_output_size=n * width)
-                yield k, doc_id, at, np.frombuffer(data, dtype=f"<u{width}").astype("<u4")
+                yield doc_id, at, np.frombuffer(data, dtype=f"<u{width}").astype("<u4")
             at += n
 
 
@@ -196,7 +203,7 @@ def read(spark: SparkSession, out: str, emit, fields: str, wanted=None) -> DataF
             for k in range(b.num_rows):
                 one = b.slice(k, 1)
                 part, segment = one.column("part")[0].as_py(), one.column("segment")[0].as_py()
-                rows = [dict(zip(names, (part, segment, doc_id, at, *emit(ids)), strict=True)) for _, doc_id, at, ids in _frames(one, dictionary, width, sha, wanted)]
+                rows = [dict(zip(names, (part, segment, doc_id, at, *emit(ids)), strict=True)) for doc_id, at, ids in _frames(one, dictionary, width, sha, wanted)]
                 yield from pa.Table.from_pylist(rows, schema=schema).to_batches()
 
     kinds = {"bigint": pa.int64(), "binary": pa.binary()}
