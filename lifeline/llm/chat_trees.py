@@ -88,26 +88,29 @@ def _ancestors(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
         "chat-up",
     )
     steps, rows = [], up.count()
-    while up.where(F.col("anc").isNotNull()).limit(1).count() and 2 ** len(steps) <= rows:
-        steps.append(up.where(F.col("anc").isNotNull()).select("tree_id", "node_id", "anc"))
-        above = up.select(
+    ended, open_ = up.where(F.col("anc").isNull()), up.where(F.col("anc").isNotNull())
+    while open_.limit(1).count() and 2 ** len(steps) <= rows:
+        steps.append(open_.select("tree_id", "node_id", "anc"))
+        above = ended.union(open_).select(
             "tree_id",
             F.col("node_id").alias("anc"),
             F.col("anc").alias("next"),
             F.col("total").alias("total_up"),
             F.col("length").alias("length_up"),
         )
+        # only messages that have not reached their root take part
         up = save(
-            up.join(above, ["tree_id", "anc"], "left").select(
+            open_.join(above, ["tree_id", "anc"]).select(
                 "tree_id",
                 "node_id",
                 F.col("next").alias("anc"),
-                (F.col("total") + F.coalesce("total_up", F.lit(0.0))).alias("total"),
-                (F.col("length") + F.coalesce("length_up", F.lit(0))).alias("length"),
+                (F.col("total") + F.col("total_up")).alias("total"),
+                (F.col("length") + F.col("length_up")).alias("length"),
             ),
             "chat-up",
         )
-    return steps, up.where(F.col("anc").isNull()).drop("anc")
+        ended, open_ = ended.union(up.where(F.col("anc").isNull())), up.where(F.col("anc").isNotNull())
+    return steps, ended.drop("anc")
 
 
 def ranked_paths(nodes: DataFrame, top_k: int = 1) -> DataFrame:
