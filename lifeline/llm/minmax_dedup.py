@@ -40,8 +40,10 @@ ROWS = 4
 BANDS = 2 * PERMUTATIONS // ROWS
 #: Random members that each member of an unresolved bucket is compared with before the exhaustive pass.
 STAR_ROUNDS = 2
-#: Differing bits of 128 beyond which a pair is not confirmed: at similarity 0.8 12.8 are expected, with a deviation of 3.4.
-SKETCH_BITS = 36
+#: Four bits of each signature value make a sketch.  Differing values of 128 beyond which a pair is not
+#: confirmed: at similarity 0.8, 24 are expected, with a deviation of 4.4.
+SKETCH_APART = 51
+_SKETCH = 2 * PERMUTATIONS // 16
 
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -102,17 +104,17 @@ def _sign(width: int):
                 keys ^= keys >> _SHIFT
                 keys = (keys * _MIX).view(np.int64)
                 # a value's bit must not be that of its rank: mixed before it is taken
-                bits = np.packbits(((sig * _MIX) >> np.uint64(40) & np.uint64(1)).astype(np.uint8), axis=1).view(np.int64)
+                bits = ((sig * _MIX) >> np.uint64(40) & np.uint64(15)).astype(np.uint8)
+                bits = np.ascontiguousarray(bits[:, ::2] << 4 | bits[:, 1::2]).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
                         pa.array(list(keys), pa.list_(pa.int64())),
-                        pa.array(bits[:, 0]),
-                        pa.array(bits[:, 1]),
+                        pa.array(list(bits), pa.list_(pa.int64())),
                     ],
-                    names=["doc_id", "n_shingles", "set_hash", "bands", "bits0", "bits1"],
+                    names=["doc_id", "n_shingles", "set_hash", "bands", "bits"],
                 )
 
     return run
@@ -177,8 +179,14 @@ def _links(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, width: int, per
 def _possible(x: str, y: str, percent: int) -> F.Column:
     """Sizes and sketches allow the similarity."""
     n, m = F.col(f"n{x}"), F.col(f"n{y}")
-    apart = sum(F.bit_count(F.col(f"bits{k}{x}").bitwiseXOR(F.col(f"bits{k}{y}"))) for k in (0, 1))
-    return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (apart <= SKETCH_BITS)
+
+    def differing(k: int) -> F.Column:
+        d = F.get(f"bits{x}", F.lit(k)).bitwiseXOR(F.get(f"bits{y}", F.lit(k)))
+        for step in (1, 2):  # into the lowest of each four bits
+            d = d.bitwiseOR(F.shiftrightunsigned(d, step))
+        return F.bit_count(d.bitwiseAND(F.lit(0x1111111111111111)))
+
+    return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (sum(differing(k) for k in range(_SKETCH)) <= SKETCH_APART)
 
 
 def groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -191,7 +199,7 @@ def groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     signed = save(
         docs.mapInArrow(
             _sign(width),
-            "doc_id bigint, n_shingles bigint, set_hash binary, bands array<bigint>, bits0 bigint, bits1 bigint",
+            "doc_id bigint, n_shingles bigint, set_hash binary, bands array<bigint>, bits array<bigint>",
         ),
         "dedup-signed",
     )
@@ -201,13 +209,12 @@ def groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
         .agg(
             F.min("doc_id").alias("node"),
             F.any_value("n_shingles").alias("n"),
-            F.any_value("bits0").alias("bits0"),
-            F.any_value("bits1").alias("bits1"),
+            F.any_value("bits").alias("bits"),
             F.any_value("bands").alias("bands"),
         ),
         "dedup-classes",
     )
-    nodes = classes.select("node", "n", "bits0", "bits1")
+    nodes = classes.select("node", "n", "bits")
     banded = classes.select("node", F.explode("bands").alias("band"))
     shared = banded.groupBy("band").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo != hi").select("band", "lo")
     members = save(banded.join(shared, "band"), "dedup-members")
@@ -229,10 +236,9 @@ def groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
         if not placed.limit(1).count():
             break
         if k < STAR_ROUNDS:
-            pairs = placed.where("comp != rep_comp").select(F.col("node").alias("a"), F.col("rep").alias("b")).distinct()
+            links = links.union(confirm(placed.where("comp != rep_comp").select(F.col("node").alias("a"), F.col("rep").alias("b")).distinct()))
         else:
-            pairs = _apart(placed.select("band", "node", "comp"), nodes, texts, width, percent)
-        links = links.union(confirm(pairs))
+            links = links.union(save(_across(placed.select("band", "node", "comp"), classes, texts, width, percent), "dedup-links"))
         labels = components(links)
 
     smallest = labels.groupBy("label").agg(F.min("node").alias("component_id"))
@@ -247,58 +253,55 @@ def groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     )
 
 
-def _explode(width: int):
+def _sets(width: int):
     def run(batches):
         words = _WordHash()
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)
-                sets = [shingles(t, width, words) for t in part.column("text").to_pylist()]
-                n = [len(s) for s in sets]
+                sets = [shingles(t, width, words).view(np.int64) for t in part.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.concatenate(sets).view(np.int64)),
-                        *(pa.array(np.repeat(part.column(c).to_numpy(), n)) for c in ("node", "comp")),
-                    ],
-                    names=["shingle", "node", "comp"],
+                    [part.column("node"), part.column("comp"), pa.array(sets, pa.list_(pa.int64()))], names=["node", "comp", "shingles"]
                 )
 
     return run
 
 
-def _apart(placed: DataFrame, nodes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """Possible pairs of different components in the same bucket; at least one
-    of a pair is outside the bucket's largest component.
+def _across(placed: DataFrame, classes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """The links (a, b) between different components in the same bucket; at
+    least one of a pair is outside the bucket's largest component.
 
     ``m`` counts the shingles of a node that occur in another component too;
-    the intersection of a pair across components is no larger than either's."""
+    the intersection of a pair across components is no larger than either's.
+    Pairs that pass this, the sizes and the sketches are confirmed on their
+    full sets as part of the join, so only links leave it."""
     inside = placed.select("node", "comp").distinct().join(texts, "node")
-    each = save(inside.mapInArrow(_explode(width), "shingle bigint, node bigint, comp bigint"), "dedup-shingles")
+    inside = save(inside.mapInArrow(_sets(width), "node bigint, comp bigint, shingles array<bigint>"), "dedup-sets")
+    each = inside.select("node", "comp", F.explode("shingles").alias("shingle"))
     crossing = each.groupBy("shingle").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("shingle")
-    m = save(each.join(crossing, "shingle").groupBy("node").agg(F.count("*").alias("m")), "dedup-crossing")
+    m = each.join(crossing, "shingle").groupBy("node").agg(F.count("*").alias("m"))
     # alone, an intersection of m allows 100 * m >= percent * n
-    alive = nodes.join(m, "node").where(F.col("m") * 100 >= F.col("n") * percent)
-    rest = placed.join(alive, "node")
+    alive = classes.select("node", "n", "bits", "bands").join(m, "node").where(F.col("m") * 100 >= F.col("n") * percent)
+    rest = placed.join(save(alive.join(inside.select("node", "shingles"), "node"), "dedup-alive"), "node")
     counts = rest.groupBy("band", "comp").count()
     largest = counts.groupBy("band").agg(F.max(F.struct("count", "comp"))["comp"].alias("most"))
-    cols = ("node", "comp", "n", "m", "bits0", "bits1")
-    rich = save(rest.join(largest, "band").select("band", "most", *cols), "dedup-apart")
+    cols = ("node", "comp", "n", "m", "bits", "bands", "shingles")
+    rich = rest.join(largest, "band").select("band", "most", *cols)
     left = rich.where("comp != most").select("band", *(F.col(c).alias(f"{c}_a") for c in cols))
-    right = rich.select("band", *(F.col(c).alias(f"{c}_b") for c in ("most", *cols)))
+    right = rich.select(F.col("band").alias("band_b"), *(F.col(c).alias(f"{c}_b") for c in ("most", *cols)))
     # of sets with n and k elements, (n + k) * percent / (100 + percent) have to be in both
-    overlap = F.least("m_a", "m_b") * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent
-    return (
-        left.join(
-            right,
-            (left.band == right.band)
-            & (F.col("comp_a") != F.col("comp_b"))
-            & ((F.col("comp_b") == F.col("most_b")) | (F.col("node_a") < F.col("node_b")))
-            & overlap
-            & _possible("_a", "_b", percent),
-        )
-        .select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
-        .distinct()
-    )
+    enough = lambda both, n, k: both * (100 + percent) >= (n + k) * percent
+    return left.join(
+        right,
+        (F.col("band") == F.col("band_b"))
+        & (F.col("comp_a") != F.col("comp_b"))
+        & ((F.col("comp_b") == F.col("most_b")) | (F.col("node_a") < F.col("node_b")))
+        & enough(F.least("m_a", "m_b"), F.col("n_a"), F.col("n_b"))
+        & _possible("_a", "_b", percent)
+        # a pair that shares several bands is compared in the first of them
+        & (F.array_min(F.array_intersect("bands_a", "bands_b")) == F.col("band"))
+        & enough(F.size(F.array_intersect("shingles_a", "shingles_b")), F.size("shingles_a"), F.size("shingles_b")),
+    ).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
 
 
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
