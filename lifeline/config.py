@@ -90,14 +90,12 @@ class SyncConfig:
     # events (the collection endpoint accepts 25 events per request)
     max_events_per_payload: int = 25
     send_partitions: int = 10
+    # the daily runs commit the ledger after each of this many groups of
+    # batches, so a failed send is repeated for one group at most
+    send_commits: int = 4
     # largest key set broadcast as a semi-join filter ahead of the identity
     # aggregate (about 100 bytes a key in the broadcast relation)
     identity_broadcast_max_keys: int = 1_000_000
-    # a user with more event rows than this in one day has them salted over
-    # ceil(n / payload_split_rows) sub-groups before numbering
-    payload_split_rows: int = 100_000
-    # largest hot-user list broadcast to the event rows
-    hot_user_broadcast_max: int = 1_000_000
     # batching: an app with at most rows_per_range_partition payloads is
     # numbered in one task (plain ntile window); bigger inputs use that many
     # rows per range partition.  bucket_partitions forces the range form
@@ -134,8 +132,9 @@ class SyncConfig:
         return self.shard(lo), self.shard(self.today_local)
 
     @property
-    def events_shard_range(self) -> tuple[str, str] | None:
+    def events_shard_range(self) -> tuple[str | None, str]:
+        """Never past today, so a past ``as_of`` reads what it read then."""
         if self.events_identity_days is None:
-            return None
+            return None, self.shard(self.today_local)
         lo = self.today_local - dt.timedelta(days=self.events_identity_days - 1)
         return self.shard(lo), self.shard(self.today_local)

@@ -110,7 +110,7 @@ def distributed_ntile(
     numbered frame is checkpointed to the shared folder: partition ids and
     row sequence must not change between the count pass and the numbering
     pass, even if executors are lost.  The per-(partition, group) offsets
-    table is only persisted: it is recomputed exactly from that checkpoint.
+    table is small and recomputed exactly from that checkpoint.
     Pass ``n_buckets`` when the total is known (``ntile`` does): the bucket
     count then needs no global window over the offsets table.
     """
@@ -142,7 +142,7 @@ def distributed_ntile(
             if n_buckets is not None
             else bucket_count(F.sum("_cnt").over(Window.partitionBy()), target)
         ).alias("n_buckets"),
-    ).persist(StorageLevel.MEMORY_AND_DISK)
+    )
     if offsets.count() <= OFFSETS_BROADCAST_MAX:
         offsets = F.broadcast(offsets)
     i = F.col("_before") + F.col("_seq") - F.col("_seq0")

@@ -129,7 +129,8 @@ def payload_wire_rows(batch_df: DataFrame, schema: T.StructType, cfg: SyncConfig
     return items.select(
         "batch_id",
         F.col("payload_index").cast("int").alias("payload_index"),
-        F.sha2(F.concat_ws("|", F.col("batch_id"), w["body"]), 256).alias("payload_id"),
+        # by day, endpoint and body: batches may be cut otherwise on a re-run
+        F.sha2(F.concat_ws("|", F.lit(str(cfg.today_local)), w["url"], w["body"]), 256).alias("payload_id"),
         route_columns(F.col("app_id"), cfg)["route"].alias("route"),
         w["deliverable"].alias("deliverable"),
         w["content_length"].cast("int").alias("content_length"),
@@ -173,10 +174,16 @@ def deliver(
     transport=None,
     ledger_path: str | None = None,
     skip_delivered: DataFrame | None = None,
+    commits: int = 1,
 ) -> DataFrame:
     """Send every deliverable payload once, write the ledger to
     ``ledger_path`` (default: a fresh folder under the checkpoint folder)
-    and return the ledger as read back from storage."""
+    and return the ledger as read back from storage.
+
+    The batches are sent in ``commits`` groups, each with a ledger commit of
+    its own.  Payloads that ``skip_delivered`` (an earlier ledger) has as
+    delivered (or undeliverable) are left out; that ledger may be the one at ``ledger_path``,
+    which is then added to."""
     spark = batch_df.sparkSession
     transport = transport or DryRunTransport()
     # the sender closure and transports travel by value, so executors need
@@ -188,15 +195,18 @@ def deliver(
     rows = payload_wire_rows(batch_df, schema, cfg)
     if skip_delivered is not None:
         done = skip_delivered.where(
-            F.col("sent") & F.col("status_code").between(200, 299)
+            ~F.col("deliverable") | (F.col("sent") & F.col("status_code").between(200, 299))
         ).select("payload_id")
         rows = rows.join(done, "payload_id", "left_anti")
-    sent = (
-        rows.repartition(cfg.send_partitions, "batch_id")
-        .sortWithinPartitions("batch_id", "payload_index")
-        .mapInPandas(_sender(transport), LEDGER_SCHEMA)
-    )
-    sent.write.mode("errorifexists").parquet(ledger_path)
+    for k in range(commits):
+        group = rows.where(F.pmod(F.xxhash64("batch_id"), F.lit(commits)) == k) if commits > 1 else rows
+        sent = (
+            group.repartition(cfg.send_partitions, "batch_id")
+            .sortWithinPartitions("batch_id", "payload_index")
+            .mapInPandas(_sender(transport), LEDGER_SCHEMA)
+        )
+        again = k > 0 or skip_delivered is not None
+        sent.write.mode("append" if again else "errorifexists").parquet(ledger_path)
     return spark.read.schema(LEDGER_SCHEMA).parquet(ledger_path)
 
 

@@ -132,8 +132,9 @@ def day_states(analytics: DataFrame) -> DataFrame:
 
 
 def write_day_states(states: DataFrame, path: str) -> None:
-    """Append complete days to the day-state table (one folder per shard)."""
-    states.write.mode("append").partitionBy("suffix").parquet(path)
+    """Store complete days in the day-state table (one folder per shard); a
+    day that is written again replaces its folder, others stay."""
+    states.write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("suffix").parquet(path)
 
 
 def read_day_states(spark, path: str) -> DataFrame:

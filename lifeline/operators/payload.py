@@ -7,12 +7,13 @@ the payload without ``URL`` and ``app_id``, the client id named
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lifeline.config import SyncConfig
 from lifeline.functions.routing import is_mobile_endpoint
+from lifeline.operators.numbering import number_in_groups
 
 VALUE = lambda c: F.struct(c.alias("value"))
 
@@ -96,74 +97,20 @@ def state_payloads(projected: DataFrame, cfg: SyncConfig) -> DataFrame:
     )
 
 
-def _content_hash(*cols: Column) -> Column:
-    """Non-negative 60-bit integer from SHA-256 of the columns (stable across
-    engines, used only to spread a hot user's rows)."""
-    digest = F.sha2(F.concat_ws("|", *cols), 256)
-    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
-
-
-def hot_users(rows: DataFrame, cfg: SyncConfig) -> DataFrame:
-    """Users with more than ``cfg.payload_split_rows`` rows, and how many
-    sub-groups their rows are salted over.  At most
-    rows / payload_split_rows users can qualify."""
-    counts = rows.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n"))
-    return counts.where(F.col("_n") > cfg.payload_split_rows).select(
-        "user_id", F.ceil(F.col("_n") / cfg.payload_split_rows).cast("long").alias("_splits")
-    )
-
-
-def chunk_user_events(
-    rows: DataFrame, cfg: SyncConfig, hot: DataFrame | None = None, n_hot: int | None = None
-) -> DataFrame:
-    """Number each user's events and cut them into chunks of at most
-    ``cfg.max_events_per_payload`` (``_split``, ``_chunk``, ``_rn``).
-
-    Users with more than ``cfg.payload_split_rows`` rows are salted: their
-    rows are spread over ceil(n / split_rows) sub-groups by a content hash,
-    so no numbering window holds more than about ``split_rows`` rows.  Only
-    the (few) hot users travel to the rows, as a broadcast whose row count
-    is checked first; any user not in it has one sub-group.  ``hot`` may be
-    computed upstream on a cheaper frame with the same per-user row counts,
-    and ``n_hot`` its row count if already known.
-    """
-    hot = hot_users(rows, cfg) if hot is None else hot
-    n_hot = hot.count() if n_hot is None else n_hot
-    hot_side = F.broadcast(hot) if n_hot <= cfg.hot_user_broadcast_max else hot
-    salted = rows.join(hot_side, "user_id", "left").withColumn(
-        "_split",
-        F.coalesce(
-            F.pmod(
-                _content_hash(
-                    F.col("event_type"), F.col("subscription_id"), F.col("offer_type")
-                ),
-                F.col("_splits"),
-            ),
-            F.lit(0).cast("long"),
-        ),
-    )
-    # shuffle on (user, sub-group) explicitly: were the hot list joined
-    # without broadcast, its user-only partitioning would otherwise satisfy
-    # the window and keep a hot user in one task
-    salted = salted.repartition("user_id", "_split")
-    w = Window.partitionBy("user_id", "_split").orderBy(
-        F.col("event_custom_type").asc_nulls_first(),
-        F.col("subscription_id").asc_nulls_first(),
-        F.col("offer_type").asc_nulls_first(),
-        F.col("event_type").asc_nulls_first(),
-    )
-    return (
-        salted.withColumn("_rn", F.row_number().over(w))
-        .withColumn("_chunk", F.floor((F.col("_rn") - 1) / cfg.max_events_per_payload))
-        .drop("_splits")
+def chunk_user_events(rows: DataFrame, cfg: SyncConfig) -> DataFrame:
+    """Number each user's events (``_rn``) and cut them into chunks of at
+    most ``cfg.max_events_per_payload`` (``_chunk``).  Chunks depend on the
+    events and that size only; a user of any size is numbered over many
+    tasks."""
+    order = ["event_custom_type", "subscription_id", "offer_type", "event_type"]
+    return number_in_groups(rows, "user_id", order, "_rn").withColumn(
+        "_chunk", F.floor((F.col("_rn") - 1) / cfg.max_events_per_payload)
     )
 
 
-def user_event_lists(
-    rows: DataFrame, cfg: SyncConfig, hot: DataFrame | None = None, n_hot: int | None = None
-) -> DataFrame:
-    """Per (user, sub-group, chunk) the ordered list of event structs."""
-    chunked = chunk_user_events(rows, cfg, hot, n_hot)
+def user_event_lists(rows: DataFrame, cfg: SyncConfig) -> DataFrame:
+    """Per (user, chunk) the ordered list of event structs."""
+    chunked = chunk_user_events(rows, cfg)
     event = F.struct(
         F.col("event_custom_type").alias("name"),
         F.struct(
@@ -172,7 +119,7 @@ def user_event_lists(
             F.col("subscription_id").alias("subscription_id"),
         ).alias("params"),
     )
-    keys = ["user_id", "app_id", "client_id", "mp_url", "_split", "_chunk"]
+    keys = ["user_id", "app_id", "client_id", "mp_url", "_chunk"]
     return chunked.groupBy(*keys).agg(
         F.transform(
             F.array_sort(F.collect_list(F.struct(F.col("_rn").alias("rn"), event.alias("e")))),
@@ -181,11 +128,9 @@ def user_event_lists(
     )
 
 
-def event_payloads(
-    rows: DataFrame, cfg: SyncConfig, hot: DataFrame | None = None, n_hot: int | None = None
-) -> DataFrame:
+def event_payloads(rows: DataFrame, cfg: SyncConfig) -> DataFrame:
     """One payload per (user, chunk) listing that chunk's events."""
-    lists = user_event_lists(rows, cfg, hot, n_hot)
+    lists = user_event_lists(rows, cfg)
     payload = F.struct(
         F.col("mp_url").alias("URL"),
         F.col("app_id"),
@@ -196,7 +141,6 @@ def event_payloads(
     return lists.select(
         "app_id",
         "user_id",
-        F.col("_split").alias("split"),
         F.col("_chunk").alias("chunk"),
         F.size("events").alias("n_events"),
         F.to_json(payload).alias("payload_json"),

@@ -44,21 +44,24 @@ def latest_entry(snapshot: DataFrame, cfg: SyncConfig) -> DataFrame:
 
     Group max, then an equi-join back on (user, day).  The max is computed
     with partial aggregation, so a user holding a large share of the rows is
-    folded map-side; the lookback bound is stated on both sides (implied by
+    folded map-side; the day bounds (lookback, and today) are stated on both sides (implied by
     the equality) so both scans are filtered.
     """
     paying = snapshot.where(
-        (F.col("base_group") != "churn") & (F.col("calendar_date") >= F.lit(lookback_start(cfg)))
+        (F.col("base_group") != "churn")
+        & F.col("calendar_date").between(F.lit(lookback_start(cfg)), F.lit(cfg.today_local))
     )
     latest = paying.groupBy("user_id").agg(F.max("calendar_date").alias("calendar_date"))
     return paying.join(latest, ["user_id", "calendar_date"], "inner")
 
 
-def churn_rollup(snapshot: DataFrame) -> DataFrame:
-    """Per (user, start) over churn rows: latest cycle end, the greatest churn
+def churn_rollup(snapshot: DataFrame, cfg: SyncConfig) -> DataFrame:
+    """Per (user, start) over churn rows through today: latest cycle end, the greatest churn
     type ('voluntary' > 'involuntary'), and the end date: the snapshot day for
     involuntary rows, the cycle end otherwise."""
-    churn = snapshot.where(F.col("base_group") == "churn")
+    churn = snapshot.where(
+        (F.col("base_group") == "churn") & (F.col("calendar_date") <= F.lit(cfg.today_local))
+    )
     end = F.when(F.col("churn_type") == "involuntary", F.col("calendar_date")).otherwise(
         F.col("billing_cycle_end_date")
     )
@@ -120,7 +123,7 @@ def subscription_state(
     churn = churn_rollup(snap.select(
         "user_id", "calendar_date", "base_group", "subscription_start_date",
         "billing_cycle_end_date", "churn_type",
-    ))
+    ), cfg)
     rows = snapshot_with_churn(latest, churn, simplified)
     cancel_date = F.to_date(F.col("subscription_cancel_dts"))
     out = [

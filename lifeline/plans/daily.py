@@ -46,11 +46,20 @@ def _ship(
     out_dir: str,
     name: str,
     transport,
+    resume: bool,
 ) -> SyncResult:
+    """Write the batches, read them back and deliver.  With ``resume``,
+    batches are written again and payloads that the ledger in ``out_dir``
+    has as delivered are not sent again."""
     bpath, lpath = f"{out_dir}/{name}_batches", f"{out_dir}/{name}_ledger"
-    batches.write.mode("errorifexists").parquet(bpath)
+    batches.write.mode("overwrite" if resume else "errorifexists").parquet(bpath)
     stored = spark.read.parquet(bpath)
-    ledger = delivery.deliver(stored, schema, cfg, transport, lpath)
+    done = None
+    if resume:
+        # an empty commit first: there may be no ledger yet
+        spark.createDataFrame([], delivery.LEDGER_SCHEMA).write.mode("append").parquet(lpath)
+        done = spark.read.schema(delivery.LEDGER_SCHEMA).parquet(lpath)
+    ledger = delivery.deliver(stored, schema, cfg, transport, lpath, done, cfg.send_commits)
     return SyncResult(stored, ledger, bpath, lpath)
 
 
@@ -62,11 +71,12 @@ def run_state_sync(
     transport=None,
     day_states_path: str | None = None,
     states_through: str | None = None,
+    resume: bool = False,
 ) -> SyncResult:
     """Subscription state -> user-property payload batches -> delivery.
 
     With ``day_states_path``, the complete shards after ``states_through``
-    up to yesterday are appended to that day-state table first, and the
+    up to yesterday are stored in that day-state table first, and the
     identity then reads stored days and only today's shard raw."""
     stored = None
     if day_states_path:
@@ -78,7 +88,7 @@ def run_state_sync(
             )
         stored, states_through = read_day_states(spark, day_states_path), through
     batches = state_job.state_batches(inputs, cfg, stored, states_through)
-    return _ship(spark, batches, payload.STATE_PAYLOAD_SCHEMA, cfg, out_dir, "state", transport)
+    return _ship(spark, batches, payload.STATE_PAYLOAD_SCHEMA, cfg, out_dir, "state", transport, resume)
 
 
 def run_events_sync(
@@ -90,6 +100,7 @@ def run_events_sync(
     identity_state_path: str | None = None,
     state_through: str | None = None,
     new_identity_state_path: str | None = None,
+    resume: bool = False,
 ) -> SyncResult:
     """Yesterday's subscription events -> event payload batches -> delivery.
 
@@ -107,7 +118,7 @@ def run_events_sync(
         state, state_through = spark.read.parquet(new_identity_state_path), through
     payloads = events_job.event_payloads(inputs, cfg, state, state_through)
     batches = batching.batches(batching.assign_buckets(payloads, cfg))
-    return _ship(spark, batches, payload.EVENT_PAYLOAD_SCHEMA, cfg, out_dir, "events", transport)
+    return _ship(spark, batches, payload.EVENT_PAYLOAD_SCHEMA, cfg, out_dir, "events", transport, resume)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -128,6 +139,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--new-identity-state")
     ap.add_argument("--day-states", help="suffix-partitioned day-state table (state job)")
     ap.add_argument("--day-states-through")
+    ap.add_argument("--resume", action="store_true", help="go on with the ledger already in --out")
     args = ap.parse_args(argv)
     as_of = (
         dt.datetime.fromisoformat(args.as_of) if args.as_of else dt.datetime.now(dt.timezone.utc)
@@ -137,12 +149,12 @@ def main(argv: list[str] | None = None) -> None:
     inputs = Inputs.read(spark, args.snapshot, args.subscription_events, args.analytics)
     if args.job == "state":
         res = run_state_sync(
-            spark, inputs, cfg, args.out, None, args.day_states, args.day_states_through
+            spark, inputs, cfg, args.out, None, args.day_states, args.day_states_through, args.resume
         )
     else:
         res = run_events_sync(
             spark, inputs, cfg, args.out, None,
-            args.identity_state, args.state_through, args.new_identity_state,
+            args.identity_state, args.state_through, args.new_identity_state, args.resume,
         )
     rollup = delivery.status_rollup(res.ledger).collect()  # a handful of rows
     for r in rollup:

@@ -7,8 +7,6 @@ payloads of at most ``max_events_per_payload`` events per user -> batches.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,23 +40,9 @@ def day_events(inputs: Inputs, cfg: SyncConfig) -> DataFrame:
     return events_of_day(inputs.subscription_events, cfg)
 
 
-@dataclass(frozen=True)
-class DayStats:
-    """Sizes of the day, from one aggregation over per-user row counts:
-    distinct users (the identity key set) and users above the salting
-    threshold (the hot list)."""
-
-    n_users: int
-    n_hot: int
-
-
-def day_stats(inputs: Inputs, cfg: SyncConfig) -> DayStats:
-    per_user = day_events(inputs, cfg).groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
-    r = per_user.agg(
-        F.count(F.lit(1)).alias("users"),
-        F.count_if(F.col("n") > cfg.payload_split_rows).alias("hot"),
-    ).first()
-    return DayStats(int(r.users), int(r.hot or 0))
+def day_users(inputs: Inputs, cfg: SyncConfig) -> int:
+    """Distinct users of the day: the size of the identity key set."""
+    return day_events(inputs, cfg).select("user_id").distinct().count()
 
 
 def day_identity(
@@ -70,18 +54,18 @@ def day_identity(
     n_keys: int | None = None,
 ) -> DataFrame:
     """First-touch identity of ``keys``.  Without a stored state, over the
-    configured shard scope (all history by default).  With
+    configured shard scope (all history through today by default).  With
     ``identity_state`` covering shards through ``state_through``, only the
     later shards are read and merged into it (same result)."""
     if identity_state is None:
         return first_touch(
-            inputs.analytics.scope(cfg.events_shard_range), cfg, keys=keys, n_keys=n_keys
+            inputs.analytics.between(*cfg.events_shard_range), cfg, keys=keys, n_keys=n_keys
         )
-    if cfg.events_shard_range is not None:
+    if cfg.events_identity_days is not None:
         raise ValueError("a stored identity state covers all history")
     only_keys = key_filter(keys, cfg, n_keys)
     state = only_keys(identity_state)
-    fresh = only_keys(inputs.analytics.between(state_through, None, low_inclusive=False))
+    fresh = only_keys(inputs.analytics.between(state_through, cfg.shard(cfg.today_local), low_inclusive=False))
     return finalize_first_touch(merge_first_touch(state, first_touch_state(fresh)), cfg)
 
 
@@ -90,7 +74,6 @@ def events_with_identity(
     cfg: SyncConfig,
     identity_state: DataFrame | None = None,
     state_through: str | None = None,
-    stats: DayStats | None = None,
 ) -> DataFrame:
     """Day events of users known to analytics, named and routed; keeps the
     raw ``event_type`` (the payload order uses it as the last tie-break).
@@ -99,9 +82,8 @@ def events_with_identity(
     the identity aggregate when its size allows (see ``key_filter``).
     """
     day = day_events(inputs, cfg)
-    stats = stats or day_stats(inputs, cfg)
     ident = day_identity(
-        inputs, cfg, day.select("user_id"), identity_state, state_through, stats.n_users
+        inputs, cfg, day.select("user_id"), identity_state, state_through, day_users(inputs, cfg)
     )
     r = route_columns(F.col("app_id"), cfg)
     return day.join(ident, "user_id", "inner").select(
@@ -121,18 +103,8 @@ def event_rows(inputs: Inputs, cfg: SyncConfig) -> DataFrame:
     return events_with_identity(inputs, cfg).select(*EVENT_ROW_COLUMNS)
 
 
-def hot_day_users(inputs: Inputs, cfg: SyncConfig) -> DataFrame:
-    """Hot users counted on the day's events, before the identity join: the
-    join keeps or drops whole users, so the counts are the same, and the
-    count check does not re-run the identity aggregate."""
-    return payload.hot_users(day_events(inputs, cfg), cfg)
-
-
 def event_lists(inputs: Inputs, cfg: SyncConfig) -> DataFrame:
-    stats = day_stats(inputs, cfg)
-    return payload.user_event_lists(
-        events_with_identity(inputs, cfg, stats=stats), cfg, hot_day_users(inputs, cfg), stats.n_hot
-    )
+    return payload.user_event_lists(events_with_identity(inputs, cfg), cfg)
 
 
 def event_payloads(
@@ -141,9 +113,7 @@ def event_payloads(
     identity_state: DataFrame | None = None,
     state_through: str | None = None,
 ) -> DataFrame:
-    stats = day_stats(inputs, cfg)
-    rows = events_with_identity(inputs, cfg, identity_state, state_through, stats)
-    return payload.event_payloads(rows, cfg, hot_day_users(inputs, cfg), stats.n_hot)
+    return payload.event_payloads(events_with_identity(inputs, cfg, identity_state, state_through), cfg)
 
 
 def event_bucketed(inputs: Inputs, cfg: SyncConfig) -> DataFrame:

@@ -67,15 +67,11 @@ def ctes(cfg: SyncConfig) -> str:
     utc, local = _d(cfg.today_utc), _d(cfg.today_local)
     yday = _d(cfg.yesterday_local)
     s_lo, s_hi = cfg.state_shard_range
-    ev_scope = (
-        ""
-        if cfg.events_shard_range is None
-        else "WHERE suffix BETWEEN {!r} AND {!r}".format(*cfg.events_shard_range)
-    )
+    ev_lo, ev_hi = cfg.events_shard_range
+    ev_scope = f"WHERE suffix BETWEEN '{ev_lo or ''}' AND '{ev_hi}'"
     types = " ".join(f"WHEN {i} THEN {_q(t)}" for i, t in enumerate(B.SUBSCRIPTION_EVENT_TYPES))
     groups = " ".join(f"WHEN {_q(k)} THEN {_q(v)}" for k, v in B.BASE_GROUPS)
     rs = route_sql(cfg)
-    split = cfg.payload_split_rows
     status = f"""CASE
         WHEN churn_type = 'voluntary' AND churn_end_date < {utc} THEN {_q(C.STATUS_CHURN_VOLUNTARY)}
         WHEN churn_type = 'involuntary' AND churn_end_date < {utc} THEN {_q(C.STATUS_CHURN_INVOLUNTARY)}
@@ -137,7 +133,7 @@ analytics AS (
     strftime(e.ts, '%Y%m%d') AS suffix
   FROM events e),
 paying_all AS (
-  SELECT * FROM snapshot WHERE base_group <> 'churn' AND calendar_date >= {_d(lookback_start(cfg))}),
+  SELECT * FROM snapshot WHERE base_group <> 'churn' AND calendar_date BETWEEN {_d(lookback_start(cfg))} AND {local}),
 latest_all AS (
   SELECT p.* FROM paying_all p
   JOIN (SELECT user_id, max(calendar_date) AS md FROM paying_all GROUP BY user_id) m
@@ -147,9 +143,9 @@ churn_all AS (
          max(billing_cycle_end_date) AS billing_cycle_end_date,
          max(churn_type) AS churn_type,
          max(CASE WHEN churn_type = 'involuntary' THEN calendar_date ELSE billing_cycle_end_date END) AS subscription_end_date
-  FROM snapshot WHERE base_group = 'churn' GROUP BY user_id, subscription_start_date),
+  FROM snapshot WHERE base_group = 'churn' AND calendar_date <= {local} GROUP BY user_id, subscription_start_date),
 snap AS (SELECT * FROM snapshot WHERE NOT (user_id LIKE {_q(cfg.test_user_prefix + '%')})),
-paying AS (SELECT * FROM snap WHERE base_group <> 'churn' AND calendar_date >= {_d(lookback_start(cfg))}),
+paying AS (SELECT * FROM snap WHERE base_group <> 'churn' AND calendar_date BETWEEN {_d(lookback_start(cfg))} AND {local}),
 latest AS (
   SELECT p.* FROM paying p
   JOIN (SELECT user_id, max(calendar_date) AS md FROM paying GROUP BY user_id) m
@@ -159,7 +155,7 @@ churn AS (
          max(billing_cycle_end_date) AS billing_cycle_end_date,
          max(churn_type) AS churn_type,
          max(CASE WHEN churn_type = 'involuntary' THEN calendar_date ELSE billing_cycle_end_date END) AS subscription_end_date
-  FROM snap WHERE base_group = 'churn' GROUP BY user_id, subscription_start_date),
+  FROM snap WHERE base_group = 'churn' AND calendar_date <= {local} GROUP BY user_id, subscription_start_date),
 swc AS (
   SELECT l.* EXCLUDE (churn_type), c.churn_type, c.subscription_end_date AS churn_end_date
   FROM latest l LEFT JOIN churn c
@@ -184,7 +180,7 @@ state_attrs AS (
     subscription_month, gift_card_code,
     COALESCE(payment_vendor, 'unknown') AS subscription_payment_vendor
   FROM swc),
-{_ident_cte("ident_all", "", cfg)},
+{_ident_cte("ident_all", f"WHERE suffix <= '{ev_hi}'", cfg)},
 {_ident_cte("ident_state", f"WHERE suffix BETWEEN '{s_lo}' AND '{s_hi}'", cfg)},
 {_ident_cte("ident_events", ev_scope, cfg)},
 state_ident AS (
@@ -220,28 +216,21 @@ events_ident AS (
          i.client_id, i.app_id, {route_sql(cfg, "i.app_id")['mp_url']} AS mp_url,
          d.subscription_id, d.offer_type, d.event_type
   FROM day_events d JOIN ident_events i ON d.user_id = i.user_id),
-ev_counts AS (SELECT user_id, count(*) AS n FROM events_ident GROUP BY user_id),
 ev_numbered AS (
-  SELECT e.*,
+  SELECT *,
     row_number() OVER (
-      PARTITION BY e.user_id, e.split
-      ORDER BY e.event_custom_type NULLS FIRST, e.subscription_id NULLS FIRST,
-               e.offer_type NULLS FIRST, e.event_type NULLS FIRST) AS rn
-  FROM (
-    SELECT x.*,
-      CASE WHEN c.n > {split}
-           THEN ('0x' || substr(sha256(concat_ws('|', x.event_type, x.subscription_id, x.offer_type)), 1, 15))::BIGINT
-                % CAST(ceil(c.n / {split}) AS BIGINT)
-           ELSE 0 END AS split
-    FROM events_ident x JOIN ev_counts c ON x.user_id = c.user_id) e),
+      PARTITION BY user_id
+      ORDER BY event_custom_type NULLS FIRST, subscription_id NULLS FIRST,
+               offer_type NULLS FIRST, event_type NULLS FIRST) AS rn
+  FROM events_ident),
 ev_lists AS (
-  SELECT user_id, app_id, client_id, mp_url, split, (rn - 1) // {cfg.max_events_per_payload} AS chunk,
+  SELECT user_id, app_id, client_id, mp_url, (rn - 1) // {cfg.max_events_per_payload} AS chunk,
     list({{'name': event_custom_type,
            'params': {{'offline_event': 'true', 'offer_type': offer_type, 'subscription_id': subscription_id}}}}
          ORDER BY rn) AS events
   FROM ev_numbered GROUP BY ALL),
 payload_events AS (
-  SELECT app_id, user_id, split, chunk, CAST(len(events) AS BIGINT) AS n_events,
+  SELECT app_id, user_id, chunk, CAST(len(events) AS BIGINT) AS n_events,
     replace(CAST(to_json({{'URL': mp_url, 'app_id': app_id, 'client_id': client_id, 'user_id': user_id,
                            'events': events}}) AS VARCHAR),
             '"client_id":null,', '') AS payload_json,
@@ -284,7 +273,7 @@ def wire_sql(source: str, cfg: SyncConfig) -> str:
         ELSE '{{\"client_id\":' || CAST(to_json(client_id) AS VARCHAR) || ',' || {inner} || '}}' END"""
     rs = route_sql(cfg)
     return f"""wire_{source} AS (
-  SELECT w.*, {_hash_free("w.batch_id", "w.body")} AS payload_id,
+  SELECT w.*, {_hash_free(_q(str(cfg.today_local)), "w.url", "w.body")} AS payload_id,
          CAST(strlen(w.body) AS BIGINT) AS content_length,
          (w.client_id IS NOT NULL AND trim(w.client_id) <> '') AS deliverable
   FROM (

@@ -7,6 +7,8 @@ bindings, over whole tables.  Names follow the operator inventory.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +24,9 @@ from lifeline.plans import events_job, oracle, state_job
 from lifeline.sources.inputs import Inputs, load_testdata
 
 CFG = SyncConfig()
+#: The same data as of an earlier day, and with payloads that hold two events.
+PAST = replace(CFG, as_of=CFG.as_of - timedelta(days=2))
+SMALL_CHUNKS = replace(CFG, max_events_per_payload=2)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -67,13 +72,13 @@ def q_latest_entry(spark, sf_dir):
 
 
 def q_churn_rollup(spark, sf_dir):
-    return state.churn_rollup(_inputs(spark, sf_dir).snapshot)
+    return state.churn_rollup(_inputs(spark, sf_dir).snapshot, CFG)
 
 
 def _swc(spark, sf_dir, simplified):
     snap = state.exclude_test_users(_inputs(spark, sf_dir).snapshot, CFG)
     latest = state.latest_entry(snap.select(*state.SB_COLUMNS), CFG)
-    return state.snapshot_with_churn(latest, state.churn_rollup(snap), simplified)
+    return state.snapshot_with_churn(latest, state.churn_rollup(snap, CFG), simplified)
 
 
 def q_snapshot_with_churn(spark, sf_dir):
@@ -104,7 +109,7 @@ def q_hash_user_key(spark, sf_dir):
 
 
 def q_identity_first_touch(spark, sf_dir):
-    return first_touch(_inputs(spark, sf_dir).analytics.all(), CFG)
+    return first_touch(_inputs(spark, sf_dir).analytics.between(None, CFG.shard(CFG.today_local)), CFG)
 
 
 # identity kept as a state table: shards through this day folded first,
@@ -122,7 +127,7 @@ def q_identity_first_touch_incremental(spark, sf_dir):
 
 
 def q_route_endpoint(spark, sf_dir):
-    ident = first_touch(_inputs(spark, sf_dir).analytics.all(), CFG)
+    ident = first_touch(_inputs(spark, sf_dir).analytics.between(None, CFG.shard(CFG.today_local)), CFG)
     r = route_columns(F.col("app_id"), CFG)
     return ident.select("user_id", "app_id", *[c.alias(n) for n, c in r.items()])
 
@@ -172,7 +177,6 @@ def q_user_events_window(spark, sf_dir):
     lists = events_job.event_lists(_inputs(spark, sf_dir), CFG)
     return lists.select(
         "user_id",
-        F.col("_split").alias("split"),
         F.col("_chunk").alias("chunk"),
         F.size("events").cast("long").alias("n_events"),
         F.to_json("events").alias("events_json"),
@@ -185,10 +189,24 @@ def q_payload_state(spark, sf_dir):
 
 def q_payload_events(spark, sf_dir):
     return events_job.event_payloads(_inputs(spark, sf_dir), CFG).withColumns(
-        _long("split", "chunk", "n_events")
+        _long("chunk", "n_events")
     )
 
 
+def q_payload_events_chunked(spark, sf_dir):
+    """Two events a payload, so most users have several chunks."""
+    return events_job.event_payloads(_inputs(spark, sf_dir), SMALL_CHUNKS).withColumns(_long("chunk", "n_events"))
+
+
+def q_subscription_state_past_day(spark, sf_dir):
+    """The state as of an earlier day: later snapshots are not read."""
+    return state_job.state_rows(_inputs(spark, sf_dir), PAST)
+
+
+def q_events_identity_past_day(spark, sf_dir):
+    return events_job.event_rows(_inputs(spark, sf_dir), PAST)
+
+
 def _wire(bucketed: DataFrame, schema) -> DataFrame:
     w = payload.wire_rows(bucketed, schema)
     return w.select(
@@ -274,6 +292,9 @@ QUERIES: dict[str, Query] = {
     "exclude_test_users": q_exclude_test_users,
     "latest_entry": q_latest_entry,
     "churn_rollup": q_churn_rollup,
+    "payload_events_chunked": q_payload_events_chunked,
+    "subscription_state_past_day": q_subscription_state_past_day,
+    "events_identity_past_day": q_events_identity_past_day,
     "snapshot_with_churn": q_snapshot_with_churn,
     "snapshot_with_churn_simplified": q_snapshot_with_churn_simplified,
     "snapshot_attributes": q_snapshot_attributes,
@@ -352,10 +373,14 @@ FROM wire_state"""
             subscription_id, offer_type FROM events_ident""",
         "events_of_day_sorted": f"""{W} SELECT user_id, event_custom_type, date_of_change, client_id, app_id, mp_url,
             subscription_id, offer_type FROM events_ident ORDER BY user_id DESC""",
-        "user_events_window": f"""{W} SELECT user_id, split, chunk, CAST(len(events) AS BIGINT) AS n_events,
+        "user_events_window": f"""{W} SELECT user_id, chunk, CAST(len(events) AS BIGINT) AS n_events,
             CAST(to_json(events) AS VARCHAR) AS events_json FROM ev_lists""",
+        "payload_events_chunked": f"{oracle.ctes(SMALL_CHUNKS)} SELECT app_id, user_id, chunk, n_events, payload_json FROM payload_events",
+        "subscription_state_past_day": f"{oracle.ctes(PAST)} SELECT * FROM state",
+        "events_identity_past_day": f"""{oracle.ctes(PAST)} SELECT user_id, event_custom_type, date_of_change, client_id,
+            app_id, mp_url, subscription_id, offer_type FROM events_ident""",
         "payload_state": f"{W} SELECT app_id, user_id, payload_json FROM payload_state",
-        "payload_events": f"{W} SELECT app_id, user_id, split, chunk, n_events, payload_json FROM payload_events",
+        "payload_events": f"{W} SELECT app_id, user_id, chunk, n_events, payload_json FROM payload_events",
         "wire_body": f"{W}, {wire_state} SELECT app_id, user_id, url, body, content_length, deliverable FROM wire_state",
         "wire_body_events": f"{W}, {oracle.wire_sql('events', cfg)} SELECT app_id, user_id, url, body, content_length, deliverable FROM wire_events",
         "bucket_plan": f"""{W} SELECT count(*) AS n_payloads,

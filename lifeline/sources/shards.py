@@ -61,9 +61,6 @@ class ShardedEvents:
                 cond = (ts < F.lit(end.isoformat(" ")).cast("timestamp_ntz")) & cond
         return self.df.where(cond)
 
-    def scope(self, shard_range: tuple[str, str] | None) -> DataFrame:
-        return self.all() if shard_range is None else self.between(*shard_range)
-
     def write(self, path: str, mode: str = "errorifexists") -> None:
         """Materialise as a suffix-partitioned dataset (one folder per day)."""
         self.df.write.mode(mode).partitionBy("suffix").parquet(path)

@@ -81,3 +81,58 @@ def test_urllib_transport_retries_without_network(monkeypatch):
     t2 = delivery.UrllibTransport({}, retries=2, backoff=0)
     monkeypatch.setattr(t2, "_post_once", lambda *a: 400)
     assert t2.send("https://x.invalid/mp", b"{}", {}) == 400
+
+
+class FailingTransport(FileCountingTransport):
+    """Fails for good after some sends of a process."""
+
+    def send(self, url, body, headers):
+        self.n = getattr(self, "n", 0) + 1
+        if self.n > 3:
+            self.fh.flush()
+            raise RuntimeError("endpoint gone")
+        return super().send(url, body, headers)
+
+
+def test_resume_sends_the_rest_only(spark, tmp_path):
+    import pytest
+    from lifeline.plans import daily
+
+    cfg = SyncConfig(send_partitions=1, send_commits=6, target_batch_size=5)
+    inputs = load_testdata(spark, SF_SMALL, cfg)
+    out, log = str(tmp_path / "out"), tmp_path / "sent.log"
+    with pytest.raises(Exception, match="endpoint gone"):
+        daily.run_state_sync(spark, inputs, cfg, out, FailingTransport(str(log)))
+    before = spark.read.parquet(f"{out}/state_ledger").where("sent").count() if os.path.isdir(f"{out}/state_ledger") else 0
+    rest = tmp_path / "rest.log"
+    res = daily.run_state_sync(spark, inputs, cfg, out, FileCountingTransport(str(rest)), resume=True)
+    assert res.ledger.count() == res.ledger.select("payload_id").distinct().count()
+    assert len(rest.read_text().splitlines()) == res.ledger.where("sent").count() - before
+    again = tmp_path / "again.log"
+    daily.run_state_sync(spark, inputs, cfg, out, FileCountingTransport(str(again)), resume=True)
+    assert not again.exists() or again.read_text() == ""
+
+
+def test_payload_ids_do_not_depend_on_the_batches(spark):
+    from dataclasses import replace
+
+    ids = []
+    for size in (29, 7):
+        cfg = replace(CFG, target_batch_size=size)
+        batches = state_job.state_batches(load_testdata(spark, SF_SMALL, cfg), cfg)
+        rows = delivery.payload_wire_rows(batches, payload.STATE_PAYLOAD_SCHEMA, cfg)
+        ids.append(sorted(r.payload_id for r in rows.select("payload_id").collect()))
+    assert ids[0] == ids[1]
+
+
+def test_day_states_written_twice_stay_the_same(spark, tmp_path):
+    from lifeline.operators.identity import day_states, read_day_states, write_day_states
+
+    analytics = load_testdata(spark, SF_SMALL).analytics
+    path = str(tmp_path / "days")
+    for _ in range(2):
+        write_day_states(day_states(analytics.between("20240110", "20240115")), path)
+    n = read_day_states(spark, path).count()
+    write_day_states(day_states(analytics.between("20240115", "20240116")), path)
+    states = read_day_states(spark, path)
+    assert states.select("user_id", "suffix").distinct().count() == states.count() > n > 0

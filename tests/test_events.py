@@ -56,14 +56,13 @@ def _event_rows(spark, n_hot, n_cold):
     return df.withColumn("event_custom_type", F.lit("renewal"))
 
 
-def test_hot_user_is_salted_and_chunks_are_bounded(spark):
-    cfg = SyncConfig(max_events_per_payload=25, payload_split_rows=100)
+def test_chunks_of_a_hot_user_are_full_and_in_order(spark):
+    cfg = SyncConfig(max_events_per_payload=25)
     rows = _event_rows(spark, 1000, 30)
     lists = payload.user_event_lists(rows, cfg).collect()
     hot = [r for r in lists if r.user_id == "hot"]
-    assert len({r._split for r in hot}) == 10  # ceil(1000 / 100) sub-groups
-    assert all(len(r.events) <= 25 for r in lists)
-    subs = sorted(e.params.subscription_id for r in hot for e in r.events)
+    assert [len(r.events) for r in hot] == [25] * 40
+    subs = [e.params.subscription_id for r in sorted(hot, key=lambda r: r._chunk) for e in r.events]
     assert subs == sorted(f"S{i}" for i in range(1000))  # nothing dropped or doubled
     cold = [r for r in lists if r.user_id == "cold"]
     assert sorted(len(r.events) for r in cold) == [5, 25]

@@ -4,10 +4,11 @@ order-insensitive values) on the small generated tables."""
 import pytest
 
 import __spark_entry__ as E
+from lifeline.plans import registry
 from conftest import SF_SMALL
 from tools.check_oracles import duck, frame_hash, type_diff
 
-NAMES = sorted(E.queries())
+NAMES = sorted(registry.queries())
 
 
 @pytest.fixture(scope="module")
@@ -16,7 +17,8 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(registry.oracle_sql()) == set(registry.queries())
+    assert set(registry.queries()) <= set(E.queries())
 
 
 @pytest.mark.parametrize("name", NAMES)
@@ -38,23 +40,6 @@ def _oracle(con, cfg, select):
     return con.execute(ctes(cfg) + select).df()
 
 
-def test_salted_hot_users_match_oracle(spark, con):
-    """Tiny split and chunk sizes: most users are 'hot', their events salted
-    over sub-groups and cut into 2-event payloads, in Spark and in SQL."""
-    from conftest import SF_MID
-    from lifeline.config import SyncConfig
-    from lifeline.plans import events_job
-    from lifeline.sources.inputs import load_testdata
-
-    cfg = SyncConfig(payload_split_rows=2, max_events_per_payload=2)
-    mid = duck(SF_MID)
-    got = events_job.event_payloads(load_testdata(spark, SF_MID, cfg), cfg).toPandas()
-    want = _oracle(mid, cfg, " SELECT app_id, user_id, split, chunk, n_events, payload_json FROM payload_events")
-    assert got["split"].max() > 0 and got["n_events"].max() == 2
-    got = got.astype({"split": "int64", "chunk": "int64", "n_events": "int64"})
-    assert frame_hash(got) == frame_hash(want)
-
-
 def test_range_partitioned_batches_match_oracle(spark, con):
     """Force the range-partitioned ntile and compare the batches with the
     SQL ntile."""
@@ -79,9 +64,8 @@ def test_query_types_match_oracle(spark, con, name):
 
 
 def test_beyond_every_size_bound_matches_oracle(spark, monkeypatch):
-    """All broadcast bounds at zero: identity without the key filter, the
-    hot-user list joined without broadcast, ntile offsets joined without
-    broadcast; tiny split, chunk and partition sizes.  Same batches as SQL."""
+    """All broadcast bounds at zero: identity without the key filter, ntile
+    offsets joined without broadcast; tiny chunk and partition sizes.  Same batches as SQL."""
     from conftest import SF_MID
     from lifeline.config import SyncConfig
     from lifeline.operators import batching
@@ -89,8 +73,7 @@ def test_beyond_every_size_bound_matches_oracle(spark, monkeypatch):
     from lifeline.sources.inputs import load_testdata
 
     monkeypatch.setattr(batching, "OFFSETS_BROADCAST_MAX", 0)
-    cfg = SyncConfig(identity_broadcast_max_keys=0, hot_user_broadcast_max=0,
-                     payload_split_rows=3, max_events_per_payload=2, bucket_partitions=4)
+    cfg = SyncConfig(identity_broadcast_max_keys=0, max_events_per_payload=2, bucket_partitions=4)
     mid = duck(SF_MID)
     got = events_job.event_batches(load_testdata(spark, SF_MID, cfg), cfg).toPandas()
     got = got.astype({"bucket": "int64"})

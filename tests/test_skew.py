@@ -1,5 +1,4 @@
-"""A third of all events belong to one user: the event job (salting,
-chunking, identity, batching) still matches the SQL oracle exactly."""
+"""A third of all events belong to one user: the event job (chunking, identity, batching) still matches the SQL oracle exactly."""
 
 import duckdb
 from pyspark.sql import functions as F
@@ -13,7 +12,7 @@ from lifeline.sources.inputs import Inputs
 from tools.check_oracles import frame_hash
 
 HOT = 7
-CFG = SyncConfig(payload_split_rows=20, max_events_per_payload=5)
+CFG = SyncConfig(max_events_per_payload=5)
 
 
 def skewed_spark(spark):
@@ -45,10 +44,10 @@ def test_hot_user_event_job_matches_oracle(spark):
     con = skewed_duck()
     payloads = events_job.event_payloads(inp, CFG).toPandas()
     hot_rows = payloads[payloads["user_id"] == payloads["user_id"].value_counts().idxmax()]
-    assert hot_rows["split"].nunique() > 1  # the hot user was salted
+    assert hot_rows["chunk"].nunique() > 1
     assert payloads["n_events"].max() <= CFG.max_events_per_payload
-    want = con.execute(ctes(CFG) + " SELECT app_id, user_id, split, chunk, n_events, payload_json FROM payload_events").df()
-    got = payloads.astype({"split": "int64", "chunk": "int64", "n_events": "int64"})
+    want = con.execute(ctes(CFG) + " SELECT app_id, user_id, chunk, n_events, payload_json FROM payload_events").df()
+    got = payloads.astype({"chunk": "int64", "n_events": "int64"})
     assert frame_hash(got) == frame_hash(want)
 
     batches = events_job.event_batches(inp, CFG).toPandas().astype({"bucket": "int64"})

@@ -78,7 +78,7 @@ def test_both_churn_types_take_voluntary(spark):
     rows = [row("u1", D(-1), group="churn", bce=D(-3), churn_type="involuntary"),
             row("u1", D(-2), group="churn", bce=D(-3), churn_type="voluntary")]
     df = spark.createDataFrame(rows, SNAPSHOT_SCHEMA)
-    r = state.churn_rollup(df).collect()
+    r = state.churn_rollup(df, CFG).collect()
     assert len(r) == 1 and r[0].churn_type == "voluntary"
     # involuntary arm only applies to involuntary rows: voluntary row uses cycle end
     assert r[0].subscription_end_date == max(D(-1), D(-3))
@@ -109,7 +109,7 @@ def test_dead_or_arm_changes_nothing(spark):
 
     snap = state.exclude_test_users(load_testdata(spark, SF_MID).snapshot, CFG)
     latest = state.latest_entry(snap.select(*state.SB_COLUMNS), CFG)
-    churn = state.churn_rollup(snap)
+    churn = state.churn_rollup(snap, CFG)
     a = state.snapshot_with_churn(latest, churn, simplified=False)
     b = state.snapshot_with_churn(latest, churn, simplified=True)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
@@ -144,3 +144,15 @@ def test_config_validation():
     assert cfg.state_shard_range == ("20240130", "20240131")
     assert cfg.events_shard_range is None
     assert SyncConfig(events_identity_days=3).events_shard_range == ("20240129", "20240131")
+
+
+def test_later_rows_change_nothing_for_a_past_day(spark):
+    from conftest import SF_MID
+    from lifeline.plans.registry import PAST
+    from lifeline.sources.inputs import load_testdata
+
+    snap = load_testdata(spark, SF_MID).snapshot
+    cut = snap.where(F.col("calendar_date") <= F.lit(PAST.today_local))
+    assert cut.count() < snap.count()
+    a, b = (state.subscription_state(x, PAST) for x in (snap, cut))
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
