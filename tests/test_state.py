@@ -142,7 +142,7 @@ def test_config_validation():
         SyncConfig(routes=C.DEFAULT_ROUTES[:-1])  # no default route last
     cfg = SyncConfig()
     assert cfg.state_shard_range == ("20240130", "20240131")
-    assert cfg.events_shard_range is None
+    assert cfg.events_shard_range == (None, "20240131")
     assert SyncConfig(events_identity_days=3).events_shard_range == ("20240129", "20240131")
 
 
