@@ -1,0 +1,138 @@
+"""Empty tables, null ids, repeated rows, and columns whose names clash with results."""
+
+import nasty
+import pytest
+
+from lifeline.llm import (
+    bpe_words,
+    decision_list,
+    decontaminate,
+    pii_votes,
+    sentence_spans,
+    token_files,
+    url_rules,
+    virtual_slots,
+)
+from lifeline.llm.queries import tokenizer
+
+CLASH = "doc_id bigint, text string, n_words bigint, kept string, spans int, size int, chunk int, n_removed string, __x int"
+BENCH = "item_id bigint, text string"
+
+
+@pytest.fixture(scope="module")
+def clashing(spark):
+    rows = [(None if k % 4 == 0 else k // 2, t, 1, "k", 2, 3, 4, "r", 5) for k, t in enumerate(nasty.TEXTS * 2)]
+    return spark.createDataFrame(rows, CLASH).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], CLASH)
+
+
+@pytest.fixture(scope="module")
+def bench(spark):
+    return spark.createDataFrame([(1, "the cat sat"), (1, "the cat sat"), (None, "one two"), (2, None), (3, "")], BENCH)
+
+
+def _per_row(spark, bench, docs, tmp_path):
+    out = str(tmp_path / "tokens")
+    token_files.write(docs, out, tokenizer("byte_bpe_50k.json"))
+    model = pii_votes.train(docs)
+    return {
+        "report": decontaminate.report(docs, bench),
+        "digests": bpe_words.digests(docs, tokenizer("word_bpe_49k.json")),
+        "pii": pii_votes.report(docs, model),
+        "mask": pii_votes.mask(docs, model),
+        "clean": sentence_spans.clean(docs),
+        "tokens": token_files.digests(spark, out),
+        "shards": virtual_slots.assign(docs, 4),
+        "judge": decision_list.judge(docs, []),
+    }
+
+
+def test_a_result_per_row(spark, bench, clashing, tmp_path):
+    n = clashing.count()
+    for name, df in _per_row(spark, bench, clashing, tmp_path).items():
+        assert df.count() == n, name
+
+
+def test_empty_tables(spark, bench, empty, tmp_path):
+    for name, df in _per_row(spark, bench, empty, tmp_path).items():
+        assert df.count() == 0, name
+
+
+def test_filters_keep_columns(bench, clashing):
+    for df in (
+        decontaminate.remove_documents(clashing, bench),
+        decontaminate.remove_spans(clashing, bench),
+        decision_list.keep_good(clashing, []),
+        pii_votes.mask(clashing, pii_votes.train(clashing)),
+    ):
+        assert df.columns == clashing.columns
+        df.collect()
+
+
+def test_blocks_do_not_matter(bench, clashing):
+    one = decontaminate.report(clashing, bench)
+    many = decontaminate.report(clashing, bench, block_bytes=8)
+    key = lambda r: repr((r["doc_id"], r["n_words"], r["n_hit"], r["items_sha256"], r["contaminated"], r["spans"]))
+    assert sorted(map(key, one.collect())) == sorted(map(key, many.collect()))
+    assert one.where("contaminated").count() > 0
+
+
+def test_masked_text(spark):
+    text = "mail a@b.co or 4111 1111 1111 1111, ip 1.2.3.4; +49 30 1234567 é"
+    docs = spark.createDataFrame([(1, text), (2, None), (3, "clean 12 text")], "doc_id bigint, text string")
+    got = {r["doc_id"]: r["text"] for r in pii_votes.mask(docs, pii_votes.train(docs)).collect()}
+    assert got == {1: "mail [EMAIL] or [CARD], ip [IP]; [PHONE] é", 2: None, 3: "clean 12 text"}
+
+
+def test_repeated_passage_goes_but_the_first(spark):
+    passage = "The first long sentence of a passage that many documents share here. " * 1 + (
+        "Another sentence follows it with quite a few more words inside. And a third one ends it for good, after some words."
+    )
+    rows = [(k, f"Own words number {k} start.\n{passage}\nOwn words number {k} end.") for k in (5, 2, 9)]
+    rows += [(1, "A short clean text. Nothing repeats."), (7, None)]
+    got = {r["doc_id"]: r for r in sentence_spans.clean(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got[2]["n_removed"] == 0 and passage in got[2]["text"]
+    for k in (5, 9):
+        assert got[k]["first_docs"] == [2]
+        assert passage not in got[k]["text"] and f"number {k} start" in got[k]["text"] and f"number {k} end" in got[k]["text"]
+    assert got[1]["text"] == rows[3][1] and got[7]["text"] is None
+
+
+def test_lookup_reads_single_documents(spark, tmp_path):
+    import numpy as np
+    from tokenizers import Tokenizer
+
+    rows = [(k, f"text number {k} " * (k + 1)) for k in range(50)]
+    out, path = str(tmp_path / "t"), tokenizer("byte_bpe_50k.json")
+    token_files.write(spark.createDataFrame(rows, "doc_id bigint, text string"), out, path)
+    got = {r["doc_id"]: r for r in token_files.lookup(spark, out, [3, 40, 99]).collect()}
+    assert set(got) == {3, 40}
+    t = Tokenizer.from_file(path)
+    assert np.frombuffer(got[3]["ids"], "<u4").tolist() == [*t.encode(rows[3][1]).ids, 0]
+
+
+def test_slot_maps_grow_into_the_new_shard_only():
+    weight = [(k * 7919) % 1000 for k in range(4096)]
+    first = virtual_slots.SlotMap.initial(16)
+    even = first.rebalanced(weight)
+    grown = even.grown(weight)
+    load = [sum(w for w, s in zip(weight, even.shards) if s == k) for k in range(16)]
+    assert max(load) - min(load) <= 1000
+    moved = [b for a, b in zip(even.shards, grown.shards) if a != b]
+    assert moved and set(moved) == {16} and (first.version, even.version, grown.version) == (1, 2, 3)
+
+
+def test_rules_nest_and_tie(spark):
+    import brute
+
+    rules = [("a.b", "/", "block"), ("b", "/x/", "allow"), ("a.b", "/x/y", "allow"), ("c", "/", "allow"), ("c", "/", "block"), (None, "/", "block"), ("", "/", "block")]
+    urls = [None, "", "no scheme", "http://", "http://b", "s://z.a.b/x/y?q", "s://A.B/x/", "s://q.b/x/1#f", "s://c/", "s://xc/", "s://b.c.:80/x"] * 3
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+    got = url_rules.judge_urls(pages, spark.createDataFrame(rules, "host string, path string, verdict string")).collect()
+    want = [(i, *brute.url(u, [r for r in rules if r[0]])) for i, u in enumerate(urls)]
+    assert sorted((tuple(r) for r in got), key=repr) == sorted(want, key=repr)
+    assert url_rules.judge_urls(pages.limit(0), spark.createDataFrame([], "host string, path string, verdict string")).count() == 0
