@@ -8,6 +8,7 @@ residual -> status classifier -> DISTINCT.
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -55,20 +56,62 @@ def latest_entry(snapshot: DataFrame, cfg: SyncConfig) -> DataFrame:
     return paying.join(latest, ["user_id", "calendar_date"], "inner")
 
 
-def churn_rollup(snapshot: DataFrame, cfg: SyncConfig) -> DataFrame:
-    """Per (user, start) over churn rows through today: latest cycle end, the greatest churn
-    type ('voluntary' > 'involuntary'), and the end date: the snapshot day for
-    involuntary rows, the cycle end otherwise."""
-    churn = snapshot.where(
-        (F.col("base_group") == "churn") & (F.col("calendar_date") <= F.lit(cfg.today_local))
+def churn_state(snapshot: DataFrame, cfg: SyncConfig, after: dt.date | None = None, through: dt.date | None = None) -> DataFrame:
+    """Per (user, start) maxima over churn rows of the days after ``after``
+    through ``through`` (today by default): cycle end, churn type and end date
+    (the snapshot day for involuntary rows, the cycle end otherwise).
+
+    The type is kept as its rank (1 involuntary, 2 voluntary, else null), so
+    every maximum has a fixed width and is folded by a hash aggregate without
+    sorting raw rows.  States of several day ranges merge exactly
+    (``merge_churn``), so a day's run may read a stored one and new days only.
+    """
+    day = F.col("calendar_date")
+    days = day <= F.lit(through or cfg.today_local)
+    if after is not None:
+        days = days & (day > F.lit(after))
+    rank = F.array_position(F.lit(list(C.CHURN_TYPES)), F.col("churn_type"))
+    end = F.when(F.col("churn_type") == "involuntary", day).otherwise(F.col("billing_cycle_end_date"))
+    return (
+        snapshot.where((F.col("base_group") == "churn") & days)
+        .groupBy("user_id", "subscription_start_date")
+        .agg(
+            F.max("billing_cycle_end_date").alias("billing_cycle_end_date"),
+            F.max(F.when(rank > 0, rank.cast("int"))).alias("churn_rank"),
+            F.max(end).alias("subscription_end_date"),
+        )
     )
-    end = F.when(F.col("churn_type") == "involuntary", F.col("calendar_date")).otherwise(
-        F.col("billing_cycle_end_date")
+
+
+def merge_churn(*states: DataFrame) -> DataFrame:
+    """Exact merge of churn states (a maximum of maxima; overlaps do no harm)."""
+    maxima = ("billing_cycle_end_date", "churn_rank", "subscription_end_date")
+    return (
+        reduce(DataFrame.unionByName, states)
+        .groupBy("user_id", "subscription_start_date")
+        .agg(*(F.max(c).alias(c) for c in maxima))
     )
-    return churn.groupBy("user_id", "subscription_start_date").agg(
-        F.max("billing_cycle_end_date").alias("billing_cycle_end_date"),
-        F.max("churn_type").alias("churn_type"),
-        F.max(end).alias("subscription_end_date"),
+
+
+def churn_rollup(
+    snapshot: DataFrame, cfg: SyncConfig, stored: DataFrame | None = None, stored_through: dt.date | None = None
+) -> DataFrame:
+    """Per (user, start) over churn rows through today: latest cycle end, the
+    greatest churn type ('voluntary' > 'involuntary') and the end date.  With
+    a ``stored`` churn state through day ``stored_through``, only later days
+    are read; a state that goes past today is refused."""
+    if stored is None:
+        state = churn_state(snapshot, cfg)
+    else:
+        if stored_through is None or stored_through > cfg.today_local:
+            raise ValueError("a stored churn state must end by today")
+        state = merge_churn(stored, churn_state(snapshot, cfg, after=stored_through))
+    return state.select(
+        "user_id",
+        "subscription_start_date",
+        "billing_cycle_end_date",
+        F.get(F.lit(list(C.CHURN_TYPES)), F.col("churn_rank") - 1).alias("churn_type"),
+        "subscription_end_date",
     )
 
 
@@ -111,9 +154,14 @@ def subscription_state(
     cfg: SyncConfig,
     simplified: bool = True,
     with_attributes: bool = False,
+    stored_churn: DataFrame | None = None,
+    churn_through: dt.date | None = None,
 ) -> DataFrame:
     """One row per distinct subscription state of each non-test user.
 
+    ``stored_churn`` (a churn state through day ``churn_through``) saves
+    reading the churn rows of those days.
+
     ``with_attributes`` also carries month, gift card and vendor (computed
     by the original query, then dropped before the payload stage).
     """
@@ -123,7 +171,7 @@ def subscription_state(
     churn = churn_rollup(snap.select(
         "user_id", "calendar_date", "base_group", "subscription_start_date",
         "billing_cycle_end_date", "churn_type",
-    ), cfg)
+    ), cfg, exclude_test_users(stored_churn, cfg) if stored_churn is not None else None, churn_through)
     rows = snapshot_with_churn(latest, churn, simplified)
     cancel_date = F.to_date(F.col("subscription_cancel_dts"))
     out = [

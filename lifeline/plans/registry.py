@@ -75,6 +75,22 @@ def q_churn_rollup(spark, sf_dir):
     return state.churn_rollup(_inputs(spark, sf_dir).snapshot, CFG)
 
 
+#: Churn rows through this day are folded first, the later days merged in.
+CHURN_THROUGH = CFG.today_local - timedelta(days=3)
+
+
+def q_churn_rollup_incremental(spark, sf_dir):
+    snapshot = _inputs(spark, sf_dir).snapshot
+    older = state.churn_state(snapshot, CFG, through=CHURN_THROUGH)
+    return state.churn_rollup(snapshot, CFG, older, CHURN_THROUGH)
+
+
+def q_subscription_state_incremental(spark, sf_dir):
+    snapshot = _inputs(spark, sf_dir).snapshot
+    older = state.churn_state(snapshot, CFG, through=CHURN_THROUGH)
+    return state.subscription_state(snapshot, CFG, stored_churn=older, churn_through=CHURN_THROUGH)
+
+
 def _swc(spark, sf_dir, simplified):
     snap = state.exclude_test_users(_inputs(spark, sf_dir).snapshot, CFG)
     latest = state.latest_entry(snap.select(*state.SB_COLUMNS), CFG)
@@ -292,6 +308,8 @@ QUERIES: dict[str, Query] = {
     "exclude_test_users": q_exclude_test_users,
     "latest_entry": q_latest_entry,
     "churn_rollup": q_churn_rollup,
+    "churn_rollup_incremental": q_churn_rollup_incremental,
+    "subscription_state_incremental": q_subscription_state_incremental,
     "payload_events_chunked": q_payload_events_chunked,
     "subscription_state_past_day": q_subscription_state_past_day,
     "events_identity_past_day": q_events_identity_past_day,
@@ -352,6 +370,8 @@ FROM wire_state"""
         "exclude_test_users": f"{W} SELECT * FROM snapshot WHERE NOT (user_id LIKE '{cfg.test_user_prefix}%')",
         "latest_entry": f"{W} SELECT * FROM latest_all",
         "churn_rollup": f"{W} SELECT * FROM churn_all",
+        "churn_rollup_incremental": f"{W} SELECT * FROM churn_all",
+        "subscription_state_incremental": f"{W} SELECT * FROM state",
         "snapshot_with_churn": f"{W} SELECT {sb}, churn_type, churn_end_date FROM swc",
         "snapshot_with_churn_simplified": f"{W} SELECT {sb}, churn_type, churn_end_date FROM swc",
         "snapshot_attributes": f"{W} SELECT * FROM state_attrs",

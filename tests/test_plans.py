@@ -130,3 +130,11 @@ def test_frames_with_zoned_timestamps_are_conformed(spark):
             assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_churn_rollup_folds_by_hash(spark):
+    """Fixed-width maxima: no sort of raw snapshot rows."""
+    from lifeline.operators import state
+
+    text = state.churn_rollup(load_testdata(spark, SF_SMALL).snapshot, CFG)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in text and "SortAggregate" not in text

@@ -3,6 +3,7 @@ churn rollup rules."""
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from lifeline import config as C
@@ -156,3 +157,23 @@ def test_later_rows_change_nothing_for_a_past_day(spark):
     assert cut.count() < snap.count()
     a, b = (state.subscription_state(x, PAST) for x in (snap, cut))
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_stored_churn_state_folds_new_days(spark):
+    """A stored state of the older days, overlapping or not, gives the whole rollup."""
+    from lifeline.plans import registry
+
+    snap = registry._inputs(spark, "/root/testdata/sf0.001").snapshot
+    whole = sorted(map(str, state.churn_rollup(snap, CFG).collect()))
+    for back in (0, 2, 30):
+        end = CFG.today_local - dt.timedelta(days=back)
+        older = state.churn_state(snap, CFG, through=end)
+        assert sorted(map(str, state.churn_rollup(snap, CFG, older, end).collect())) == whole
+        assert sorted(map(str, state.churn_rollup(snap, CFG, state.merge_churn(older, older), end).collect())) == whole
+    with pytest.raises(ValueError, match="end by today"):
+        state.churn_rollup(snap, CFG, older, CFG.today_local + dt.timedelta(days=1))
+
+
+def test_unknown_churn_type_counts_as_none(spark):
+    df = spark.createDataFrame([row("u1", D(-1), group="churn", bce=D(-3), churn_type="other")], SNAPSHOT_SCHEMA)
+    assert [r.churn_type for r in state.churn_rollup(df, CFG).collect()] == [None]
