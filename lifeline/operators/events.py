@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lifeline.config import SyncConfig
 from lifeline.functions.dates import local_date
 from lifeline.functions.keys import hashed_user_key
+from lifeline.sources.schemas import EVENT_DAY
 
 
 def local_day_bounds(day: dt.date, zone: str) -> tuple[dt.datetime, dt.datetime]:
@@ -29,6 +30,7 @@ def events_of_day(sub_events: DataFrame, cfg: SyncConfig, day: dt.date | None =
 
     The day test is also stated as a UTC timestamp range, which reaches the
     Parquet scan as a pushed filter; the local-date test keeps it exact.
+    Events stored by UTC day (``EVENT_DAY``) are cut by partition first.
     """
     day = day or cfg.yesterday_local
     lo, hi = local_day_bounds(day, cfg.zone)
@@ -38,6 +40,9 @@ def events_of_day(sub_events: DataFrame, cfg: SyncConfig, day: dt.date | None =
         & (ts < F.lit(hi.isoformat(" ")).cast("timestamp_ntz"))
         & (local_date(ts, cfg.zone) == F.lit(day))
     )
+    if EVENT_DAY in sub_events.columns:
+        last = (hi - dt.timedelta(microseconds=1)).date()
+        in_day = F.col(EVENT_DAY).between(F.lit(lo.date()), F.lit(last)) & in_day
     return (
         sub_events.where(in_day)
         .select(

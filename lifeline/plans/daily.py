@@ -126,6 +126,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("job", choices=("state", "events"))
     ap.add_argument("--snapshot", required=True)
     ap.add_argument("--subscription-events", required=True)
+    ap.add_argument("--events-by-day", action="store_true", help="subscription events are partitioned by event_day (UTC)")
     ap.add_argument("--analytics", required=True, help="suffix-partitioned dataset")
     ap.add_argument("--out", required=True)
     ap.add_argument(
@@ -146,7 +147,7 @@ def main(argv: list[str] | None = None) -> None:
     )
     cfg = SyncConfig(as_of=as_of, zone=args.zone)
     spark = SparkSession.builder.appName(f"lifeline-{args.job}").getOrCreate()
-    inputs = Inputs.read(spark, args.snapshot, args.subscription_events, args.analytics)
+    inputs = Inputs.read(spark, args.snapshot, args.subscription_events, args.analytics, args.events_by_day)
     if args.job == "state":
         res = run_state_sync(
             spark, inputs, cfg, args.out, None, args.day_states, args.day_states_through, args.resume

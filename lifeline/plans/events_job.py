@@ -22,6 +22,7 @@ from lifeline.operators.identity import (
     key_filter,
     merge_first_touch,
 )
+from lifeline.session import reliable_checkpoint
 from lifeline.sources.inputs import Inputs
 
 EVENT_ROW_COLUMNS = (
@@ -40,11 +41,6 @@ def day_events(inputs: Inputs, cfg: SyncConfig) -> DataFrame:
     return events_of_day(inputs.subscription_events, cfg)
 
 
-def day_users(inputs: Inputs, cfg: SyncConfig) -> int:
-    """Distinct users of the day: the size of the identity key set."""
-    return day_events(inputs, cfg).select("user_id").distinct().count()
-
-
 def day_identity(
     inputs: Inputs,
     cfg: SyncConfig,
@@ -79,12 +75,12 @@ def events_with_identity(
     raw ``event_type`` (the payload order uses it as the last tie-break).
 
     Only the day's users are looked up: their key set is broadcast ahead of
-    the identity aggregate when its size allows (see ``key_filter``).
+    the identity aggregate when its size allows (see ``key_filter``).  The
+    day's distinct rows are checkpointed, so the event fact is scanned once;
+    keys, their count and the join read the checkpoint.
     """
-    day = day_events(inputs, cfg)
-    ident = day_identity(
-        inputs, cfg, day.select("user_id"), identity_state, state_through, day_users(inputs, cfg)
-    )
+    day = reliable_checkpoint(day_events(inputs, cfg))
+    ident = day_identity(inputs, cfg, day.select("user_id"), identity_state, state_through)
     r = route_columns(F.col("app_id"), cfg)
     return day.join(ident, "user_id", "inner").select(
         "user_id",

@@ -5,10 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import DateType, StructField, StructType
 
 from lifeline.config import SyncConfig
 from lifeline.sources import bindings
 from lifeline.sources.schemas import (
+    EVENT_DAY,
     ANALYTICS_EVENT_SCHEMA,
     SNAPSHOT_SCHEMA,
     SUBSCRIPTION_EVENT_SCHEMA,
@@ -39,14 +41,18 @@ class Inputs:
         snapshot_path: str,
         subscription_events_path: str,
         analytics_path: str,
+        events_by_day: bool = False,
     ) -> "Inputs":
         """Production layout: two Parquet facts and a suffix-partitioned
-        analytics dataset."""
+        analytics dataset.  ``events_by_day``: the subscription events are
+        partitioned by ``event_day``, the UTC date of ``event_ts``, and a
+        local day reads only the one or two folders that it touches."""
         snap = spark.read.schema(SNAPSHOT_SCHEMA).parquet(snapshot_path)
-        subs = spark.read.schema(SUBSCRIPTION_EVENT_SCHEMA).parquet(subscription_events_path)
+        wanted = StructType([*SUBSCRIPTION_EVENT_SCHEMA, *([StructField(EVENT_DAY, DateType())] if events_by_day else [])])
+        subs = spark.read.schema(wanted).parquet(subscription_events_path)
         return cls(
             conform(snap, SNAPSHOT_SCHEMA),
-            conform(subs, SUBSCRIPTION_EVENT_SCHEMA),
+            conform(subs, wanted),
             ShardedEvents.read(spark, analytics_path),
         )
 

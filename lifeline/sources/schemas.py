@@ -28,6 +28,9 @@ SNAPSHOT_SCHEMA = T.StructType(
     ]
 )
 
+#: Partition column of subscription events that are stored by UTC day.
+EVENT_DAY = "event_day"
+
 SUBSCRIPTION_EVENT_SCHEMA = T.StructType(
     [
         T.StructField("event_id", T.LongType()),

@@ -1,6 +1,6 @@
 """The daily runs end to end on the bound test tables."""
 
-from conftest import SF_SMALL
+from folders import SF_SMALL
 from lifeline.config import SyncConfig
 from lifeline.operators.identity import fold_shards, write_state
 from lifeline.plans import daily, registry

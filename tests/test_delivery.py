@@ -10,7 +10,7 @@ from lifeline.config import SyncConfig
 from lifeline.operators import delivery, payload
 from lifeline.plans import state_job
 from lifeline.sources.inputs import load_testdata
-from conftest import SF_SMALL
+from folders import SF_SMALL
 
 CFG = SyncConfig(send_partitions=3)
 

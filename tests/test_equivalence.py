@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_MID
+from folders import SF_MID
 from literal_forms import identity_by_windows, latest_by_rank, ntile_window
 from lifeline.config import SyncConfig
 from lifeline.operators import batching, state

@@ -3,7 +3,7 @@ this code) at sf0.01."""
 
 from pyspark.sql import functions as F
 
-from conftest import SF_MID
+from folders import SF_MID
 from lifeline.config import SyncConfig
 from lifeline.functions.dates import local_date
 from lifeline.operators import state

@@ -5,7 +5,7 @@ import pytest
 
 import __spark_entry__ as E
 from lifeline.plans import registry
-from conftest import SF_SMALL
+from folders import SF_SMALL
 from tools.check_oracles import duck, frame_hash, type_diff
 
 NAMES = sorted(registry.queries())
@@ -43,7 +43,7 @@ def _oracle(con, cfg, select):
 def test_range_partitioned_batches_match_oracle(spark, con):
     """Force the range-partitioned ntile and compare the batches with the
     SQL ntile."""
-    from conftest import SF_MID
+    from folders import SF_MID
     from lifeline.config import SyncConfig
     from lifeline.plans import state_job
     from lifeline.sources.inputs import load_testdata
@@ -66,7 +66,7 @@ def test_query_types_match_oracle(spark, con, name):
 def test_beyond_every_size_bound_matches_oracle(spark, monkeypatch):
     """All broadcast bounds at zero: identity without the key filter, ntile
     offsets joined without broadcast; tiny chunk and partition sizes.  Same batches as SQL."""
-    from conftest import SF_MID
+    from folders import SF_MID
     from lifeline.config import SyncConfig
     from lifeline.operators import batching
     from lifeline.plans import events_job
@@ -82,7 +82,7 @@ def test_beyond_every_size_bound_matches_oracle(spark, monkeypatch):
 
 
 def test_event_identity_over_a_shard_window_matches_oracle(spark):
-    from conftest import SF_MID
+    from folders import SF_MID
     from lifeline.config import SyncConfig
     from lifeline.plans import events_job
     from lifeline.sources.inputs import load_testdata
@@ -98,7 +98,7 @@ def test_event_identity_over_a_shard_window_matches_oracle(spark):
 
 
 def test_custom_routes_match_oracle(spark):
-    from conftest import SF_MID
+    from folders import SF_MID
     from lifeline.config import Route, SyncConfig
     from lifeline.plans import registry, state_job
     from lifeline.plans.oracle import wire_sql

@@ -4,7 +4,7 @@ partitions of a real suffix-partitioned dataset."""
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from folders import SF_SMALL
 from lifeline.config import SyncConfig
 from lifeline.operators.identity import first_touch
 from lifeline.plans import events_job, state_job
@@ -138,3 +138,21 @@ def test_churn_rollup_folds_by_hash(spark):
 
     text = state.churn_rollup(load_testdata(spark, SF_SMALL).snapshot, CFG)._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate" in text and "SortAggregate" not in text
+
+
+def test_event_fact_is_scanned_once_by_partition(spark, tmp_path):
+    """Events stored by UTC day: the local day reads two folders, and what
+    follows reads the checkpointed day; same rows as the flat layout."""
+    from lifeline.sources.inputs import Inputs
+
+    inp = load_testdata(spark, SF_SMALL)
+    snap, subs, ana = (str(tmp_path / n) for n in ("snap", "subs", "ana"))
+    inp.snapshot.write.parquet(snap)
+    inp.subscription_events.withColumn("event_day", F.to_date("event_ts")).write.partitionBy("event_day").parquet(subs)
+    inp.analytics.write(ana)
+    stored = Inputs.read(spark, snap, subs, ana, events_by_day=True)
+    assert "PartitionFilters: [isnotnull(event_day" in plan(events_job.day_events(stored, CFG))
+    rows = events_job.event_rows(stored, CFG)
+    assert "event_ts" not in plan(rows)
+    flat = events_job.event_rows(inp, CFG)
+    assert rows.count() > 0 and rows.exceptAll(flat).count() == 0 and flat.exceptAll(rows).count() == 0

@@ -3,7 +3,7 @@
 import duckdb
 from pyspark.sql import functions as F
 
-from conftest import SF_MID
+from folders import SF_MID
 from lifeline.config import SyncConfig
 from lifeline.plans import events_job
 from lifeline.plans.oracle import ctes

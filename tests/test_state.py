@@ -105,7 +105,7 @@ def test_lookback_bounds_latest(spark):
 
 
 def test_dead_or_arm_changes_nothing(spark):
-    from conftest import SF_MID
+    from folders import SF_MID
     from lifeline.sources.inputs import load_testdata
 
     snap = state.exclude_test_users(load_testdata(spark, SF_MID).snapshot, CFG)
@@ -148,7 +148,7 @@ def test_config_validation():
 
 
 def test_later_rows_change_nothing_for_a_past_day(spark):
-    from conftest import SF_MID
+    from folders import SF_MID
     from lifeline.plans.registry import PAST
     from lifeline.sources.inputs import load_testdata
 

@@ -1,6 +1,6 @@
 """SQL over the registered views equals the DataFrame stages."""
 
-from conftest import SF_SMALL
+from folders import SF_SMALL
 from lifeline.config import SyncConfig
 from lifeline.plans import state_job
 from lifeline.plans.views import register_views
