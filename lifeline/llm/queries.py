@@ -11,6 +11,7 @@ from lifeline.llm import (
     decision_list,
     decontaminate,
     minmax_dedup,
+    oracles,
     pii_votes,
     sentence_spans,
     token_files,
@@ -121,4 +122,7 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op1_decontaminate": oracles.decontaminate(decontaminate.WIDTH, decontaminate.MIN_SHARE),
+        "op3_url_rules": oracles.url_rules(URL_RULES, url_rules.DEFAULT_VERDICT),
+    }
