@@ -3,13 +3,15 @@
 A text is cut into sentences (at ``. ! ?`` and line ends); a sentence of more
 than ``LONG_WORDS`` words is cut further at words picked by their own hash
 (the smallest of each window of ``WINDOW`` words), so that copies of a passage
-are cut alike wherever they stand.  From every sentence starts a span, the
-shortest run of at least ``MIN_SENTENCES`` sentences and ``MIN_WORDS`` words.
+are cut alike wherever they stand.  From every piece starts a span, the
+shortest run of at least ``MIN_SENTENCES`` pieces and ``MIN_WORDS`` words, and
+at every piece ends one, so that spans cover a repeated run to its last piece.
 Spans are hashed and joined over the whole corpus; the first document (by
-doc_id) that holds a span keeps it, and sentences covered by a span that is
-not the first are removed.  A repeated passage of 50 words or more that starts
-and ends with a sentence always holds a whole span: two pieces of at most 24
-words are fewer than 50.
+doc_id) that holds a span keeps it, and pieces covered by a span that is
+not the first are removed.  No piece of a long sentence has more than 12 words,
+so a repeated passage, wherever it stands, loses at most 12 words at each end to
+its neighbours; all whole pieces between go if they are a span, which they
+always are from 44 words on.
 
 Hot spans are pre-aggregated (smallest and largest doc_id per hash) before the
 shuffle; what a document loses comes back grouped by document, which is
@@ -36,8 +38,8 @@ from lifeline.llm.tables import save
 
 MIN_SENTENCES = 2
 MIN_WORDS = 20
-LONG_WORDS = 24
-WINDOW = 16
+LONG_WORDS = 12
+WINDOW = 12
 
 _PIECE = re.compile(r"[^.!?\n]*[.!?\n]+\s*|[^.!?\n]+")
 _WORD = re.compile(r"\S+\s*")
@@ -59,13 +61,19 @@ class _Powers:
         return self.up[:n], self.down[:n]
 
 
-def _cut(piece: str, words: list[str]) -> list[str]:
-    """A long sentence in pieces, by the words' own hashes."""
-    h = np.array([xxhash.xxh32_intdigest(w.lower()) for w in words], dtype=np.int64)
-    picked = np.unique(np.lib.stride_tricks.sliding_window_view(h, WINDOW).argmin(axis=1) + np.arange(len(h) - WINDOW + 1))
-    at = [m.start() for m in _WORD.finditer(piece)]
-    cuts = [0, *(at[k + 1] for k in picked.tolist() if k + 1 < len(at)), len(piece)]
-    return [piece[s:e] for s, e in zip(cuts, cuts[1:])]
+def _cuts(words: list[str]) -> list[int]:
+    """Where the pieces of a long sentence start and end, by the words' own hashes."""
+    h = [xxhash.xxh32_intdigest(w.lower()) for w in words]
+    cuts, low = [0], -1
+    for end in range(WINDOW, len(h) + 1):
+        if low < end - WINDOW:
+            window = h[end - WINDOW : end]
+            low = end - WINDOW + window.index(min(window))
+        elif h[end - 1] < h[low]:
+            low = end - 1
+        if cuts[-1] != low + 1:
+            cuts.append(low + 1)
+    return cuts if cuts[-1] == len(h) else [*cuts, len(h)]
 
 
 def sentences(text: str | None) -> tuple[list[str], list[int], list[int]]:
@@ -77,27 +85,39 @@ def sentences(text: str | None) -> tuple[list[str], list[int], list[int]]:
         if not words and pieces:
             pieces[-1] += piece
             continue
-        parts = _cut(piece, words) if len(words) > LONG_WORDS else [piece]
-        for part in parts:
-            own = part.split() if len(parts) > 1 else words
-            pieces.append(part)
-            counts.append(len(own))
-            hashes.append(xxhash.xxh3_64_intdigest(" ".join(own).lower()))
+        if len(words) <= LONG_WORDS:
+            pieces.append(piece)
+            counts.append(len(words))
+            hashes.append(xxhash.xxh3_64_intdigest(" ".join(words).lower()))
+            continue
+        cuts = _cuts(words)
+        at = [m.start() for m in _WORD.finditer(piece)] + [len(piece)]
+        at[0] = 0
+        for s, e in zip(cuts, cuts[1:]):
+            pieces.append(piece[at[s] : at[e]])
+            counts.append(e - s)
+            hashes.append(xxhash.xxh3_64_intdigest(" ".join(words[s:e]).lower()))
     return pieces, counts, hashes
 
 
-def spans(counts: list[int], hashes: list[int], powers: _Powers) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and end of the span that starts at each sentence, as far as there is one."""
+def spans(counts: list[int], hashes: list[int], powers: _Powers) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, start and end of the spans that start or end at each piece, as far
+    as there are any."""
     n = len(counts)
     total = np.concatenate(([0], np.cumsum(counts, dtype=np.int64)))
     first = np.arange(n)
     end = np.maximum(np.searchsorted(total, total[:-1] + MIN_WORDS), first + MIN_SENTENCES)
-    first, end = first[end <= n], end[end <= n]
+    last = np.arange(1, n + 1)
+    start = np.minimum(np.searchsorted(total, total[1:] - MIN_WORDS, side="right") - 1, last - MIN_SENTENCES)
+    # a span that ends at a piece is new unless it is the one that starts where it does
+    start, last = start[start >= 0], last[start >= 0]
+    new = end[start] != last
+    first, end = np.concatenate((first[end <= n], start[new])), np.concatenate((end[end <= n], last[new]))
     up, down = powers.upto(n + 1)
     prefix = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum(np.array(hashes, dtype=np.uint64) * up[:n])))
     h = (prefix[end] - prefix[first]) * down[first]
     h ^= h >> np.uint64(31)
-    return (h * np.uint64(_BASE)).view(np.int64), end
+    return (h * np.uint64(_BASE)).view(np.int64), first, end
 
 
 def _collect(batches):
@@ -119,11 +139,12 @@ def _collect(batches):
 def _clean_text(text: str | None, taken: set[int], powers: _Powers):
     """The text without covered sentences; sentences, removed sentences, removed words."""
     pieces, counts, hashes = sentences(text)
-    h, end = spans(counts, hashes, powers)
+    h, first, end = spans(counts, hashes, powers)
     gone, seen = np.zeros(len(pieces), dtype=bool), set()
-    for k, (x, e) in enumerate(zip(h.tolist(), end.tolist(), strict=True)):
+    # whether a span starts or ends at a piece depends on its words, so copies come in order
+    for x, s, e in zip(h.tolist(), first.tolist(), end.tolist(), strict=True):
         if x in taken or x in seen:
-            gone[k:e] = True
+            gone[s:e] = True
         seen.add(x)
     if not gone.any():
         return text, len(pieces), 0, 0

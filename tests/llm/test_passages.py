@@ -1,0 +1,52 @@
+"""Repeated passages that stand inside sentences."""
+
+import random
+
+import pytest
+
+from lifeline.llm import sentence_spans
+
+
+def _words(rng, n):
+    return ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(n)]
+
+
+def _passage(rng, shape):
+    """Words in sentences of the lengths of ``shape``; the last one stays open."""
+    out = []
+    for n in shape[:-1]:
+        own = _words(rng, n)
+        out += [*own[:-1], own[-1] + "."]
+    return " ".join(out + _words(rng, shape[-1]))
+
+
+def _pasted(rng, passage):
+    head, tail = _words(rng, rng.randrange(1, 30)), _words(rng, rng.randrange(1, 30))
+    return f"One own start. {' '.join(head)} {passage} {' '.join(tail)}. One own end."
+
+
+@pytest.mark.parametrize("shape", [(15, 23, 15), (51,), (20, 20, 11), (1, 24, 24, 2), (12, 13, 14, 12), (24, 3, 24), (30, 21)])
+def test_passage_inside_sentences_goes(spark, shape):
+    rng = random.Random(repr(shape))
+    rows = []
+    for k in range(40):
+        passage = _passage(rng, shape)
+        rows += [(2 * k, _pasted(rng, passage)), (2 * k + 1, _pasted(rng, passage))]
+    got = sentence_spans.clean(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    texts = dict(rows)
+    for r in got:
+        if r["doc_id"] % 2 == 0:
+            assert r["text"] == texts[r["doc_id"]]
+        else:
+            assert r["first_docs"] == [r["doc_id"] - 1]
+            # at each end at most 12 words stay
+            assert sum(shape) - 24 <= r["n_words_removed"] <= sum(shape), r["text"]
+            assert len(r["text"].split()) + r["n_words_removed"] == len(texts[r["doc_id"]].split())
+
+
+def test_run_of_sentences_goes_to_its_end(spark):
+    rng = random.Random(7)
+    passages = [_passage(rng, (8, 16, 0)).strip() for _ in range(20)]
+    rows = [(2 * k + j, f"{' '.join(_words(rng, 9))}.\n{p}\n{' '.join(_words(rng, 9))}.") for k, p in enumerate(passages) for j in (0, 1)]
+    got = {r["doc_id"]: r for r in sentence_spans.clean(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert all(got[2 * k + 1]["n_words_removed"] == 24 and got[2 * k]["n_removed"] == 0 for k in range(20))
