@@ -8,8 +8,10 @@ and what it touches.  Votes of the whole corpus are counted per pattern of
 votes, a table bounded by the number of patterns.  Expectation-maximisation
 over it estimates how reliable each labeler is and how likely each pattern is
 personal data; with these as soft labels a logistic classifier of the span's
-shape is trained.  A match that satisfies the strict rule is always reported;
-another candidate is added if the classifier and the votes agree on it.
+shape is trained per kind, to convergence and on counts, so that rare kinds and
+shapes are learned whatever stands beside them.  A match that satisfies the
+strict rule is always reported; another candidate is added if the classifier
+and the votes agree on it.
 
 Everything on rows is built-in column functions: a pattern's matches and the
 gaps between them give the offsets, in code points.
@@ -23,6 +25,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -69,6 +72,9 @@ _NEAR = 32
 #: The classifier and the votes must both say so at least this surely.
 ADD_MIN = 0.95
 EM_ROUNDS = 50
+#: Weight of the classifier's pull to 0, in candidates.
+DECAY = 1e-3
+NEWTON_ROUNDS = 200
 
 
 def _matches(text: Column, pattern: str) -> Column:
@@ -222,18 +228,21 @@ class Model:
     def _names(kind: int, shape: tuple[int, ...]) -> list[tuple]:
         return [(kind,), *((kind, j, x) for j, x in enumerate(shape))]
 
-    def _fit(self, counts: list, rounds: int = 200, rate: float = 0.5, decay: float = 1e-3) -> None:
-        total = sum(n for *_, n in counts)
-        rows = [(self._names(k, s), n / total, self.posterior(k, v)) for k, v, s, n in counts]
-        self.weights = {name: 0.0 for names, *_ in rows for name in names}
-        for _ in range(rounds):
-            step = {name: -decay * w for name, w in self.weights.items()}
-            for names, share, p in rows:
-                miss = share * (p - _sigmoid(sum(self.weights[x] for x in names)))
-                for x in names:
-                    step[x] += miss
-            for name, d in step.items():
-                self.weights[name] += rate * d
+    def _fit(self, counts: list) -> None:
+        self.weights = {}
+        for k in range(len(KINDS)):
+            # candidates of a shape, and how many of them the votes call personal data
+            shapes: dict[tuple[int, ...], list[float]] = {}
+            for kind, v, s, n in counts:
+                if kind == k:
+                    own = shapes.setdefault(s, [0.0, 0.0])
+                    own[0] += n
+                    own[1] += n * self.posterior(k, v)
+            if shapes:
+                names = sorted({x for s in shapes for x in self._names(k, s)})
+                x = np.array([[name in self._names(k, s) for name in names] for s in shapes], dtype=float)
+                n, yes = np.array(list(shapes.values())).T
+                self.weights |= zip(names, _logistic(x, n, yes).tolist(), strict=True)
 
     def agrees(self, c: Column) -> Column:
         """Both the votes and the classifier call candidate ``c`` personal data."""
@@ -259,6 +268,33 @@ def _sigmoid(z: float) -> float:
     return 1 / (1 + math.exp(-z)) if z > -700 else 0.0
 
 
+def _logistic(x: np.ndarray, n: np.ndarray, yes: np.ndarray) -> np.ndarray:
+    """Weights of the features ``x`` by Newton steps, halved until they help."""
+
+    def loss(w: np.ndarray) -> float:
+        z = x @ w
+        return float(yes @ np.logaddexp(0, -z) + (n - yes) @ np.logaddexp(0, z) + DECAY / 2 * (w @ w))
+
+    w = np.zeros(x.shape[1])
+    now = loss(w)
+    for _ in range(NEWTON_ROUNDS):
+        q = np.exp(-np.logaddexp(0, -(x @ w)))
+        slope = x.T @ (yes - n * q) - DECAY * w
+        bend = (x.T * (n * q * (1 - q))) @ x + DECAY * np.eye(len(w))
+        # scaled, so that rare features count beside frequent ones; those that say the same share a step
+        scale = 1 / np.sqrt(np.diag(bend))
+        step = scale * np.linalg.lstsq(bend * np.outer(scale, scale), scale * slope, rcond=1e-12)[0]
+        size = 1.0
+        while (then := loss(w + size * step)) > now and size > 1e-9:
+            size /= 2
+        if then > now:
+            break
+        w, now = w + size * step, then
+        if np.abs(size * step).max() < 1e-9:
+            break
+    return w
+
+
 def train(docs: DataFrame) -> Model:
     """Count vote and shape patterns over all candidates and fit the model;
     there are at most 4 * 81 * 180 patterns."""
