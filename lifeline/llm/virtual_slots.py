@@ -41,8 +41,8 @@ class SlotMap:
         return SlotMap(1, n_shards, tuple(s % n_shards for s in range(slots)))
 
     def rebalanced(self, weight: list[int]) -> SlotMap:
-        """The next version: slots move from the largest to the smallest shard
-        as long as that brings the two closer."""
+        """The next version: slots move to the smallest shard from the largest
+        one that has a slot which brings the two closer, until none has."""
         shards, load = list(self.shards), [0] * self.n_shards
         own: list[list[tuple[int, int]]] = [[] for _ in range(self.n_shards)]
         for slot, shard in enumerate(shards):
@@ -50,19 +50,23 @@ class SlotMap:
             own[shard].append((weight[slot], slot))
         for x in own:
             x.sort()
-        for _ in range(4 * len(shards)):
-            top, low = load.index(max(load)), load.index(min(load))
+        # shards without such a slot; the smallest load never falls, so they stay so until they get one
+        stuck: set[int] = set()
+        while len(stuck) < self.n_shards:
+            top, low = max((s for s in range(self.n_shards) if s not in stuck), key=load.__getitem__), load.index(min(load))
             half = (load[top] - load[low]) / 2
             # moving less than twice the half narrows the gap; the closest to the half narrows it most
             fits = [x for x in own[top] if 0 < x[0] < 2 * half]
             if not fits:
-                break
+                stuck.add(top)
+                continue
             best = min(fits, key=lambda x: (abs(x[0] - half), x[1]))
             own[top].remove(best)
             own[low].append(best)
             shards[best[1]] = low
             load[top] -= best[0]
             load[low] += best[0]
+            stuck.discard(low)
         return SlotMap(self.version + 1, self.n_shards, tuple(shards))
 
     def grown(self, weight: list[int]) -> SlotMap:

@@ -1,0 +1,34 @@
+"""Rebalancing beside slots that outweigh a shard's share."""
+
+import random
+
+import pytest
+
+from lifeline.llm.virtual_slots import SlotMap
+
+
+def _load(slot_map, weight):
+    load = [0] * slot_map.n_shards
+    for slot, shard in enumerate(slot_map.shards):
+        load[shard] += weight[slot]
+    return load
+
+
+def test_second_overfull_shard_gives_slots_away():
+    weight = [0] * 64
+    weight[0], weight[1] = 100_000, 50_000
+    for slot in range(5, 64, 4):
+        weight[slot] = 100
+    even = SlotMap.initial(4, 64).rebalanced(weight)
+    assert sorted(_load(even, weight)) == [700, 800, 50_000, 100_000]
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_no_move_narrows_a_gap(seed):
+    rng = random.Random(seed)
+    weight = [rng.randrange(1_000) for _ in range(512)]
+    for slot in rng.sample(range(512), seed % 6):
+        weight[slot] = rng.randrange(50_000, 10**6)
+    even = SlotMap.initial(8, 512).rebalanced(weight)
+    load = _load(even, weight)
+    assert all(w == 0 or load[shard] - w <= min(load) for w, shard in zip(weight, even.shards))
