@@ -12,9 +12,9 @@ A document is one frame: its ids, end id included, as little-endian unsigned
 integers of ``width`` bytes.  A short document is read by its segment's row
 and offset alone (``lookup``); ``start`` is the number of ids before it.
 
-The dictionary is trained on the first ``SAMPLE_CHARS`` characters of about
-``SAMPLE_DOCS`` documents, those with the smallest hashes, a fixed bound
-whatever the corpus; only the compression ratio depends on it.
+The dictionary is trained on ``SAMPLE_CHARS`` characters, from an offset picked
+by hash, of about ``SAMPLE_DOCS`` documents, those with the smallest hashes, a
+fixed bound whatever the corpus; only the compression ratio depends on it.
 
 Defined results: a null or empty text is the end id alone; rows with a null
 doc_id come first; rows with the same doc_id are in order of text; an empty
@@ -89,7 +89,9 @@ def worker_encoder(path: str) -> Encoder:
 
 def train_dictionary(docs: DataFrame, path: str) -> bytes:
     """A zstandard dictionary from the bounded sample; empty if there is too little text."""
-    sample = hashed_sample(docs, SAMPLE_DOCS, "doc_id").select(F.substring("text", 1, SAMPLE_CHARS).alias("text")).collect()
+    starts = F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(0)) + 1
+    start = (F.pmod(F.xxhash64("text", "doc_id"), starts) + 1).cast("int")
+    sample = hashed_sample(docs, SAMPLE_DOCS, "doc_id").select(F.substring("text", start, F.lit(SAMPLE_CHARS)).alias("text")).collect()
     encode = Encoder(path)
     arrays = [encode(r["text"]) for r in sample]
     try:
