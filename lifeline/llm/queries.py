@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lifeline.llm import (
     bpe_words,
+    byte_bpe,
     chat_trees,
     decision_list,
     decontaminate,
@@ -103,6 +104,12 @@ def op10_decision_list(spark, sf_dir):
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op13_byte_bpe(spark, sf_dir):
+    from public_tokenizers import PATTERN
+
+    return byte_bpe.digests(_table(spark, sf_dir, "documents"), tokenizer("byte_bpe_multi_50k.tiktoken"), PATTERN)
+
+
 def queries() -> dict:
     return {
         f.__name__: f
@@ -117,6 +124,7 @@ def queries() -> dict:
             op8_token_files,
             op9_virtual_slots,
             op10_decision_list,
+            op13_byte_bpe,
         )
     }
 

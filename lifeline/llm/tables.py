@@ -26,6 +26,18 @@ def save(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def save_bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
+    """As ``save``, in buckets of ``key``: work by ``key`` needs no shuffle of
+    these rows.  The catalog forgets the table at once; its files stay."""
+    spark = df.sparkSession
+    table = f"lifeline_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(buckets, key).option("compression", "zstd").option("path", scratch_path(spark, name)).saveAsTable(table)
+    out = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")
+    return out
+
+
 def maybe_broadcast(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` marked for broadcast when its counted ``rows`` are within the
     bound; beyond it the join shuffles."""
