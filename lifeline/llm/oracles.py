@@ -51,3 +51,54 @@ SELECT u.page_id, u.host, u.path, r.on_host || r.on_path AS rule, coalesce(r.ver
 FROM urls AS u LEFT JOIN rules AS r
   ON (u.host = r.on_host OR ends_with(u.host, '.' || r.on_host)) AND starts_with(u.path, r.on_path)
 QUALIFY row_number() OVER (PARTITION BY u.k ORDER BY length(r.on_host || r.on_path) DESC NULLS LAST) = 1"""
+
+
+def merkle(arity: int, fields) -> str:
+    """All nodes of all levels, then every leaf climbs to the root run by run."""
+
+    def leaf(text: str = "text") -> str:
+        values = [f"CAST({text if f == 'text' else f} AS VARCHAR)" for f in fields]
+        return "sha256(" + " || ".join(f"coalesce(strlen({v}) || ':' || {v}, '-')" for v in values) + ")"
+
+    def forest(name: str, leaves: str) -> str:
+        """Runs of sibling nodes of every level that has several."""
+        return f"""
+{name}_nodes(tree, level, run, place, digest, n) AS (
+  {leaves}
+  UNION ALL
+  SELECT tree, any_value(level) + 1, run // {arity}, run % {arity}, sha256(string_agg(digest, '' ORDER BY place)), (any_value(n) + {arity - 1}) // {arity}
+  FROM {name}_nodes WHERE n > 1 GROUP BY tree, run),
+{name}_runs AS (SELECT tree, level, run, list(digest ORDER BY place) AS run_digests FROM {name}_nodes WHERE n > 1 GROUP BY ALL)"""
+
+    def climb(name: str, forest: str, starts: str) -> str:
+        """k, tree, level, index, node now, siblings so far."""
+        before, after = "list_slice(run_digests, 1, index % {0})", "list_slice(run_digests, index % {0} + 2, {0})"
+        left, right = (f"array_to_string({x.format(arity)}, '')" for x in (before, after))
+        return f"""
+{name}(k, tree, level, index, node, siblings) AS (
+  {starts}
+  UNION ALL
+  SELECT k, c.tree, c.level + 1, index // {arity}, sha256({left} || node || {right}), siblings || {left} || {right}
+  FROM {name} AS c JOIN {forest}_runs AS r ON r.tree = c.tree AND r.level = c.level AND r.run = index // {arity}),
+{name}_end AS (SELECT k, tree, arg_max(node, level) AS node, arg_max(siblings, level) AS siblings FROM {name} GROUP BY k, tree)"""
+
+    # the last bit of a checksum, bit by bit; its complement is the last bit of the state
+    step = "list_reduce(range(8), lambda x, bit: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, xor(c, b))"
+    codes = "list_transform(regexp_extract_all(CAST(doc_id AS VARCHAR), '.'), lambda s: CAST(ascii(s) AS BIGINT))"
+    even = f"list_reduce({codes}, lambda c, b: {step}, CAST(4294967295 AS BIGINT)) & 1 = 1"
+    changed = f"CASE WHEN {even} THEN replace(text, chr(10), '') ELSE text END"
+    start = "SELECT {0}, {1}, 0, {2}, {3}, '' FROM {4}"
+    return f"""WITH RECURSIVE
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS index, count(*) OVER (PARTITION BY tree) AS n
+  FROM (SELECT row_number() OVER () AS k, doc_id, coalesce('+' || source, '') AS tree, {leaf()} AS leaf, {leaf(changed)} AS later FROM documents)),
+{forest("doc", f"SELECT tree, 0, index // {arity}, index % {arity}, leaf, n FROM leaves").strip()},
+subroots AS (
+  SELECT tree AS source_key, digest, row_number() OVER (ORDER BY tree) - 1 AS index, count(*) OVER () AS n FROM doc_nodes WHERE n = 1),
+{forest("source", f"SELECT '', 0, index // {arity}, index % {arity}, digest, n FROM subroots").strip()},
+{climb("source_climb", "source", start.format("source_key", "''", "index", "digest", "subroots")).strip()},
+{climb("climb", "doc", start.format("k", "tree", "index", "leaf", "leaves")).strip()},
+{climb("later_climb", "doc", start.format("k", "tree", "index", "later", "leaves")).strip()},
+{climb("later_up", "source", start.format("e.k", "''", "s.index", "e.node", "later_climb_end AS e JOIN subroots AS s ON s.source_key = e.tree")).strip()}
+SELECT d.doc_id, d.leaf, e.node AS subroot, s.node AS root, sha256(e.siblings || s.siblings) AS proof_sha256, l.node AS folded_root, l.node = s.node AS verified
+FROM leaves AS d JOIN climb_end AS e USING (k) JOIN source_climb_end AS s ON s.k = d.tree JOIN later_up_end AS l ON l.k = d.k"""

@@ -11,6 +11,7 @@ from lifeline.llm import (
     chat_trees,
     decision_list,
     decontaminate,
+    merkle,
     minmax_dedup,
     oracles,
     pii_votes,
@@ -104,6 +105,15 @@ def op10_decision_list(spark, sf_dir):
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op12_merkle(spark, sf_dir):
+    out = scratch_path(spark, "merkle")
+    # rows are tampered with in half of the documents: their line breaks go
+    even = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    later = merkle.leaf_digest(text=F.when(even, F.translate("text", "\n", "")).otherwise(F.col("text")))
+    merkle.write(_table(spark, sf_dir, "documents"), out, claim=later)
+    return merkle.verdicts(spark, out)
+
+
 def op13_byte_bpe(spark, sf_dir):
     from public_tokenizers import PATTERN
 
@@ -124,6 +134,7 @@ def queries() -> dict:
             op8_token_files,
             op9_virtual_slots,
             op10_decision_list,
+            op12_merkle,
             op13_byte_bpe,
         )
     }
@@ -133,4 +144,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_decontaminate": oracles.decontaminate(decontaminate.WIDTH, decontaminate.MIN_SHARE),
         "op3_url_rules": oracles.url_rules(URL_RULES, url_rules.DEFAULT_VERDICT),
+        "op12_merkle": oracles.merkle(merkle.ARITY, merkle.FIELDS),
     }

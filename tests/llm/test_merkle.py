@@ -1,0 +1,118 @@
+"""The manifest against a plain recomputation, of whole tables and of trees of every small size."""
+
+import hashlib
+import zlib
+
+import nasty
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+
+from lifeline.llm import merkle
+from lifeline.llm.queries import op12_merkle
+
+SF = "/root/testdata/sf0.001"
+FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+def H(*parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def leaf(row):
+    said = (None if v is None else str(v) for v in row)
+    return H(*("-" if v is None else f"{len(v.encode())}:{v}" for v in said))
+
+
+def climb(nodes):
+    """Each node's sibling runs (left, right), and the root."""
+    proofs, at = [[] for _ in nodes], list(range(len(nodes)))
+    while len(nodes) > 1:
+        for i, place in enumerate(at):
+            run = place // 3 * 3
+            proofs[i].append(("".join(nodes[run:place]), "".join(nodes[place + 1 : run + 3])))
+        at = [place // 3 for place in at]
+        nodes = [H(*nodes[k : k + 3]) for k in range(0, len(nodes), 3)]
+    return proofs, nodes[0]
+
+
+def fold(node, proof):
+    for left, right in proof:
+        node = H(left, node, right)
+    return node
+
+
+def manifest(rows):
+    trees = {}
+    for row in rows:
+        trees.setdefault(row[1], []).append((row[0] is not None, row[0] or 0, leaf(row), row))
+    out, names = [], sorted(trees, key=lambda s: (s is not None, (s or "").encode()))
+    built = {s: climb([x[2] for x in sorted(trees[s], key=lambda x: x[:3])]) for s in names}
+    upper, root = climb([built[s][1] for s in names]) if names else ([], None)
+    for s, above in zip(names, upper, strict=True):
+        for (_, _, own, row), below in zip(sorted(trees[s], key=lambda x: x[:3]), built[s][0], strict=True):
+            text = row[4]
+            if row[0] is not None and text is not None and zlib.crc32(str(row[0]).encode()) % 2 == 0:
+                text = text.replace("\n", "")
+            folded = fold(leaf((*row[:4], text)), below + above)
+            out.append((row[0], own, built[s][1], root, H(*(a + b for a, b in below + above)), folded, folded == root))
+    return sorted(out, key=repr)
+
+
+def _rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def _frame(spark, rows):
+    return spark.createDataFrame(rows, "doc_id bigint, source string, lang string, n_chars bigint, text string")
+
+
+@pytest.fixture(scope="module")
+def nasty_rows():
+    rows = [(i, s, la, n, t) for i, t, la, s, n in nasty.documents()]
+    rows += [(None, "src1", None, None, "x\ny"), (None, "src1", None, None, "x\ny"), (None, None, None, None, None)]
+    return rows + [(3, "src1", "en", 7, "other\n"), (3, "src1", "en", 7, "other\n"), (-5, "é", "en", 1, "a"), (9, "", "en", 1, "b\n")]
+
+
+def test_the_query(spark):
+    table = pq.read_table(f"{SF}/documents.parquet")
+    rows = list(zip(*(table.column(c).to_pylist() for c in FIELDS), strict=True))
+    got = _rows(op12_merkle(spark, SF))
+    assert got == manifest(rows)
+    assert {r[-1] for r in got} == {True, False}
+
+
+def test_nasty_rows(spark, tmp_path, nasty_rows):
+    _frame(spark, nasty_rows).write.parquet(f"{tmp_path}/documents.parquet")
+    assert _rows(op12_merkle(spark, str(tmp_path))) == manifest(nasty_rows)
+
+
+def test_trees_of_every_size(spark, tmp_path):
+    """Sizes around powers of the arity, so that last runs are short on every level."""
+    sizes = [1, 2, 3, 4, 8, 9, 10, 26, 27, 28, 80, 81, 82, 83, 84, 90, 91, 162, 163, 243, 244, 250, 700, 730]
+    rows = [(k, f"s{n:03}", "en", k, f"text\n{k}") for n in sizes for k in range(n)]
+    _frame(spark, rows).repartition(5).write.parquet(f"{tmp_path}/documents.parquet")
+    assert _rows(op12_merkle(spark, str(tmp_path))) == manifest(rows)
+
+
+def test_stored_levels(spark, tmp_path):
+    rows = [(k, "one", "en", k, "t") for k in range(300)]
+    out = str(tmp_path / "m")
+    merkle.write(_frame(spark, rows), out)
+    assert sorted(p.name for p in (tmp_path / "m" / "leaves").iterdir()) == ["level=0", "level=4", "level=8", "trees"]
+    assert spark.read.parquet(f"{out}/leaves/level=4").count() == 4
+    got = merkle.proofs(spark, out)
+    assert "claim" not in got.columns
+    assert got.where(merkle.fold(F.col("leaf"), F.col("proof")) == F.col("root")).count() == 300
+    assert got.where(merkle.fold(F.sha2(F.lit("x"), 256), F.col("proof")) == F.col("root")).count() == 0
+    assert merkle.verdicts(spark, out).where("verified").count() == 300
+
+
+def test_no_rows_and_clashing_columns(spark, tmp_path):
+    rows = _frame(spark, [(1, "a", None, None, "x"), (2, "a", None, None, "y")])
+    for name in ("key", "index", "digest", "claim", "pos", "n", "depth", "proof", "leaf"):
+        rows = rows.withColumn(name, F.lit("z"))
+    merkle.write(rows, str(tmp_path / "two"))
+    assert merkle.verdicts(spark, str(tmp_path / "two")).where("verified").count() == 2
+    merkle.write(rows.limit(0), str(tmp_path / "none"))
+    assert merkle.verdicts(spark, str(tmp_path / "none")).count() == 0
