@@ -102,3 +102,26 @@ subroots AS (
 {climb("later_up", "source", start.format("e.k", "''", "s.index", "e.node", "later_climb_end AS e JOIN subroots AS s ON s.source_key = e.tree")).strip()}
 SELECT d.doc_id, d.leaf, e.node AS subroot, s.node AS root, sha256(e.siblings || s.siblings) AS proof_sha256, l.node AS folded_root, l.node = s.node AS verified
 FROM leaves AS d JOIN climb_end AS e USING (k) JOIN source_climb_end AS s ON s.k = d.tree JOIN later_up_end AS l ON l.k = d.k"""
+
+
+def hard_negatives(positives: int, negatives: int) -> str:
+    """Every anchor against every row."""
+    return f"""WITH
+usable AS (
+  SELECT row_number() OVER () AS k, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.k, a.vec_id AS anchor_id, r.vec_id AS other_id, a.label = r.label AS same, CAST(list_inner_product(a.v, r.v) AS BIGINT) AS score
+  FROM usable AS a JOIN usable AS r ON a.k <> r.k WHERE a.vec_id % 100 = 0),
+positive AS (
+  SELECT k, anchor_id, other_id AS positive_id, score AS positive_score, row_number() OVER (PARTITION BY k ORDER BY score DESC, other_id) AS p
+  FROM scored WHERE same QUALIFY p <= {positives}),
+negative AS (
+  SELECT p.anchor_id, p.positive_id, s.other_id AS negative_id, p.positive_score, s.score AS negative_score,
+         CAST(row_number() OVER (PARTITION BY p.k, p.p ORDER BY s.score DESC, s.other_id) AS INTEGER) AS rank
+  FROM positive AS p JOIN scored AS s ON s.k = p.k AND NOT s.same
+  WHERE 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM negative WHERE rank <= {negatives}"""

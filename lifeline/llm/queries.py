@@ -11,6 +11,7 @@ from lifeline.llm import (
     chat_trees,
     decision_list,
     decontaminate,
+    hard_negatives,
     merkle,
     minmax_dedup,
     oracles,
@@ -105,6 +106,12 @@ def op10_decision_list(spark, sf_dir):
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op11_hard_negatives(spark, sf_dir):
+    rows = _table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
 def op12_merkle(spark, sf_dir):
     out = scratch_path(spark, "merkle")
     # rows are tampered with in half of the documents: their line breaks go
@@ -134,6 +141,7 @@ def queries() -> dict:
             op8_token_files,
             op9_virtual_slots,
             op10_decision_list,
+            op11_hard_negatives,
             op12_merkle,
             op13_byte_bpe,
         )
@@ -144,5 +152,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_decontaminate": oracles.decontaminate(decontaminate.WIDTH, decontaminate.MIN_SHARE),
         "op3_url_rules": oracles.url_rules(URL_RULES, url_rules.DEFAULT_VERDICT),
+        "op11_hard_negatives": oracles.hard_negatives(hard_negatives.POSITIVES, hard_negatives.NEGATIVES),
         "op12_merkle": oracles.merkle(merkle.ARITY, merkle.FIELDS),
     }
