@@ -62,9 +62,6 @@ STATUS_IN_CANCELATION = "in cancelation period"
 STATUS_ACTIVE = "active"
 STATUS_UNKNOWN = "unknown"
 
-# Churn types, the greater last; any other counts as none.
-CHURN_TYPES = ("involuntary", "voluntary")
-
 # Sentinel dates used by the state query.
 NO_DATE = dt.date(1900, 1, 1)
 FAR_FUTURE = dt.date(2199, 12, 31)

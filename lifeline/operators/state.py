@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from lifeline import config as C
 from lifeline.config import SyncConfig
 from lifeline.functions.status import subscription_status
+from lifeline.operators.greatest import greatest_text
 
 SB_COLUMNS = (
     "user_id",
@@ -26,6 +27,8 @@ SB_COLUMNS = (
     "billing_cycle_start_date",
     "billing_cycle_end_date",
 )
+CHURN_KEYS = ["user_id", "subscription_start_date"]
+CHURN_COLUMNS = (*CHURN_KEYS, "billing_cycle_end_date", "churn_type", "subscription_end_date")
 ATTRIBUTE_COLUMNS = ("subscription_month", "gift_card_code", "payment_vendor")
 
 
@@ -58,39 +61,32 @@ def latest_entry(snapshot: DataFrame, cfg: SyncConfig) -> DataFrame:
 
 def churn_state(snapshot: DataFrame, cfg: SyncConfig, after: dt.date | None = None, through: dt.date | None = None) -> DataFrame:
     """Per (user, start) maxima over churn rows of the days after ``after``
-    through ``through`` (today by default): cycle end, churn type and end date
-    (the snapshot day for involuntary rows, the cycle end otherwise).
+    through ``through`` (today by default): cycle end, churn type (any text, the
+    greatest in byte order) and end date (the snapshot day for involuntary
+    rows, the cycle end otherwise).
 
-    The type is kept as its rank (1 involuntary, 2 voluntary, else null), so
-    every maximum has a fixed width and is folded by a hash aggregate without
-    sorting raw rows.  States of several day ranges merge exactly
-    (``merge_churn``), so a day's run may read a stored one and new days only.
+    Raw rows are folded by a hash aggregate (``greatest_text``).  States of
+    several day ranges merge exactly (``merge_churn``), so a day's run may read
+    a stored one and new days only.
     """
     day = F.col("calendar_date")
     days = day <= F.lit(through or cfg.today_local)
     if after is not None:
         days = days & (day > F.lit(after))
-    rank = F.array_position(F.lit(list(C.CHURN_TYPES)), F.col("churn_type"))
     end = F.when(F.col("churn_type") == "involuntary", day).otherwise(F.col("billing_cycle_end_date"))
-    return (
-        snapshot.where((F.col("base_group") == "churn") & days)
-        .groupBy("user_id", "subscription_start_date")
-        .agg(
-            F.max("billing_cycle_end_date").alias("billing_cycle_end_date"),
-            F.max(F.when(rank > 0, rank.cast("int"))).alias("churn_rank"),
-            F.max(end).alias("subscription_end_date"),
-        )
-    )
+    return greatest_text(
+        snapshot.where((F.col("base_group") == "churn") & days),
+        CHURN_KEYS,
+        "churn_type",
+        billing_cycle_end_date=F.col("billing_cycle_end_date"),
+        subscription_end_date=end,
+    ).select(*CHURN_COLUMNS)
 
 
 def merge_churn(*states: DataFrame) -> DataFrame:
     """Exact merge of churn states (a maximum of maxima; overlaps do no harm)."""
-    maxima = ("billing_cycle_end_date", "churn_rank", "subscription_end_date")
-    return (
-        reduce(DataFrame.unionByName, states)
-        .groupBy("user_id", "subscription_start_date")
-        .agg(*(F.max(c).alias(c) for c in maxima))
-    )
+    maxima = {c: F.col(c) for c in ("billing_cycle_end_date", "subscription_end_date")}
+    return greatest_text(reduce(DataFrame.unionByName, states), CHURN_KEYS, "churn_type", **maxima).select(*CHURN_COLUMNS)
 
 
 def churn_rollup(
@@ -101,18 +97,12 @@ def churn_rollup(
     a ``stored`` churn state through day ``stored_through``, only later days
     are read; a state that goes past today is refused."""
     if stored is None:
-        state = churn_state(snapshot, cfg)
-    else:
-        if stored_through is None or stored_through > cfg.today_local:
-            raise ValueError("a stored churn state must end by today")
-        state = merge_churn(stored, churn_state(snapshot, cfg, after=stored_through))
-    return state.select(
-        "user_id",
-        "subscription_start_date",
-        "billing_cycle_end_date",
-        F.get(F.lit(list(C.CHURN_TYPES)), F.col("churn_rank") - 1).alias("churn_type"),
-        "subscription_end_date",
-    )
+        return churn_state(snapshot, cfg)
+    if stored_through is None or stored_through > cfg.today_local:
+        raise ValueError("a stored churn state must end by today")
+    if stored_through == cfg.today_local:
+        return stored.select(*CHURN_COLUMNS)
+    return merge_churn(stored, churn_state(snapshot, cfg, after=stored_through))
 
 
 def snapshot_with_churn(

@@ -174,6 +174,6 @@ def test_stored_churn_state_folds_new_days(spark):
         state.churn_rollup(snap, CFG, older, CFG.today_local + dt.timedelta(days=1))
 
 
-def test_unknown_churn_type_counts_as_none(spark):
+def test_other_churn_types_are_kept(spark):
     df = spark.createDataFrame([row("u1", D(-1), group="churn", bce=D(-3), churn_type="other")], SNAPSHOT_SCHEMA)
-    assert [r.churn_type for r in state.churn_rollup(df, CFG).collect()] == [None]
+    assert [r.churn_type for r in state.churn_rollup(df, CFG).collect()] == ["other"]
