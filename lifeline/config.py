@@ -93,9 +93,9 @@ class SyncConfig:
     # the daily runs commit the ledger after each of this many groups of
     # batches, so a failed send is repeated for one group at most
     send_commits: int = 4
-    # largest key set broadcast as a semi-join filter ahead of the identity
-    # aggregate (about 100 bytes a key in the broadcast relation)
-    identity_broadcast_max_keys: int = 1_000_000
+    # most bits of the bitmap of the day's users that is broadcast ahead of the
+    # identity aggregate (2^27 bits are 16 MB)
+    identity_filter_bits: int = 1 << 27
     # batching: an app with at most rows_per_range_partition payloads is
     # numbered in one task (plain ntile window); bigger inputs use that many
     # rows per range partition.  bucket_partitions forces the range form

@@ -4,13 +4,16 @@ For each hashed analytics user: the first non-null client (pseudo) id and
 the app id of the very first event (a null there falls back to the default
 app id).  "First" is by (event_timestamp, event_id), the id breaking ties.
 
-The per-user state is two structs, the smallest
-``(event_timestamp, event_id, value)`` over the user's events (for the
-client id: over events that have one).  A minimum of structs is a plain
-grouped aggregate:
-
-* partial aggregation folds every user's events map-side, so a user owning
-  a third of all events reaches the shuffle as one row per map task;
+An event's place in that order is one decimal number, its ``key``: the
+timestamp's microseconds times 2^65 plus the event id (nulls first), so a
+minimum has a fixed width.  Raw events are folded per (user, client id, app id)
+to their smallest key; a user has few of those, and only they are reduced to the
+per-user state: two structs, the smallest ``(key, value)`` (for the client id:
+over events that have one).
+
+* Both folds are plain aggregates with a map-side part, the first one by hash,
+  without sorting raw events: a user owning a third of all events reaches the
+  shuffle as a few rows per map task;
 * states of disjoint shard ranges merge exactly (minimum of minima), so
   identity can be stored rather than rescanned: a cumulative table of one
   row per user updated with new shards only (``fold_shards``), or a
@@ -24,32 +27,47 @@ functions over the join product.
 from __future__ import annotations
 
 from collections.abc import Callable
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lifeline.config import SyncConfig
+from lifeline.operators.key_filter import bitmap_bits, key_bitmap, may_have_key
 from lifeline.sources.shards import ShardedEvents
 
 
-def _first(value: Column) -> Column:
-    return F.struct(
-        F.col("event_timestamp").alias("ts"), F.col("event_id").alias("event_id"), value.alias("value")
-    )
+#: The key of an event is micros * KEY_STEP + id - least id + 1.
+KEY_STEP = 2**65
+_LEAST_ID = -(2**63)
+#: Stands for a null timestamp, before all others.
+_NO_TIME = -(2**59)
+
 
+def event_key() -> Column:
+    """The place of an event by (event_timestamp, event_id), nulls first."""
+    since = F.col("event_timestamp") - F.expr("timestamp_ntz'1970-01-01 00:00:00'")
+    micros = (since.cast("interval second").cast("decimal(18,6)") * 1_000_000).cast("decimal(18,0)")
+    whole = lambda number, digits: F.lit(Decimal(number)).cast(f"decimal({digits},0)")
+    event = F.coalesce(F.col("event_id").cast("decimal(19,0)") - whole(_LEAST_ID - 1, 19), whole(0, 1))
+    place = F.coalesce(micros, whole(_NO_TIME, 18)).cast("decimal(18,0)") * whole(KEY_STEP, 20) + event
+    return place.cast("decimal(38,0)")
 
-def _minima() -> list[Column]:
-    pseudo = F.col("user_pseudo_id")
-    return [
-        F.min(F.when(pseudo.isNotNull(), _first(pseudo))).alias("first_client"),
-        F.min(_first(F.col("app_info.firebase_app_id"))).alias("first_app"),
-    ]
+
+def _fold(analytics: DataFrame, *by: str) -> DataFrame:
+    """The mergeable state per ``by``: ``first_client`` and ``first_app`` structs."""
+    rows = analytics.select(*by, F.col("user_pseudo_id").alias("client"), F.col("app_info.firebase_app_id").alias("app"), event_key().alias("key"))
+    few = rows.groupBy(*by, "client", "app").agg(F.min("key").alias("key"))
+    first = lambda value: F.struct("key", F.col(value).alias("value"))
+    return few.groupBy(*by).agg(
+        F.min(F.when(F.col("client").isNotNull(), first("client"))).alias("first_client"), F.min(first("app")).alias("first_app")
+    )
 
 
 def first_touch_state(analytics: DataFrame) -> DataFrame:
     """``user_id``, ``first_client`` and ``first_app`` structs (mergeable)."""
-    return analytics.groupBy("user_id").agg(*_minima())
+    return _fold(analytics, "user_id")
 
 
 def merge_first_touch(*states: DataFrame) -> DataFrame:
@@ -72,21 +90,17 @@ def finalize_first_touch(state: DataFrame, cfg: SyncConfig) -> DataFrame:
 def key_filter(
     keys: DataFrame | None, cfg: SyncConfig, n_keys: int | None = None
 ) -> Callable[[DataFrame], DataFrame]:
-    """A filter keeping only rows whose ``user_id`` is in ``keys``: a
-    broadcast semi-join when the key set's counted size (``n_keys`` if the
-    caller already counted the distinct keys) is within
-    ``cfg.identity_broadcast_max_keys`` (no shuffle of the filtered frame),
-    else no filter (the inner join after the aggregate restricts).  The key
-    set is counted once, however many frames the filter is applied to."""
+    """A filter keeping the rows whose ``user_id`` may be in ``keys``: a bitmap
+    of at most ``cfg.identity_filter_bits`` bits, broadcast, so nothing is
+    shuffled.  Some other users pass; the inner join after the aggregate
+    drops them.  The distinct keys are counted once (``n_keys`` if the caller
+    did), however many frames the filter is applied to."""
     if keys is None:
         return lambda df: df
     keys = keys.select("user_id").distinct()
-    if n_keys is None:
-        n_keys = keys.count()
-    if n_keys > cfg.identity_broadcast_max_keys:
-        return lambda df: df
-    small = F.broadcast(keys)
-    return lambda df: df.join(small, "user_id", "left_semi")
+    bits = bitmap_bits(keys.count() if n_keys is None else n_keys, cfg.identity_filter_bits)
+    bitmap = key_bitmap(keys, "user_id", bits)
+    return lambda df: may_have_key(df, "user_id", bitmap, bits)
 
 
 def first_touch(
@@ -96,7 +110,7 @@ def first_touch(
     n_keys: int | None = None,
 ) -> DataFrame:
     """First-touch identity over ``analytics``, optionally only for ``keys``
-    (see ``key_filter``)."""
+    and some users beside them (see ``key_filter``)."""
     only_keys = key_filter(keys, cfg, n_keys)
     return finalize_first_touch(first_touch_state(only_keys(analytics)), cfg)
 
@@ -121,14 +135,14 @@ def write_state(state: DataFrame, path: str) -> None:
 
 
 # per-day states: one row per (shard, user), kept as a suffix-partitioned table
-_FIRST = "struct<ts: timestamp_ntz, event_id: bigint, value: string>"
+_FIRST = "struct<key: decimal(38,0), value: string>"
 DAY_STATE_DDL = f"user_id string, first_client {_FIRST}, first_app {_FIRST}, suffix string"
 
 
 def day_states(analytics: DataFrame) -> DataFrame:
     """Identity state of every (shard, user): a one-day summary that merges
     exactly with other days (``range_state``)."""
-    return analytics.groupBy("suffix", "user_id").agg(*_minima())
+    return _fold(analytics, "suffix", "user_id")
 
 
 def write_day_states(states: DataFrame, path: str) -> None:

@@ -74,8 +74,8 @@ def events_with_identity(
     """Day events of users known to analytics, named and routed; keeps the
     raw ``event_type`` (the payload order uses it as the last tie-break).
 
-    Only the day's users are looked up: their key set is broadcast ahead of
-    the identity aggregate when its size allows (see ``key_filter``).  The
+    Only the day's users are looked up: a bitmap of their keys is broadcast
+    ahead of the identity aggregate (see ``key_filter``).  The
     day's distinct rows are checkpointed, so the event fact is scanned once;
     keys, their count and the join read the checkpoint.
     """

@@ -64,7 +64,7 @@ def test_query_types_match_oracle(spark, con, name):
 
 
 def test_beyond_every_size_bound_matches_oracle(spark, monkeypatch):
-    """All broadcast bounds at zero: identity without the key filter, ntile
+    """All broadcast bounds at their least: a key bitmap of one piece, ntile
     offsets joined without broadcast; tiny chunk and partition sizes.  Same batches as SQL."""
     from folders import SF_MID
     from lifeline.config import SyncConfig
@@ -73,7 +73,7 @@ def test_beyond_every_size_bound_matches_oracle(spark, monkeypatch):
     from lifeline.sources.inputs import load_testdata
 
     monkeypatch.setattr(batching, "OFFSETS_BROADCAST_MAX", 0)
-    cfg = SyncConfig(identity_broadcast_max_keys=0, max_events_per_payload=2, bucket_partitions=4)
+    cfg = SyncConfig(identity_filter_bits=0, max_events_per_payload=2, bucket_partitions=4)
     mid = duck(SF_MID)
     got = events_job.event_batches(load_testdata(spark, SF_MID, cfg), cfg).toPandas()
     got = got.astype({"bucket": "int64"})

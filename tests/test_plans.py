@@ -156,3 +156,21 @@ def test_event_fact_is_scanned_once_by_partition(spark, tmp_path):
     assert "event_ts" not in plan(rows)
     flat = events_job.event_rows(inp, CFG)
     assert rows.count() > 0 and rows.exceptAll(flat).count() == 0 and flat.exceptAll(rows).count() == 0
+
+
+def test_identity_folds_raw_events_by_hash(spark):
+    """No sort below the first shuffle: raw events meet a hash aggregate with a fixed-width minimum."""
+    shown = plan(first_touch(load_testdata(spark, SF_SMALL).analytics.all(), CFG))
+    below = shown[: shown.index("\n\n\n")] if "\n\n\n" in shown else shown
+    tree = [line for line in below.splitlines() if "Aggregate" in line or "Exchange" in line or "Sort" in line]
+    lowest = [line for line in tree if "Exchange" in line][-1]
+    assert not any("Sort" in line for line in tree[tree.index(lowest) :])
+    assert any("HashAggregate" in line for line in tree[tree.index(lowest) :])
+
+
+def test_key_filter_stays_at_any_number_of_keys(spark):
+    import dataclasses
+
+    few = dataclasses.replace(CFG, identity_filter_bits=0)
+    p = plan(events_job.events_with_identity(load_testdata(spark, SF_SMALL), few))
+    assert "LeftSemi" in p and "bitmap_construct_agg" in p
