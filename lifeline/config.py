@@ -89,10 +89,15 @@ class SyncConfig:
     # events of one user are split over payloads of at most this many
     # events (the collection endpoint accepts 25 events per request)
     max_events_per_payload: int = 25
-    send_partitions: int = 10
-    # the daily runs commit the ledger after each of this many groups of
-    # batches, so a failed send is repeated for one group at most
-    send_commits: int = 4
+    # senders: as many tasks as send all payloads within send_seconds at the
+    # rate of one sender, at most max_senders (the endpoint's limit);
+    # send_partitions states their number instead
+    sends_per_second: float = 50.0
+    send_seconds: float = 600.0
+    max_senders: int = 1_000
+    send_partitions: int | None = None
+    # a sender records what it sent after each of this many payloads
+    send_record_every: int = 500
     # most bits of the bitmap of the day's users that is broadcast ahead of the
     # identity aggregate (2^27 bits are 16 MB)
     identity_filter_bits: int = 1 << 27

@@ -59,7 +59,7 @@ def _ship(
         # an empty commit first: there may be no ledger yet
         spark.createDataFrame([], delivery.LEDGER_SCHEMA).write.mode("append").parquet(lpath)
         done = spark.read.schema(delivery.LEDGER_SCHEMA).parquet(lpath)
-    ledger = delivery.deliver(stored, schema, cfg, transport, lpath, done, cfg.send_commits)
+    ledger = delivery.deliver(stored, schema, cfg, transport, lpath, done)
     return SyncResult(stored, ledger, bpath, lpath)
 
 
