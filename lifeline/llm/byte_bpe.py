@@ -2,12 +2,14 @@
 
 1. Documents are split by the vocabulary's pattern.  Each chunk of
    ``CHUNK_CHARS`` of text is coded by its own word list: a row per document
-   with word numbers, and the list itself, written once, bucketed by chunk.
+   with word numbers, and the list itself in packs by the words' checksums,
+   written once, bucketed by chunk.
 2. Each distinct word of the corpus is encoded once, by Spark's higher-order
    functions: an ``aggregate`` holds the word's pieces (bytes in hexadecimal)
    and the ranks of neighbouring pairs; each step merges the leftmost pair of
    the lowest rank.  The ranks are one literal in the plan: small maps, found
-   by the checksum of a piece.  (word, ids) is a table of its own.
+   by the checksum of a piece.  The packs are shuffled whole, and the first row
+   of each word's run computes the ids for all of them.
 3. The ids go back to their chunks and are joined to the documents by word
    number and position; the coded rows do not move.
 4. Decoding concatenates the bytes of the pieces of a document's ids.
@@ -24,22 +26,28 @@ coded row by row; other columns are ignored.
 from __future__ import annotations
 
 import base64
+import hashlib
 import json
+import re
 import zlib
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lifeline.llm.bpe_words import pack, unpack
-from lifeline.llm.tables import save, save_bucketed, sha256_hex
+from lifeline.llm.pretokens import _L as LETTERS
+from lifeline.llm.pretokens import _N as NUMBERS
+from lifeline.llm.pretokens import _OTHER as UNCOMMON
+from lifeline.llm.pretokens import _SPACE as SPACES
+from lifeline.llm.tables import save_bucketed
 
 #: Characters of text that share a word list; bounds what a task holds.
-CHUNK_CHARS = 16 << 20
-#: Words of a list that go into one row.
-LIST_ROWS = 20_000
+CHUNK_CHARS = 32 << 20
+#: Packs of a chunk's words for each task that encodes, and that one batch holds.
+PACKS_PER_TASK, PACKS_AT_ONCE = 16, 64
 #: Documents that are coded, or whose ids are joined, at a time.
 SLICE_DOCS = 256
 #: Bytes of the longest word that is folded.
@@ -56,10 +64,31 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, file)}
 
 
+def _narrow(pattern: str) -> str:
+    r"""``pattern`` for the standard library, with \p{L}, \p{N} and \s spelled out
+    for the characters of ``pretokens``' common texts."""
+    inside = {r"\p{L}": LETTERS, r"\p{N}": NUMBERS, r"\s": SPACES}
+    out, in_class, at = "", False, 0
+    for found in re.finditer(r"\\p\{[LN]\}|\\s|\\S|\\.|[\[\]]", pattern):
+        token = found.group()
+        out += pattern[at : found.start()]
+        at = found.end()
+        if token in "[]":
+            in_class = token == "["
+        if token == r"\S":
+            out += f"[^{SPACES}]"
+        elif token in inside:
+            out += inside[token] if in_class else f"[{inside[token]}]"
+        else:
+            out += token
+    return out + pattern[at:]
+
+
 class Splitter:
     """Matches of ``pattern`` in a text, as the tiktoken library finds them.
 
-    Its regular expressions know an older Unicode than the ``regex`` module:
+    Common texts are split by the standard library.  For others, the regular
+    expressions of tiktoken know an older Unicode than the ``regex`` module:
     characters beyond the common Latin ones are looked up in both once, and
     those that are letters or numbers for ``regex`` alone are split as symbols.
     """
@@ -68,6 +97,7 @@ class Splitter:
         import regex
         import tiktoken
 
+        self.common = re.compile(_narrow(pattern)).findall
         self.find, self.spans = regex.compile(pattern).findall, regex.compile(pattern).finditer
         one_byte = {bytes([b]): b for b in range(256)}
         self.classes = [
@@ -79,6 +109,8 @@ class Splitter:
     def __call__(self, text: str | None) -> list[str]:
         if not text:
             return []
+        if text.isascii() or not UNCOMMON.search(text):
+            return self.common(text)
         for c in set(text) - self.agreed:
             if c in self.symbols:
                 continue
@@ -97,14 +129,14 @@ class _Numbers(dict):
         return n
 
 
-def _code(pattern: str, chunk_chars: int):
-    """Rows of documents (doc_id, codes) and of their chunk's word list (first, words)."""
-    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.list_(pa.string())]
+def _code(pattern: str, chunk_chars: int, n_packs: int):
+    """Rows of documents (doc_id, codes) and of packs of their chunk's words (pack, numbers, words)."""
+    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.string())]
 
     def rows(*columns):
         return pa.RecordBatch.from_arrays(
             [c if isinstance(c, pa.Array) else pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-            names=["chunk", "doc_id", "codes", "first", "words"],
+            names=["chunk", "doc_id", "codes", "pack", "numbers", "words"],
         )
 
     def run(batches):
@@ -114,11 +146,16 @@ def _code(pattern: str, chunk_chars: int):
         def chunk(n):
             return [part << 32 | seq] * n
 
-        def lists():
+        def packs():
             words = list(numbers)
-            firsts = range(0, len(words), LIST_ROWS)
-            n = len(firsts)
-            return rows(chunk(n), [None] * n, [None] * n, firsts, [words[k : k + LIST_ROWS] for k in firsts])
+            pack_of = np.fromiter((zlib.crc32(w.encode()) % n_packs for w in words), dtype=np.int32, count=len(words))
+            order = np.argsort(pack_of, kind="stable")
+            ends = np.flatnonzero(np.diff(pack_of[order], append=-1)) + 1
+            runs = [order[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+            for at in range(0, len(runs), PACKS_AT_ONCE):
+                some = runs[at : at + PACKS_AT_ONCE]
+                n = len(some)
+                yield rows(chunk(n), [None] * n, [None] * n, [pack_of[r[0]] for r in some], some, [[words[k] for k in r] for r in some])
 
         for b in batches:
             for at in range(0, b.num_rows, SLICE_DOCS):
@@ -129,22 +166,23 @@ def _code(pattern: str, chunk_chars: int):
                     size += len(text or "")
                     codes.append(pack(np.fromiter(map(numbers.__getitem__, words), dtype=np.uint32, count=len(words))))
                 n = len(codes)
-                yield rows(chunk(n), part_of.column("doc_id"), codes, [None] * n, [None] * n)
+                yield rows(chunk(n), part_of.column("doc_id"), codes, [None] * n, [None] * n, [None] * n)
                 if size >= chunk_chars:
-                    yield lists()
+                    yield from packs()
                     seq, size, numbers = seq + 1, 0, _Numbers()
         if numbers:
-            yield lists()
+            yield from packs()
 
     return run
 
 
 def coded_documents(docs: DataFrame, pattern: str, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
-    """(chunk, doc_id, codes) rows of documents and (chunk, first, words) rows
-    of word lists, written once, bucketed by chunk."""
+    """(chunk, doc_id, codes) rows of documents and (chunk, pack, numbers, words)
+    rows of word lists, written once, bucketed by chunk."""
+    n_packs = PACKS_PER_TASK * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    coded = docs.mapInArrow(_code(pattern, chunk_chars), "chunk bigint, doc_id bigint, codes binary, first int, words array<string>")
-    return save_bucketed(coded, "byte-bpe-coded", "chunk")
+    fields = "chunk bigint, doc_id bigint, codes binary, pack int, numbers array<int>, words array<string>"
+    return save_bucketed(docs.mapInArrow(_code(pattern, chunk_chars, n_packs), fields), "byte-bpe-coded", "chunk")
 
 
 def _let(value: Column, body) -> Column:
@@ -172,6 +210,11 @@ def _lowest(ranks: Column) -> Column:
     return F.array_min(F.transform(ranks, lambda rank, place: F.shiftleft(rank, _PLACE_BITS).bitwiseOR(place.cast("long"))))
 
 
+def _joined(*arrays: Column) -> Column:
+    """Their elements in one array; less costly than ``concat`` inside a lambda."""
+    return F.flatten(F.array(*arrays))
+
+
 def _state(pieces: Column, ranks: Column) -> Column:
     return F.struct(pieces.alias("pieces"), ranks.alias("ranks"), _lowest(ranks).alias("low"))
 
@@ -186,8 +229,8 @@ def _merge(maps: Column, state: Column) -> Column:
         return _let(
             merged,
             lambda new: _state(
-                F.concat(F.slice(pieces, F.lit(1), at - 1), F.array(new), F.slice(pieces, at + 2, F.size(pieces))),
-                F.concat(
+                _joined(F.slice(pieces, F.lit(1), at - 1), F.array(new), F.slice(pieces, at + 2, F.size(pieces))),
+                _joined(
                     F.slice(ranks, F.lit(1), at - 1),
                     F.array(_rank(maps, F.concat(F.get(pieces, at - 2), new)), _rank(maps, F.concat(new, F.get(pieces, at + 1)))),
                     F.slice(ranks, at + 3, F.size(ranks)),
@@ -215,52 +258,74 @@ def fold_merges(maps: Column, word: Column) -> Column:
     )
 
 
-def encode_words(words: DataFrame, path: str, pattern: str) -> DataFrame:
-    """(word, ids) of each distinct ``word``, written once."""
-    words = words.select("word").distinct()
-    short, long = words.where(F.octet_length("word") <= LONG_WORD), words.where(F.octet_length("word") > LONG_WORD)
+def id_width(ranks: dict[bytes, int]) -> int:
+    """Bytes of an id in the packed ids of a word."""
+    return 2 if max(ranks.values(), default=0) < 1 << 16 else 4
+
+
+def encode_listed(packs: DataFrame, path: str, pattern: str) -> DataFrame:
+    """(of_chunk, number, ids) of the words of all packs (chunk, pack, numbers,
+    words); ids are big-endian, of ``id_width`` bytes.  Rows of a word meet in one
+    sorted run, whose first row encodes it for all."""
+    ranks = read_ranks(path)
+    width, kind = id_width(ranks), f">u{id_width(ranks)}"
+    n = int(packs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    listed = packs.repartition(n, "pack").select(F.col("chunk").alias("of_chunk"), "pack", F.inline(F.arrays_zip("numbers", "words")).alias("number", "word"))
+    run = Window.partitionBy("pack", "word").orderBy("of_chunk", "number")
+    folded = _let(rank_literal(ranks), lambda maps: fold_merges(maps, F.col("word")))
+    packed = F.unhex(F.array_join(F.transform(folded, lambda i: F.lpad(F.hex(i), 2 * width, "0")), ""))
+    rows = listed.where(F.octet_length("word") <= LONG_WORD).withColumn("nth", F.row_number().over(run))
+    rows = rows.withColumn("own", F.when(F.col("nth") == 1, packed))
+    so_far = run.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    short = rows.select("of_chunk", "number", F.first("own", ignorenulls=True).over(so_far).alias("ids"))
 
     def by_library(batches):
         import tiktoken
 
         encode = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=read_ranks(path), special_tokens={}).encode_ordinary
         for b in batches:
-            ids = [encode(w) for w in b.column("word").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("word"), pa.array(ids, pa.list_(pa.int32()))], names=["word", "ids"])
-
-    folded = short.select("word", _let(rank_literal(read_ranks(path)), lambda maps: fold_merges(maps, F.col("word"))).alias("ids"))
-    return save(folded.unionByName(long.mapInArrow(by_library, "word string, ids array<int>")), "byte-bpe-words")
-
-
-def _join_ids(coded: pa.Table, words: pa.Table) -> pa.Table:
-    """Ids of a chunk's documents, by word number and position."""
-    order = pa.array(np.argsort(words.column("number").to_numpy()))
-    lists = words.column("ids").combine_chunks().take(order)
-    flat, offsets = lists.flatten().to_numpy(), lists.offsets.to_numpy()
-    start, length = offsets[:-1] - offsets[0], np.diff(offsets)
-    out = []
-    for at in range(0, coded.num_rows, SLICE_DOCS):
-        part = coded.slice(at, SLICE_DOCS)
-        counts, values = [], []
-        for packed in part.column("codes").to_pylist():
-            codes = unpack(packed)
-            n = length[codes]
-            values.append(flat[np.repeat(start[codes] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))])
-            counts.append(len(values[-1]))
-        ends = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
-        ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(values).astype(np.int32)))
-        out.append(pa.Table.from_arrays([part.column("doc_id").combine_chunks(), ids], names=["doc_id", "ids"]))
-    return pa.concat_tables(out) if out else pa.table({"doc_id": pa.array([], pa.int64()), "ids": pa.array([], pa.list_(pa.int32()))})
-
-
-def encode(docs: DataFrame, path: str, pattern: str, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
-    """(doc_id, ids array<int>) of every row of ``docs`` (doc_id, text)."""
+            ids = [np.array(encode(w), dtype=kind).tobytes() for w in b.column("word").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("of_chunk"), b.column("number"), pa.array(ids, pa.binary())], names=["of_chunk", "number", "ids"])
+
+    unpacked = packs.select(F.col("chunk").alias("of_chunk"), F.inline(F.arrays_zip("numbers", "words")).alias("number", "word"))
+    long = unpacked.where(F.octet_length("word") > LONG_WORD).mapInArrow(by_library, "of_chunk bigint, number int, ids binary")
+    return short.unionByName(long)
+
+
+def _assemble(docs: DataFrame, path: str, pattern: str, chunk_chars: int, fields: str, emit) -> DataFrame:
+    """Join the words' ids to documents by position.  ``emit(each)`` is called with
+    the id arrays of a chunk's words and gives a function from the word numbers of
+    a document to its values of ``fields``."""
     coded = coded_documents(docs, pattern, chunk_chars)
-    listed = coded.where("words is not null").select("chunk", "first", F.posexplode("words").alias("pos", "word"))
-    listed = listed.select(F.col("chunk").alias("of_chunk"), (F.col("first") + F.col("pos")).alias("number"), "word")
-    ids = listed.join(encode_words(listed, path, pattern), "word").select("of_chunk", "number", "ids")
+    ids = encode_listed(coded.where("words is not null").select("chunk", "pack", "numbers", "words"), path, pattern)
     rows = coded.where("codes is not null").select("chunk", "doc_id", "codes")
-    return rows.groupBy("chunk").cogroup(ids.groupBy("of_chunk")).applyInArrow(_join_ids, "doc_id bigint, ids array<int>")
+    kind, names = f">u{id_width(read_ranks(path))}", [f.split()[0] for f in fields.split(", ")]
+    kinds = {"bigint": pa.int64(), "string": pa.string(), "array<int>": pa.list_(pa.int32())}
+    schema = pa.schema([("doc_id", pa.int64()), *((f.split()[0], kinds[f.split()[1]]) for f in fields.split(", "))])
+
+    def join(left: pa.Table, right: pa.Table) -> pa.Table:
+        order = np.argsort(right.column("number").to_numpy())
+        packed = right.column("ids").to_pylist()
+        values = emit([np.frombuffer(packed[k], dtype=kind).astype(np.int32) for k in order])
+        out = []
+        for at in range(0, left.num_rows, SLICE_DOCS):
+            part = left.slice(at, SLICE_DOCS)
+            columns = zip(*(values(unpack(codes)) for codes in part.column("codes").to_pylist()), strict=True)
+            arrays = [pa.array(c, schema.field(n).type) for n, c in zip(names, columns, strict=True)]
+            out.append(pa.Table.from_arrays([part.column("doc_id").combine_chunks(), *arrays], schema=schema))
+        return pa.concat_tables(out) if out else schema.empty_table()
+
+    return rows.groupBy("chunk").cogroup(ids.groupBy("of_chunk")).applyInArrow(join, f"doc_id bigint, {fields}")
+
+
+def encode(docs: DataFrame, path: str, pattern: str, chunk_chars: int = CHUNK_CHARS // 4) -> DataFrame:
+    """(doc_id, ids array<int>) of every row of ``docs`` (doc_id, text)."""
+
+    def emit(each):
+        none = np.empty(0, dtype=np.int32)
+        return lambda codes: (np.concatenate([none, *(each[c] for c in codes.tolist())]),)
+
+    return _assemble(docs, path, pattern, chunk_chars, "ids array<int>", emit)
 
 
 def piece_literal(path: str) -> Column:
@@ -278,12 +343,21 @@ def decode(ids: Column, pieces: Column) -> Column:
 
 
 def digests(docs: DataFrame, path: str, pattern: str, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256 of the decimal ids, decoded_sha256 of the decoded bytes)."""
-    out = encode(docs, path, pattern, chunk_chars)
-    pieces = piece_literal(path)
-    return out.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        sha256_hex(F.array_join(F.col("ids").cast("array<string>"), ",")).alias("ids_sha256"),
-        sha256_hex(decode(F.col("ids"), pieces)).alias("decoded_sha256"),
-    )
+    """(doc_id, n_tokens, ids_sha256 of the decimal ids, decoded_sha256 of the
+    decoded bytes).  Ids are written out, and decoded, once for each word of a
+    chunk; a document's are those of its words in a row."""
+
+    def emit(each):
+        piece = {rank: name for name, rank in read_ranks(path).items()}
+        length = np.array([len(x) for x in each], dtype=np.int64)
+        text = [",".join(map(str, x.tolist())).encode() for x in each]
+        data = [b"".join([piece[i] for i in x.tolist()]) for x in each]
+
+        def values(codes):
+            at = codes.tolist()
+            said, decoded = b",".join([text[c] for c in at]), b"".join([data[c] for c in at])
+            return int(length[codes].sum()), hashlib.sha256(said).hexdigest(), hashlib.sha256(decoded).hexdigest()
+
+        return values
+
+    return _assemble(docs, path, pattern, chunk_chars, "n_tokens bigint, ids_sha256 string, decoded_sha256 string", emit)

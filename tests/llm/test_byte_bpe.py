@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import nasty
+import numpy as np
 import public_tokenizers
 import pyarrow.parquet as pq
 import pytest
@@ -67,9 +68,11 @@ def test_folds_of_random_bytes(spark, library):
     rng = random.Random(3)
     words = {"".join(rng.choice(kind) for _ in range(rng.randint(1, 60))) for kind in ("ab", "the", "aeiou", "xyzéß漢", "=-") for _ in range(80)}
     words = {w for w in words if len(byte_bpe.Splitter(PATTERN)(w)) == 1}
-    table = spark.createDataFrame([(w,) for w in words], "word string")
-    got = {r["word"]: r["ids"] for r in byte_bpe.encode_words(table, PATH, PATTERN).collect()}
-    assert got == {w: library.encode_ordinary(w) for w in words}
+    rows = [(chunk, k, w) for k, w in enumerate(sorted(words)) for chunk in range(2)]
+    packs = [(chunk, k % 7, [k], [w]) for chunk, k, w in rows]
+    got = byte_bpe.encode_listed(spark.createDataFrame(packs, "chunk bigint, pack int, numbers array<int>, words array<string>"), PATH, PATTERN)
+    ids = sorted((r["of_chunk"], r["number"], np.frombuffer(r["ids"], ">u2").tolist()) for r in got.collect())
+    assert ids == [(chunk, k, library.encode_ordinary(w)) for chunk, k, w in sorted(rows)]
 
 
 def test_fold_does_not_depend_on_vocabulary_order(spark):
@@ -82,6 +85,20 @@ def test_fold_does_not_depend_on_vocabulary_order(spark):
     assert {r["word"]: r["ids"] for r in got.collect()} == {w: own.encode_ordinary(w) for w in words}
 
 
+def test_the_pattern_spelled_out():
+    """The standard library and the full splitter agree on common texts."""
+    import re
+
+    import regex
+
+    common, full = re.compile(byte_bpe._narrow(PATTERN)), regex.compile(PATTERN)
+    rng = random.Random(8)
+    letters = "ab Z'stredmvl019²½ \n\t\x1c\x85\xa0é×Łſ—’€.,-$"
+    for _ in range(3_000):
+        text = "".join(rng.choice(letters) for _ in range(rng.randint(0, 30)))
+        assert common.findall(text) == full.findall(text)
+
+
 def test_words_are_folded_in_spark(spark):
     """The fold is a column expression: no Python beside the words over the bound."""
     plan = spark.createDataFrame([("a",)], "word string").select(byte_bpe.fold_merges(byte_bpe.rank_literal({b"a": 1}), F.col("word")))
