@@ -42,21 +42,41 @@ def lookback_start(cfg: SyncConfig) -> dt.date:
     return cfg.today_local - dt.timedelta(days=cfg.snapshot_lookback_days)
 
 
-def latest_entry(snapshot: DataFrame, cfg: SyncConfig) -> DataFrame:
-    """Non-churn snapshot rows on each user's latest non-churn day within the
-    lookback; every row of that day is kept (ties kept).
+def _latest_between(snapshot: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
+    """Non-churn rows on each user's latest non-churn day from ``first`` through ``last``.
 
     Group max, then an equi-join back on (user, day).  The max is computed
     with partial aggregation, so a user holding a large share of the rows is
-    folded map-side; the day bounds (lookback, and today) are stated on both sides (implied by
-    the equality) so both scans are filtered.
+    folded map-side; the day bounds are stated on both sides (implied by
+    the equality) so both scans are filtered.  A single day needs neither.
     """
-    paying = snapshot.where(
-        (F.col("base_group") != "churn")
-        & F.col("calendar_date").between(F.lit(lookback_start(cfg)), F.lit(cfg.today_local))
-    )
+    paying = snapshot.where((F.col("base_group") != "churn") & F.col("calendar_date").between(F.lit(first), F.lit(last)))
+    if first >= last:
+        return paying.where(F.col("user_id").isNotNull())
     latest = paying.groupBy("user_id").agg(F.max("calendar_date").alias("calendar_date"))
-    return paying.join(latest, ["user_id", "calendar_date"], "inner")
+    return paying.join(latest, ["user_id", "calendar_date"], "inner").select(snapshot.columns)
+
+
+def latest_entry(
+    snapshot: DataFrame, cfg: SyncConfig, stored: DataFrame | None = None, stored_through: dt.date | None = None, through: dt.date | None = None
+) -> DataFrame:
+    """Non-churn snapshot rows on each user's latest non-churn day within the
+    lookback before ``through`` (today by default); every row of that day is
+    kept (ties kept).
+
+    With ``stored``, this result as of an earlier day ``stored_through``, only
+    the days after it are read: users who have rows there replace theirs
+    (an anti-join), the others keep them while they are within the lookback.
+    """
+    through = through or cfg.today_local
+    first = through - dt.timedelta(days=cfg.snapshot_lookback_days)
+    if stored is None:
+        return _latest_between(snapshot, first, through)
+    if stored_through is None or stored_through > through:
+        raise ValueError(f"a stored latest entry must end by {through}")
+    fresh = _latest_between(snapshot, max(first, stored_through + dt.timedelta(days=1)), through)
+    older = stored.select(snapshot.columns).where(F.col("calendar_date") >= F.lit(first))
+    return older.join(fresh.select("user_id").distinct(), "user_id", "left_anti").select(snapshot.columns).unionByName(fresh)
 
 
 def churn_state(snapshot: DataFrame, cfg: SyncConfig, after: dt.date | None = None, through: dt.date | None = None) -> DataFrame:
@@ -146,18 +166,23 @@ def subscription_state(
     with_attributes: bool = False,
     stored_churn: DataFrame | None = None,
     churn_through: dt.date | None = None,
+    stored_latest: DataFrame | None = None,
+    latest_through: dt.date | None = None,
 ) -> DataFrame:
     """One row per distinct subscription state of each non-test user.
 
-    ``stored_churn`` (a churn state through day ``churn_through``) saves
-    reading the churn rows of those days.
+    ``stored_churn`` (a churn state through day ``churn_through``) and
+    ``stored_latest`` (the latest entries as of day ``latest_through``) save
+    reading the snapshot of those days.
 
     ``with_attributes`` also carries month, gift card and vendor (computed
     by the original query, then dropped before the payload stage).
     """
     wanted = SB_COLUMNS + (ATTRIBUTE_COLUMNS if with_attributes else ())
     snap = exclude_test_users(snapshot.select(*wanted, "churn_type"), cfg)
-    latest = latest_entry(snap.drop("churn_type"), cfg)
+    if stored_latest is not None:
+        stored_latest = exclude_test_users(stored_latest, cfg)
+    latest = latest_entry(snap.drop("churn_type"), cfg, stored_latest, latest_through)
     churn = churn_rollup(snap.select(
         "user_id", "calendar_date", "base_group", "subscription_start_date",
         "billing_cycle_end_date", "churn_type",

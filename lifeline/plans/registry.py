@@ -91,6 +91,41 @@ def q_subscription_state_incremental(spark, sf_dir):
     return state.subscription_state(snapshot, CFG, stored_churn=older, churn_through=CHURN_THROUGH)
 
 
+def q_latest_entry_incremental(spark, sf_dir):
+    """The latest entries as of three days ago, carried on by the days after."""
+    snapshot = _inputs(spark, sf_dir).snapshot
+    older = state.latest_entry(snapshot, CFG, through=CHURN_THROUGH)
+    return state.latest_entry(snapshot, CFG, older, CHURN_THROUGH)
+
+
+def q_subscription_state_kept(spark, sf_dir):
+    """The state from what a run of three days ago keeps, carried on to
+    yesterday, and today's snapshot."""
+    inputs = _inputs(spark, sf_dir)
+    kept = state_job.SnapshotStates.fold(inputs.snapshot, CFG, CHURN_THROUGH)
+    kept = state_job.SnapshotStates.fold(inputs.snapshot, CFG, CFG.yesterday_local, kept)
+    return state_job.state_rows(inputs, CFG, kept=kept)
+
+
+def q_shard_fingerprints(spark, sf_dir):
+    shards = _inputs(spark, sf_dir).analytics.fingerprints(CFG.shard(CFG.today_local))
+    return shards.select("suffix", "n_rows", "last_event_id")
+
+
+def q_identity_late_events(spark, sf_dir):
+    """Identity folded without a tenth of the events, then from the shards whose
+    fingerprints changed when these came: must equal the whole-history identity."""
+    from lifeline.operators.identity import finalize_first_touch, first_touch_state, merge_first_touch
+    from lifeline.sources.shards import ShardedEvents, changed_shards
+
+    analytics, through = _inputs(spark, sf_dir).analytics, CFG.shard(CFG.today_local)
+    late = (F.col("event_id") % 10 == 3) & (F.col("suffix") < STATE_THROUGH)
+    early = ShardedEvents(analytics.df.where(~late), derived_from=analytics.derived_from)
+    changed = changed_shards(early.fingerprints(through), analytics.fingerprints(through))
+    older = first_touch_state(early.between(None, through))
+    return finalize_first_touch(merge_first_touch(older, first_touch_state(analytics.only(changed))), CFG)
+
+
 def _swc(spark, sf_dir, simplified):
     snap = state.exclude_test_users(_inputs(spark, sf_dir).snapshot, CFG)
     latest = state.latest_entry(snap.select(*state.SB_COLUMNS), CFG)
@@ -310,6 +345,10 @@ QUERIES: dict[str, Query] = {
     "churn_rollup": q_churn_rollup,
     "churn_rollup_incremental": q_churn_rollup_incremental,
     "subscription_state_incremental": q_subscription_state_incremental,
+    "latest_entry_incremental": q_latest_entry_incremental,
+    "subscription_state_kept": q_subscription_state_kept,
+    "shard_fingerprints": q_shard_fingerprints,
+    "identity_late_events": q_identity_late_events,
     "payload_events_chunked": q_payload_events_chunked,
     "subscription_state_past_day": q_subscription_state_past_day,
     "events_identity_past_day": q_events_identity_past_day,
@@ -370,6 +409,11 @@ FROM wire_state"""
         "exclude_test_users": f"{W} SELECT * FROM snapshot WHERE NOT (user_id LIKE '{cfg.test_user_prefix}%')",
         "latest_entry": f"{W} SELECT * FROM latest_all",
         "churn_rollup": f"{W} SELECT * FROM churn_all",
+        "latest_entry_incremental": f"{W} SELECT * FROM latest_all",
+        "subscription_state_kept": f"{W} SELECT * FROM state",
+        "shard_fingerprints": f"{W} SELECT suffix, count(*) AS n_rows, max(event_id) AS last_event_id FROM analytics "
+        f"WHERE suffix <= '{cfg.events_shard_range[1]}' GROUP BY suffix",
+        "identity_late_events": f"{W} SELECT * FROM ident_all",
         "churn_rollup_incremental": f"{W} SELECT * FROM churn_all",
         "subscription_state_incremental": f"{W} SELECT * FROM state",
         "snapshot_with_churn": f"{W} SELECT {sb}, churn_type, churn_end_date FROM swc",

@@ -6,7 +6,10 @@ text projection + route -> one payload per state row -> batches.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import datetime as dt
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lifeline.config import SyncConfig
@@ -30,8 +33,37 @@ STATE_ROW_COLUMNS = (
 )
 
 
-def state_rows(inputs: Inputs, cfg: SyncConfig, simplified: bool = True) -> DataFrame:
-    return state.subscription_state(inputs.snapshot, cfg, simplified=simplified)
+@dataclass(frozen=True)
+class SnapshotStates:
+    """What a run keeps of the snapshot through a day: the latest entries (with
+    test users) and the churn state."""
+
+    latest: DataFrame
+    churn: DataFrame
+    through: dt.date
+
+    @classmethod
+    def fold(cls, snapshot: DataFrame, cfg: SyncConfig, through: dt.date, before: "SnapshotStates | None" = None) -> "SnapshotStates":
+        """The states through ``through``, of all days or of those after ``before``."""
+        rows = snapshot.select(*state.SB_COLUMNS)
+        if before is None:
+            return cls(state.latest_entry(rows, cfg, through=through), state.churn_state(snapshot, cfg, through=through), through)
+        latest = state.latest_entry(rows, cfg, before.latest, before.through, through)
+        fresh = state.churn_state(snapshot, cfg, after=before.through, through=through)
+        return cls(latest, state.merge_churn(before.churn, fresh), through)
+
+    @classmethod
+    def read(cls, spark: SparkSession, path: str, through: dt.date) -> "SnapshotStates":
+        return cls(spark.read.parquet(f"{path}/latest"), spark.read.parquet(f"{path}/churn"), through)
+
+    def write(self, path: str) -> None:
+        self.latest.write.mode("errorifexists").parquet(f"{path}/latest")
+        self.churn.write.mode("errorifexists").parquet(f"{path}/churn")
+
+
+def state_rows(inputs: Inputs, cfg: SyncConfig, simplified: bool = True, kept: SnapshotStates | None = None) -> DataFrame:
+    stored = (kept.churn, kept.through, kept.latest, kept.through) if kept else ()
+    return state.subscription_state(inputs.snapshot, cfg, simplified, False, *stored)
 
 
 def state_scope_identity(
@@ -53,6 +85,7 @@ def state_with_identity(
     cfg: SyncConfig,
     day_states: DataFrame | None = None,
     states_through: str | None = None,
+    kept: SnapshotStates | None = None,
 ) -> DataFrame:
     """State rows of users seen in the state shard range, with their
     first-touch client and app id.
@@ -60,7 +93,7 @@ def state_with_identity(
     Identity is one row per user, so every state row matches at most once
     and the distinct state rows stay distinct: no DISTINCT needed after.
     """
-    keyed = state_rows(inputs, cfg).withColumn(
+    keyed = state_rows(inputs, cfg, kept=kept).withColumn(
         "hashed_user_id", hashed_user_key(F.col("user_id"), cfg.user_key_prefix)
     )
     ident = state_scope_identity(inputs, cfg, day_states, states_through).withColumnRenamed(
@@ -84,10 +117,11 @@ def state_projection(
     cfg: SyncConfig,
     day_states: DataFrame | None = None,
     states_through: str | None = None,
+    kept: SnapshotStates | None = None,
 ) -> DataFrame:
     """Dates as ``yyyy-MM-dd`` text, a missing cancel date or client id as
     the empty string, plus the route of the app id."""
-    rows = state_with_identity(inputs, cfg, day_states, states_through)
+    rows = state_with_identity(inputs, cfg, day_states, states_through, kept)
     r = route_columns(F.col("app_id"), cfg)
     return rows.select(
         F.coalesce(date_text(F.col("subscription_cancel_date")), F.lit("")).alias(
@@ -111,9 +145,10 @@ def state_payloads(
     cfg: SyncConfig,
     day_states: DataFrame | None = None,
     states_through: str | None = None,
+    kept: SnapshotStates | None = None,
 ) -> DataFrame:
     return payload.state_payloads(
-        state_projection(inputs, cfg, day_states, states_through), cfg
+        state_projection(inputs, cfg, day_states, states_through, kept), cfg
     )
 
 
@@ -122,8 +157,9 @@ def state_bucketed(
     cfg: SyncConfig,
     day_states: DataFrame | None = None,
     states_through: str | None = None,
+    kept: SnapshotStates | None = None,
 ) -> DataFrame:
-    return batching.assign_buckets(state_payloads(inputs, cfg, day_states, states_through), cfg)
+    return batching.assign_buckets(state_payloads(inputs, cfg, day_states, states_through, kept), cfg)
 
 
 def state_batches(
@@ -131,5 +167,6 @@ def state_batches(
     cfg: SyncConfig,
     day_states: DataFrame | None = None,
     states_through: str | None = None,
+    kept: SnapshotStates | None = None,
 ) -> DataFrame:
-    return batching.batches(state_bucketed(inputs, cfg, day_states, states_through))
+    return batching.batches(state_bucketed(inputs, cfg, day_states, states_through, kept))

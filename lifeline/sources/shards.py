@@ -22,9 +22,19 @@ def _day(suffix: str) -> dt.date:
     return dt.datetime.strptime(suffix, "%Y%m%d").date()
 
 
+def changed_shards(stored: DataFrame | None, now: DataFrame) -> list[str]:
+    """Shards that are new, or hold something else, since the fingerprints
+    ``stored`` were taken; one name a day at most."""
+    if stored is not None:
+        now = now.exceptAll(stored.select(now.columns))
+    return sorted(r["suffix"] for r in now.select("suffix").distinct().collect())
+
+
 @dataclass(frozen=True)
 class ShardedEvents:
     df: DataFrame
+    # the dataset's folder, if it was read from one
+    path: str | None = None
     # set when ``suffix`` = yyyyMMdd of this UTC wall-clock column
     derived_from: str | None = None
 
@@ -34,7 +44,7 @@ class ShardedEvents:
         declared, so the suffix stays a string (inference would make it an
         integer and the range compare numeric)."""
         df = spark.read.schema(ANALYTICS_EVENT_SCHEMA).parquet(path)
-        return cls(conform(df, ANALYTICS_EVENT_SCHEMA))
+        return cls(conform(df, ANALYTICS_EVENT_SCHEMA), path)
 
     def all(self) -> DataFrame:
         return self.df
@@ -61,6 +71,38 @@ class ShardedEvents:
                 cond = (ts < F.lit(end.isoformat(" ")).cast("timestamp_ntz")) & cond
         return self.df.where(cond)
 
+    def only(self, suffixes: list[str]) -> DataFrame:
+        """The named shards; others are not read."""
+        if not suffixes:
+            return self.df.where(F.lit(False))
+        return self.between(min(suffixes), max(suffixes)).where(F.col("suffix").isin(suffixes))
+
+    def fingerprints(self, through: str) -> DataFrame:
+        """What each shard through ``through`` holds: (suffix, n_files, n_bytes,
+        n_rows, last_event_id, digest).  A stored dataset is described by its files'
+        names, sizes, times and footers, without reading a column; other frames by
+        their rows."""
+        if self.path is None:
+            return self.between(None, through).groupBy("suffix").agg(
+                F.lit(0).cast("long").alias("n_files"),
+                F.lit(0).cast("long").alias("n_bytes"),
+                F.count(F.lit(1)).alias("n_rows"),
+                F.max("event_id").alias("last_event_id"),
+                F.bit_xor(F.xxhash64("event_id", "user_id", "user_pseudo_id", "event_timestamp")).alias("digest"),
+            )
+        rows = self.df.sparkSession.read.schema(ANALYTICS_EVENT_SCHEMA).parquet(self.path).where(F.col("suffix") <= F.lit(through))
+        meta = F.col("_metadata")
+        files = rows.groupBy(
+            "suffix", meta["file_path"].alias("file"), meta["file_size"].alias("bytes"), meta["file_modification_time"].alias("time")
+        ).agg(F.count(F.lit(1)).alias("rows"))
+        return files.groupBy("suffix").agg(
+            F.count(F.lit(1)).alias("n_files"),
+            F.sum("bytes").alias("n_bytes"),
+            F.sum("rows").alias("n_rows"),
+            F.lit(None).cast("long").alias("last_event_id"),
+            F.bit_xor(F.xxhash64("file", "bytes", "time")).alias("digest"),
+        )
+
     def write(self, path: str, mode: str = "errorifexists") -> None:
         """Materialise as a suffix-partitioned dataset (one folder per day)."""
         self.df.write.mode(mode).partitionBy("suffix").parquet(path)
