@@ -10,6 +10,22 @@ from lifeline.session import reliable_checkpoint
 _PART, _LOCAL = "_part", "_local"
 
 
+def number_rows(df: DataFrame, order: list, name: str) -> DataFrame:
+    """``df`` with ``name``: 1, 2, ... over all rows in the order of the columns
+    or sort expressions ``order``, as a ``row_number()`` over one partition would
+    give, but range-partitioned: rows are numbered where they are sorted, and one
+    row a partition tells the others how many come before.  The sorted rows are
+    checkpointed, so the numbers can't change when a task runs again."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    local = reliable_checkpoint(ranged.withColumn(_PART, F.spark_partition_id()).withColumn(_LOCAL, F.monotonically_increasing_id()))
+    counts = local.groupBy(_PART).agg(F.count(F.lit(1)).alias("_n"), F.min(_LOCAL).alias("_first"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    # at most one row a partition: a bounded table in one task, and in the broadcast
+    offsets = counts.select(F.col(_PART).alias("_in"), (before - F.col("_first") + 1).alias("_offset"))
+    return local.join(F.broadcast(offsets), local[_PART] == F.col("_in")).select(*df.columns, (F.col(_LOCAL) + F.col("_offset")).alias(name))
+
+
 def number_in_groups(df: DataFrame, group: str, order: list[str], name: str) -> DataFrame:
     """``df`` with ``name``: 1, 2, ... per ``group`` in the order of the
     columns ``order`` (nulls first), as ``row_number()`` would give.

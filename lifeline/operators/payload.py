@@ -97,15 +97,18 @@ def state_payloads(projected: DataFrame, cfg: SyncConfig) -> DataFrame:
     )
 
 
+def number_user_events(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``_rn``, the place of each event among its user's; a user of
+    any size is numbered over many tasks, and the result is checkpointed."""
+    return number_in_groups(rows, "user_id", ["event_custom_type", "subscription_id", "offer_type", "event_type"], "_rn")
+
+
 def chunk_user_events(rows: DataFrame, cfg: SyncConfig) -> DataFrame:
-    """Number each user's events (``_rn``) and cut them into chunks of at
-    most ``cfg.max_events_per_payload`` (``_chunk``).  Chunks depend on the
-    events and that size only; a user of any size is numbered over many
-    tasks."""
-    order = ["event_custom_type", "subscription_id", "offer_type", "event_type"]
-    return number_in_groups(rows, "user_id", order, "_rn").withColumn(
-        "_chunk", F.floor((F.col("_rn") - 1) / cfg.max_events_per_payload)
-    )
+    """Cut each user's numbered events (numbered here if they are not) into chunks
+    of at most ``cfg.max_events_per_payload`` (``_chunk``).  Chunks depend on the
+    events and that size only."""
+    numbered = rows if "_rn" in rows.columns else number_user_events(rows)
+    return numbered.withColumn("_chunk", F.floor((F.col("_rn") - 1) / cfg.max_events_per_payload))
 
 
 def user_event_lists(rows: DataFrame, cfg: SyncConfig) -> DataFrame:

@@ -22,6 +22,7 @@ from lifeline.operators.identity import (
     key_filter,
     merge_first_touch,
 )
+from lifeline.operators.numbering import number_rows
 from lifeline.session import reliable_checkpoint
 from lifeline.sources.inputs import Inputs
 
@@ -70,21 +71,25 @@ def events_with_identity(
     cfg: SyncConfig,
     identity_state: DataFrame | None = None,
     state_through: str | None = None,
+    numbered: bool = False,
 ) -> DataFrame:
     """Day events of users known to analytics, named and routed; keeps the
     raw ``event_type`` (the payload order uses it as the last tie-break).
+    ``numbered`` adds each event's place among its user's (``_rn``); identity is
+    one row per user, so the places hold after the join.
 
     Only the day's users are looked up: a bitmap of their keys is broadcast
     ahead of the identity aggregate (see ``key_filter``).  The
-    day's distinct rows are checkpointed, so the event fact is scanned once;
-    keys, their count and the join read the checkpoint.
+    day's distinct rows are checkpointed (in order, if they are numbered), so
+    the event fact is scanned once; keys, their count and the join read the checkpoint.
     """
-    day = reliable_checkpoint(day_events(inputs, cfg))
+    day = day_events(inputs, cfg).withColumn("event_custom_type", event_custom_type(F.col("event_type")))
+    day = payload.number_user_events(day) if numbered else reliable_checkpoint(day)
     ident = day_identity(inputs, cfg, day.select("user_id"), identity_state, state_through)
     r = route_columns(F.col("app_id"), cfg)
     return day.join(ident, "user_id", "inner").select(
         "user_id",
-        event_custom_type(F.col("event_type")).alias("event_custom_type"),
+        "event_custom_type",
         "date_of_change",
         "client_id",
         "app_id",
@@ -92,6 +97,7 @@ def events_with_identity(
         "subscription_id",
         "offer_type",
         "event_type",
+        *(["_rn"] if numbered else []),
     )
 
 
@@ -99,8 +105,17 @@ def event_rows(inputs: Inputs, cfg: SyncConfig) -> DataFrame:
     return events_with_identity(inputs, cfg).select(*EVENT_ROW_COLUMNS)
 
 
+def event_rows_in_order(inputs: Inputs, cfg: SyncConfig) -> DataFrame:
+    """The event rows with ``pos``, their place when sorted by user, the last
+    first, and then by all other columns; without gaps over the whole result."""
+    rest = [F.col(c).asc_nulls_first() for c in EVENT_ROW_COLUMNS if c != "user_id"]
+    rows = events_with_identity(inputs, cfg)
+    order = [F.col("user_id").desc_nulls_last(), *rest, F.col("event_type").asc_nulls_first()]
+    return number_rows(rows, order, "pos").select(*EVENT_ROW_COLUMNS, "pos")
+
+
 def event_lists(inputs: Inputs, cfg: SyncConfig) -> DataFrame:
-    return payload.user_event_lists(events_with_identity(inputs, cfg), cfg)
+    return payload.user_event_lists(events_with_identity(inputs, cfg, numbered=True), cfg)
 
 
 def event_payloads(
@@ -109,7 +124,7 @@ def event_payloads(
     identity_state: DataFrame | None = None,
     state_through: str | None = None,
 ) -> DataFrame:
-    return payload.event_payloads(events_with_identity(inputs, cfg, identity_state, state_through), cfg)
+    return payload.event_payloads(events_with_identity(inputs, cfg, identity_state, state_through, numbered=True), cfg)
 
 
 def event_bucketed(inputs: Inputs, cfg: SyncConfig) -> DataFrame:

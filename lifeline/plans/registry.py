@@ -221,7 +221,7 @@ def q_events_identity_join(spark, sf_dir):
 
 
 def q_events_of_day_sorted(spark, sf_dir):
-    return events_job.event_rows(_inputs(spark, sf_dir), CFG).orderBy(F.col("user_id").desc())
+    return events_job.event_rows_in_order(_inputs(spark, sf_dir), CFG).orderBy("pos")
 
 
 def q_user_events_window(spark, sf_dir):
@@ -436,7 +436,10 @@ FROM wire_state"""
         "events_identity_join": f"""{W} SELECT user_id, event_custom_type, date_of_change, client_id, app_id, mp_url,
             subscription_id, offer_type FROM events_ident""",
         "events_of_day_sorted": f"""{W} SELECT user_id, event_custom_type, date_of_change, client_id, app_id, mp_url,
-            subscription_id, offer_type FROM events_ident ORDER BY user_id DESC""",
+            subscription_id, offer_type, row_number() OVER (ORDER BY user_id DESC NULLS LAST, event_custom_type NULLS FIRST,
+              date_of_change NULLS FIRST, client_id NULLS FIRST, app_id NULLS FIRST, mp_url NULLS FIRST,
+              subscription_id NULLS FIRST, offer_type NULLS FIRST, event_type NULLS FIRST) AS pos
+            FROM events_ident ORDER BY pos""",
         "user_events_window": f"""{W} SELECT user_id, chunk, CAST(len(events) AS BIGINT) AS n_events,
             CAST(to_json(events) AS VARCHAR) AS events_json FROM ev_lists""",
         "payload_events_chunked": f"{oracle.ctes(SMALL_CHUNKS)} SELECT app_id, user_id, chunk, n_events, payload_json FROM payload_events",

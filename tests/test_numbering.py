@@ -1,0 +1,51 @@
+"""Numbers over all rows, and within groups of any size, against a plain sort."""
+
+import random
+
+import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+from test_plans import plan
+
+from lifeline.config import SyncConfig
+from lifeline.operators.numbering import number_in_groups, number_rows
+from lifeline.plans import events_job
+from lifeline.sources.inputs import load_testdata
+from folders import SF_SMALL
+
+
+@pytest.mark.parametrize("n", [0, 1, 7, 900])
+def test_positions_without_gaps(spark, n):
+    rng = random.Random(n)
+    rows = [(rng.choice([None, "hot", *"abcdef"]), k) for k in range(n)]
+    frame = spark.createDataFrame(rows, "u string, k int").repartition(4)
+    got = number_rows(frame, [F.col("u").desc_nulls_last(), F.col("k").asc()], "pos").collect()
+    want = sorted(rows, key=lambda r: ([-ord(c) for c in r[0] or ""] + [1], r[1]) if r[0] else ([9], r[1]))
+    assert sorted(r["pos"] for r in got) == list(range(1, n + 1))
+    assert [(r["u"], r["k"]) for r in sorted(got, key=lambda r: r["pos"])] == want
+
+
+def test_positions_equal_a_window(spark):
+    frame = spark.range(3_000).select((F.col("id") * 7919 % 101).alias("a"), "id").repartition(5)
+    order = [F.col("a").desc(), F.col("id").asc()]
+    want = frame.withColumn("pos", F.row_number().over(Window.orderBy(*order)).cast("long"))
+    assert number_rows(frame, order, "pos").exceptAll(want).count() == 0
+
+
+def test_only_offsets_meet_in_one_task(spark):
+    """The numbered rows are a checkpoint; what a single task sees is a row a partition."""
+    shown = plan(number_rows(spark.range(100).toDF("id"), [F.col("id").desc()], "pos"))
+    assert "SinglePartition" in shown and "BroadcastHashJoin" in shown
+    assert shown.index("Scan ExistingRDD") < shown.index("SinglePartition")
+
+
+def test_event_lists_are_numbered_once(spark):
+    """Payloads come from numbered day events: one checkpoint, no numbering after the identity join."""
+    cfg = SyncConfig()
+    assert "row_number" not in plan(events_job.event_payloads(load_testdata(spark, SF_SMALL), cfg))
+    one = events_job.events_with_identity(load_testdata(spark, SF_SMALL), cfg, numbered=True)
+    plain = number_in_groups(
+        events_job.events_with_identity(load_testdata(spark, SF_SMALL), cfg), "user_id",
+        ["event_custom_type", "subscription_id", "offer_type", "event_type"], "_rn",
+    )
+    assert one.select(plain.columns).exceptAll(plain).count() == 0
