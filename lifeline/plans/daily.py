@@ -28,6 +28,7 @@ from lifeline.operators.identity import (
     write_day_states,
     write_state,
 )
+from lifeline.operators.identity_store import IdentityStore
 from lifeline.plans import events_job, state_job
 from lifeline.sources.inputs import Inputs
 from lifeline.sources.shards import changed_shards
@@ -136,6 +137,7 @@ def run_events_sync(
     state_through: str | None = None,
     new_identity_state_path: str | None = None,
     resume: bool = False,
+    identity_store: IdentityStore | None = None,
 ) -> SyncResult:
     """Yesterday's subscription events -> event payload batches -> delivery.
 
@@ -144,7 +146,15 @@ def run_events_sync(
     ``new_identity_state_path`` the complete shards through yesterday are
     folded into a new state version first (the run then reads today's
     shard only), and so are earlier shards that changed since the stored
-    version was made: a minimum of minima takes late events in."""
+    version was made: a minimum of minima takes late events in.
+
+    An ``identity_store`` takes the place of both: it is updated through
+    yesterday, which writes a delta only, and looked up by bucket."""
+    if identity_store is not None:
+        identity_store.update(inputs.analytics, cfg.shard(cfg.yesterday_local))
+        payloads = events_job.event_payloads(inputs, cfg, identity_store)
+        batches = batching.batches(batching.assign_buckets(payloads, cfg))
+        return _ship(spark, batches, payload.EVENT_PAYLOAD_SCHEMA, cfg, out_dir, "events", transport, resume)
     state = spark.read.parquet(identity_state_path) if identity_state_path else None
     if new_identity_state_path:
         through = cfg.shard(cfg.yesterday_local)

@@ -22,6 +22,7 @@ from lifeline.operators.identity import (
     key_filter,
     merge_first_touch,
 )
+from lifeline.operators.identity_store import IdentityStore
 from lifeline.operators.numbering import number_rows
 from lifeline.session import reliable_checkpoint
 from lifeline.sources.inputs import Inputs
@@ -46,14 +47,15 @@ def day_identity(
     inputs: Inputs,
     cfg: SyncConfig,
     keys: DataFrame,
-    identity_state: DataFrame | None = None,
+    identity_state: DataFrame | IdentityStore | None = None,
     state_through: str | None = None,
     n_keys: int | None = None,
 ) -> DataFrame:
     """First-touch identity of ``keys``.  Without a stored state, over the
     configured shard scope (all history through today by default).  With
-    ``identity_state`` covering shards through ``state_through``, only the
-    later shards are read and merged into it (same result)."""
+    ``identity_state`` covering shards through ``state_through`` (an
+    ``IdentityStore`` knows its own), only the later shards are read and merged
+    into it (same result)."""
     if identity_state is None:
         return first_touch(
             inputs.analytics.between(*cfg.events_shard_range), cfg, keys=keys, n_keys=n_keys
@@ -61,7 +63,11 @@ def day_identity(
     if cfg.events_identity_days is not None:
         raise ValueError("a stored identity state covers all history")
     only_keys = key_filter(keys, cfg, n_keys)
-    state = only_keys(identity_state)
+    if isinstance(identity_state, IdentityStore):
+        state_through = identity_state.current().through
+        state = identity_state.lookup(keys.select("user_id").distinct())
+    else:
+        state = only_keys(identity_state)
     fresh = only_keys(inputs.analytics.between(state_through, cfg.shard(cfg.today_local), low_inclusive=False))
     return finalize_first_touch(merge_first_touch(state, first_touch_state(fresh)), cfg)
 
@@ -69,7 +75,7 @@ def day_identity(
 def events_with_identity(
     inputs: Inputs,
     cfg: SyncConfig,
-    identity_state: DataFrame | None = None,
+    identity_state: DataFrame | IdentityStore | None = None,
     state_through: str | None = None,
     numbered: bool = False,
 ) -> DataFrame:
@@ -121,7 +127,7 @@ def event_lists(inputs: Inputs, cfg: SyncConfig) -> DataFrame:
 def event_payloads(
     inputs: Inputs,
     cfg: SyncConfig,
-    identity_state: DataFrame | None = None,
+    identity_state: DataFrame | IdentityStore | None = None,
     state_through: str | None = None,
 ) -> DataFrame:
     return payload.event_payloads(events_with_identity(inputs, cfg, identity_state, state_through, numbered=True), cfg)

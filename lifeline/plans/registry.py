@@ -6,6 +6,7 @@ bindings, over whole tables.  Names follow the operator inventory.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import timedelta
@@ -20,7 +21,9 @@ from lifeline.functions.names import event_custom_type
 from lifeline.functions.routing import route_columns
 from lifeline.operators import batching, checks, delivery, payload, state
 from lifeline.operators.identity import first_touch
+from lifeline.operators.identity_store import IdentityStore
 from lifeline.plans import events_job, oracle, state_job
+from lifeline.session import checkpoint_dir
 from lifeline.sources.inputs import Inputs, load_testdata
 
 CFG = SyncConfig()
@@ -126,6 +129,16 @@ def q_identity_late_events(spark, sf_dir):
     return finalize_first_touch(merge_first_touch(older, first_touch_state(analytics.only(changed))), CFG)
 
 
+def q_events_identity_store(spark, sf_dir):
+    """Identity from a store that was created early and updated twice."""
+    inputs = _inputs(spark, sf_dir)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/identity-store-{uuid.uuid4().hex}"
+    store = IdentityStore.create(spark, path, inputs.analytics, STATE_THROUGH)
+    for through in ("20240122", "20240129"):
+        store.update(inputs.analytics, through)
+    return events_job.events_with_identity(inputs, CFG, store).select(*events_job.EVENT_ROW_COLUMNS)
+
+
 def _swc(spark, sf_dir, simplified):
     snap = state.exclude_test_users(_inputs(spark, sf_dir).snapshot, CFG)
     latest = state.latest_entry(snap.select(*state.SB_COLUMNS), CFG)
@@ -349,6 +362,7 @@ QUERIES: dict[str, Query] = {
     "subscription_state_kept": q_subscription_state_kept,
     "shard_fingerprints": q_shard_fingerprints,
     "identity_late_events": q_identity_late_events,
+    "events_identity_store": q_events_identity_store,
     "payload_events_chunked": q_payload_events_chunked,
     "subscription_state_past_day": q_subscription_state_past_day,
     "events_identity_past_day": q_events_identity_past_day,
@@ -414,6 +428,8 @@ FROM wire_state"""
         "shard_fingerprints": f"{W} SELECT suffix, count(*) AS n_rows, max(event_id) AS last_event_id FROM analytics "
         f"WHERE suffix <= '{cfg.events_shard_range[1]}' GROUP BY suffix",
         "identity_late_events": f"{W} SELECT * FROM ident_all",
+        "events_identity_store": f"""{W} SELECT user_id, event_custom_type, date_of_change, client_id, app_id, mp_url,
+            subscription_id, offer_type FROM events_ident""",
         "churn_rollup_incremental": f"{W} SELECT * FROM churn_all",
         "subscription_state_incremental": f"{W} SELECT * FROM state",
         "snapshot_with_churn": f"{W} SELECT {sb}, churn_type, churn_end_date FROM swc",
