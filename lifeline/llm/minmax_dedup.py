@@ -29,7 +29,7 @@ from collections import OrderedDict
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lifeline.llm.components import components
@@ -305,14 +305,35 @@ def _across(placed: DataFrame, classes: DataFrame, texts: DataFrame, width: int,
 
 
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one row of each group, same columns.  Of repeated rows
-    with the kept doc_id one stays; a doc_id goes if none of its rows is kept;
-    empty texts and null doc_ids all stay."""
-    judged = save(groups(docs, width, percent), "dedup-groups")
-    gone = save(judged.groupBy("doc_id").agg(F.max("kept").alias("kept")).where("not kept").select("doc_id"), "dedup-gone")
-    out = docs.join(maybe_broadcast(gone, gone.count()), "doc_id", "left_anti")
-    again = judged.where("kept and doc_id is not null and n_shingles > 0").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    if n := again.count():
-        mark = maybe_broadcast(again, n)
-        out = out.join(mark, "doc_id", "left_anti").union(out.join(mark, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
-    return out.select(docs.columns)
+    """``docs`` with one row of each group of near-duplicates, same columns.
+
+    A document is a doc_id and a text: rows that are equal in both fold into the
+    one whose columns, as JSON, sort first; different texts with the same doc_id
+    are documents of their own, and all stay if nothing links them.  Of a group
+    the smallest doc_id stays, where a repeated doc_id counts as itself for the
+    text with the smallest sha256 and as beyond all others for the rest.  Empty
+    texts and null doc_ids all stay.
+    """
+    ids = docs.groupBy(F.col("doc_id").cast("long").alias("__id")).agg(F.count(F.lit(1)).alias("n"))
+    repeated = save(ids.where("n > 1 and __id is not null").select("__id"), "dedup-repeated")
+    mark, name = maybe_broadcast(repeated, repeated.count()), F.col("doc_id").cast("long")
+    single, several = docs.join(mark, name == F.col("__id"), "left_anti"), docs.join(mark, name == F.col("__id"), "left_semi")
+
+    # of a repeated id all documents but one are numbered from beyond the other ids
+    said, first = F.sha2(F.coalesce(F.concat(F.lit("+"), "text"), F.lit("")).cast("binary"), 256), "__row"
+    in_order = Window.partitionBy("doc_id", said).orderBy(F.to_json(F.struct(*docs.columns)))
+    several = several.withColumn(first, F.row_number().over(in_order)).where(F.col(first) == 1).drop(first)
+    beyond = (docs.agg(F.max(name)).first()[0] or 0) + 1
+    keys = save(several.select(name.alias("__id"), said.alias("__said"), "text", F.monotonically_increasing_id().alias("__nth")), "dedup-keys")
+    least = keys.groupBy(F.col("__id").alias("__least_id")).agg(F.min("__said").alias("__least_said"))
+    keys = keys.join(least, (F.col("__id") == F.col("__least_id")) & (F.col("__said") == F.col("__least_said")), "left")
+    keys = keys.withColumn("__key", F.coalesce("__least_id", F.lit(beyond) + F.col("__nth")))
+
+    judged = save(
+        groups(single.select("doc_id", "text").unionByName(keys.select(F.col("__key").alias("doc_id"), "text")), width, percent), "dedup-groups"
+    )
+    gone = save(judged.where("not kept").select(F.col("doc_id").alias("__gone")), "dedup-gone")
+    mark = maybe_broadcast(gone, gone.count())
+    out = single.join(mark, name == F.col("__gone"), "left_anti").select(docs.columns)
+    lost = keys.join(gone, keys["__key"] == gone["__gone"], "left_semi").select("__id", "__said")
+    return out.unionByName(several.join(lost, (name == F.col("__id")) & (said == F.col("__said")), "left_anti").select(docs.columns))

@@ -76,3 +76,40 @@ def test_repeated_rows_keep_one(spark):
     text = "alpha beta gamma delta epsilon zeta eta theta"
     df = spark.createDataFrame([(5, text)] * 4 + [(6, text + " iota")] + [(9, "other words entirely here now")], "doc_id bigint, text string")
     assert sorted(r["doc_id"] for r in minmax_dedup.keep_one(df).collect()) == [5, 9]
+
+
+def test_unrelated_texts_of_one_id_all_stay(spark):
+    """Against plain Python: documents are (doc_id, text) pairs, one of each linked group stays."""
+    import random
+
+    import brute
+
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(4))
+    rows = []
+    for _ in range(25):
+        base = [word() for _ in range(60)]
+        for _ in range(rng.randint(1, 4)):
+            near = list(base)
+            for _ in range(rng.randint(0, 1)):
+                near[rng.randrange(60)] = word()
+            rows += [(rng.choice([5, 6, 7, rng.randint(10, 60)]), " ".join(near), rng.choice("xy"))] * rng.choice([1, 1, 3])
+    rows += [(5, "", "x"), (5, None, "x"), (5, "", "x"), (None, rows[0][1], "x"), (None, rows[0][1], "x")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, id string")
+    results = []
+    for parts in (1, 4):
+        kept = sorted(((r["doc_id"], r["text"], r["id"]) for r in minmax_dedup.keep_one(docs.repartition(parts)).collect()), key=repr)
+        results.append([(i, t) for i, t, _ in kept])
+        distinct = sorted({(i, t) for i, t, _ in rows if i is not None}, key=repr)
+        label = brute.near([(k, t) for k, (_, t) in enumerate(distinct)], 5, 80)
+        group = {d: label[k][1] for k, d in enumerate(distinct)}
+        said = [d for d in results[-1] if d[0] is not None]
+        assert len(said) == len(set(said)), "equal rows fold"
+        assert sorted(group[d] for d in said) == sorted(set(group.values())), "one of each group"
+        assert sum(i is None for i, _ in results[-1]) == 2
+    assert len({t for i, t in results[0] if i in (5, 6, 7)}) > 3
+
+
+def test_extra_columns_decide_in_a_stated_order(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f", c) for c in "zyx"] + [(1, "g h i j k l", "q")], "doc_id bigint, text string, source string")
+    assert sorted(tuple(r) for r in minmax_dedup.keep_one(docs.repartition(3)).collect()) == [(1, "a b c d e f", "x"), (1, "g h i j k l", "q")]
