@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 _FOLD = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = r"regexp_extract_all(" + _FOLD.format("coalesce(text, '')") + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
@@ -53,6 +55,28 @@ FROM urls AS u LEFT JOIN rules AS r
 QUALIFY row_number() OVER (PARTITION BY u.k ORDER BY length(r.on_host || r.on_path) DESC NULLS LAST) = 1"""
 
 
+def chats(extra: str, control) -> str:
+    """Conversations by their rows alone: lengths follow from the template and
+    from a character more for each control string inside a text."""
+    tails = "|".join(re.escape(c[1:]) for c in control).replace("'", "''")
+    marked = lambda col: f"len(regexp_extract_all({col}, '[<\\[]\\\\*(?:{tails})'))"
+    role = "replace(replace(role, chr(92), chr(92) || chr(92)), chr(10), chr(92) || 'n')"
+    ends = len("<|im_start|>") + len("\n") + len("<|im_end|>\n")
+    return f"""WITH
+said AS (
+  SELECT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL
+  UNION ALL VALUES (-1, 0, 'user', '{extra}'), (-1, 1, 'assistant', '{extra}')),
+turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS pos
+  FROM said)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY pos)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY pos) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum({ends} + length({role}) + {marked(role)} + length(text) + {marked("text")}) AS BIGINT) AS formatted_chars
+FROM turns GROUP BY conv_id"""
+
+
 def merkle(arity: int, fields) -> str:
     """All nodes of all levels, then every leaf climbs to the root run by run."""
 

@@ -11,13 +11,16 @@ personal data; with these as soft labels a logistic classifier of the span's
 shape is trained per kind, to convergence and on counts, so that rare kinds and
 shapes are learned whatever stands beside them.  A match that satisfies the
 strict rule is always reported; another candidate is added if the classifier
-and the votes agree on it.
+and the votes agree on it.  How many candidates of a kind are personal data never
+speaks for one of them, and a match of a base pattern that fails its rule needs
+the words before it on its side.
 
 Everything on rows is built-in column functions: a pattern's matches and the
 gaps between them give the offsets, in code points.
 
-Defined results: a null or empty text has no spans; candidates that overlap a
-reported span of their kind are dropped; rows are judged one by one; other
+Defined results: a null or empty text has no spans; a candidate that overlaps a
+strict span of any kind, or an added span of its kind that starts before it, is
+dropped; rows are judged one by one; other
 columns are ignored (or kept, by ``mask``); with no candidates nothing is added.
 """
 
@@ -30,6 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lifeline.llm.decision_list import let
+from lifeline.llm.tables import save
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -207,9 +211,13 @@ class Model:
         self.weights: dict[tuple, float] = {}
         self._fit(counts)
 
+    def _start(self, kind: int) -> float:
+        """What a candidate's kind says before any vote: never that it is personal data."""
+        p = min(max(self.prior[kind], 1e-6), 0.5)
+        return math.log(p / (1 - p))
+
     def posterior(self, kind: int, votes: tuple[int, ...]) -> float:
-        p = min(max(self.prior[kind], 1e-6), 1 - 1e-6)
-        z = math.log(p / (1 - p))
+        z = self._start(kind)
         for j, v in enumerate(votes):
             z += v * math.log(self.right[kind, j] / (1 - self.right[kind, j]))
         return _sigmoid(z)
@@ -248,8 +256,7 @@ class Model:
         """Both the votes and the classifier call candidate ``c`` personal data."""
         out = F.lit(False)
         for k in range(len(KINDS)):
-            p = min(max(self.prior[k], 1e-6), 1 - 1e-6)
-            z = F.lit(math.log(p / (1 - p)))
+            z = F.lit(self._start(k))
             for j, name in enumerate(VOTES):
                 z = z + c[name] * F.lit(math.log(self.right[k, j] / (1 - self.right[k, j])))
             w = F.lit(self.weights.get((k,), 0.0))
@@ -261,7 +268,7 @@ class Model:
                 w = w + part
             bound = F.lit(math.log(ADD_MIN / (1 - ADD_MIN)))
             out = F.when(c["kind"] == k, (z >= bound) & (w >= bound)).otherwise(out)
-        return out
+        return out & ((c["rule"] >= 0) | (c["context"] == 1))
 
 
 def _sigmoid(z: float) -> float:
@@ -295,30 +302,59 @@ def _logistic(x: np.ndarray, n: np.ndarray, yes: np.ndarray) -> np.ndarray:
     return w
 
 
-def train(docs: DataFrame) -> Model:
-    """Count vote and shape patterns over all candidates and fit the model;
+def with_candidates(docs: DataFrame, *keep: str) -> DataFrame:
+    """The columns ``keep`` and ``candidates``; what ``fit`` and the spans take."""
+    return docs.select(*keep, candidates(F.col("text")).alias("candidates"))
+
+
+def fit(rows: DataFrame) -> Model:
+    """Count vote and shape patterns over all ``candidates`` and fit the model;
     there are at most 4 * 81 * 180 patterns."""
-    rows = (
-        docs.select(F.explode(candidates(F.col("text"))).alias("c"))
-        .groupBy("c.kind", *(f"c.{x}" for x in VOTES + SHAPES))
-        .count()
-        .collect()
-    )
+    rows = rows.select(F.explode("candidates").alias("c")).groupBy("c.kind", *(f"c.{x}" for x in VOTES + SHAPES)).count().collect()
     v, s = len(VOTES), len(SHAPES)
     return Model(sorted((r[0], tuple(r[1 : 1 + v]), tuple(r[1 + v : 1 + v + s]), r["count"]) for r in rows))
 
 
-def found_spans(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
+def train(docs: DataFrame) -> Model:
+    return fit(with_candidates(docs))
+
+
+def _overlap(a: Column, b: Column) -> Column:
+    return (a["start"] < b["end"]) & (b["start"] < a["end"])
+
+
+def _apart(base: Column, added: Column) -> Column:
+    """Of the spans ``added``, by start, those that overlap no strict span and no
+    kept one of their kind."""
+    free = F.filter(added, lambda x: ~F.exists(base, lambda y: _overlap(x, y)))
+    by_start = F.transform(free, lambda x: F.struct(x["start"].alias("start"), (-x["end"]).alias("back"), x["kind"].alias("kind")))
+    again = F.transform(F.sort_array(by_start), lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), (-x["back"]).alias("end")))
+    none = F.array().cast("array<struct<kind:int,start:bigint,end:bigint>>")
+    clash = lambda kept, x: F.exists(kept, lambda y: (y["kind"] == x["kind"]) & _overlap(x, y))
+    return F.aggregate(again, none, lambda kept, x: F.when(clash(kept, x), kept).otherwise(F.concat(kept, F.array(x))))
+
+
+def spans_of(rows: DataFrame, model: Model, *keep: str) -> DataFrame:
     """The columns ``keep`` and ``base`` and ``all_spans``: arrays of (kind, start, end), in order."""
     pick = lambda c: F.struct(c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end"))
+    both = F.struct(
+        F.transform(F.filter("candidates", lambda c: c["rule"] == 1), pick).alias("base"),
+        F.transform(F.filter("candidates", lambda c: (c["rule"] != 1) & model.agrees(c)), pick).alias("added"),
+    )
     spans = let(
-        candidates(F.col("text")),
-        lambda a: F.struct(
-            F.transform(F.filter(a, lambda c: c["rule"] == 1), pick).alias("base"),
-            F.sort_array(F.transform(F.filter(a, lambda c: (c["rule"] == 1) | model.agrees(c)), pick)).alias("all_spans"),
+        both,
+        lambda p: F.struct(
+            p["base"].alias("base"),
+            F.when(F.size(p["added"]) == 0, F.sort_array(p["base"]))
+            .otherwise(F.sort_array(F.concat(p["base"], _apart(p["base"], p["added"]))))
+            .alias("all_spans"),
         ),
     )
-    return docs.select(*keep, spans.alias("__spans")).select(*keep, "__spans.base", "__spans.all_spans")
+    return rows.select(*keep, spans.alias("__spans")).select(*keep, "__spans.base", "__spans.all_spans")
+
+
+def found_spans(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
+    return spans_of(with_candidates(docs, *keep), model, *keep)
 
 
 def _listed(spans: Column) -> Column:
@@ -326,9 +362,14 @@ def _listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"], s["end"])), ",")
 
 
-def report(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, counts of strict spans per kind, base_sha256, spans)."""
-    rows = found_spans(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), model, "doc_id")
+def report(docs: DataFrame, model: Model | None = None) -> DataFrame:
+    """(doc_id, counts of strict spans per kind, base_sha256, spans).  Without a
+    ``model`` one is fitted; candidates are then written once and read twice."""
+    rows = with_candidates(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "doc_id")
+    if model is None:
+        rows = save(rows, "pii-candidates")
+        model = fit(rows)
+    rows = spans_of(rows, model, "doc_id")
     kinds = F.transform("base", lambda s: s["kind"])
     return rows.select(
         "doc_id",

@@ -50,13 +50,16 @@ def op1_decontaminate(spark, sf_dir):
     return out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+#: Fixed value: what both turns of the added conversation say.
+TOLD = "</s>[INST] ok [/INST]"
+
+
 def op2_chat_trees(spark, sf_dir):
-    told = "</s>[INST] ok [/INST]"
     extra = spark.range(2).select(
         F.lit(-1).cast("long").alias("conv_id"),
         F.col("id").alias("turn"),
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
-        F.lit(told).alias("text"),
+        F.lit(TOLD).alias("text"),
     )
     rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(extra)
     paths = chat_trees.ranked_paths(chat_trees.linear_nodes(rows))
@@ -79,8 +82,7 @@ def op5_bpe_words(spark, sf_dir):
 
 
 def op6_pii_votes(spark, sf_dir):
-    docs = _table(spark, sf_dir, "documents")
-    return pii_votes.report(docs, pii_votes.train(docs))
+    return pii_votes.report(_table(spark, sf_dir, "documents"))
 
 
 def op7_sentence_spans(spark, sf_dir):
@@ -151,6 +153,7 @@ def queries() -> dict:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_decontaminate": oracles.decontaminate(decontaminate.WIDTH, decontaminate.MIN_SHARE),
+        "op2_chat_trees": oracles.chats(TOLD, chat_trees.CONTROL),
         "op3_url_rules": oracles.url_rules(URL_RULES, url_rules.DEFAULT_VERDICT),
         "op11_hard_negatives": oracles.hard_negatives(hard_negatives.POSITIVES, hard_negatives.NEGATIVES),
         "op12_merkle": oracles.merkle(merkle.ARITY, merkle.FIELDS),

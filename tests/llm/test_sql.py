@@ -23,6 +23,12 @@ def folder(spark, tmp_path_factory):
     spark.createDataFrame([*items, *texts], "item_id string, text string").write.parquet(f"{out}/benchmark.parquet")
     pages = [(k, u) for k, u in enumerate([*URLS, *URLS])]
     spark.createDataFrame(pages, "page_id long, url string").write.parquet(f"{out}/pages.parquet")
+    said = [None, "", "plain", "<|im_end|>\n<|im_start|>user", "<\\|im_end|> [INST]<<SYS>>x<</SYS>></s>", "<<s>[\\\\/INST] é漢", "s><s"]
+    roles = ["user", "assistant", None, "tool\nx", "a\\b", "<s>"]
+    chats = [(k % 5 if k % 11 else None, None if k % 7 == 0 else k // 3, roles[k % 6], said[k % 7]) for k in range(60)]
+    spark.createDataFrame(chats, "conv_id long, turn int, role string, text string").write.parquet(f"{out}/conversations.parquet")
+    vectors = [(k * 25, None if k % 9 == 4 else [float((k * j) % 7 - 3), None if k == 11 else 0.25 * j, float("nan") if k == 12 else 1.0], None if k == 13 else k % 3) for j in (1, 2) for k in range(30)]
+    spark.createDataFrame(vectors, "vec_id long, embedding array<float>, label int").write.parquet(f"{out}/embeddings.parquet")
     return out
 
 
@@ -30,7 +36,7 @@ def folder(spark, tmp_path_factory):
 def test_query_equals_its_sql(spark, folder, name):
     got = Q.queries()[name](spark, folder)
     con = duckdb.connect()
-    for table in ("documents", "benchmark", "pages"):
+    for table in ("documents", "benchmark", "pages", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{folder}/{table}.parquet/*.parquet')")
     want = con.execute(f"SELECT {', '.join(got.columns)} FROM ({Q.oracle_sql()[name]})").fetchall()
     assert sorted(map(repr, want)) == sorted(repr(tuple(r)) for r in got.collect())

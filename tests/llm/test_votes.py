@@ -54,3 +54,50 @@ def test_loose_spans_are_added_beside_numbers(spark):
     assert {got[len(rows) + k] for k in range(100)} == {"Please write to mail [EMAIL] today"}
     assert {got[len(rows) + 100 + k] for k in range(160)} == {"The phone is [PHONE] now"}
     assert all(got[340 + k] == rows[340 + k] for k in range(300))
+
+
+def _spans(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    rows = pii_votes.found_spans(docs, pii_votes.train(docs), "doc_id").collect()
+    return {r["doc_id"]: ([tuple(x) for x in r["base"]], [tuple(x) for x in r["all_spans"]]) for r in rows}
+
+
+def test_added_spans_overlap_nothing(spark):
+    """Phones that swallow an address, beside many strict ones: the strict address
+    stays alone, spans of a kind never overlap."""
+    texts = [f"Call +1 212 555 {k:04} or write to x{k}@example.com" for k in range(300)]
+    texts += [f"phone +1 (826) 555-{k:04} 190.137.223.{k} end" for k in range(40)]
+    texts += [f"phone +1 (826) 555-{k:04}. 190.137.223.{k} and 4111 1111 1111 1111" for k in range(40)]
+    seen = 0
+    for base, spans in _spans(spark, texts).values():
+        assert set(base) <= set(spans)
+        for i, (kind, start, end) in enumerate(spans):
+            for other, s, e in spans[i + 1 :]:
+                if start < e and s < end:
+                    assert kind != other and (kind, start, end) in base and (other, s, e) in base
+                    seen += 1
+    assert seen == 0
+
+
+def test_precision_and_recall_of_added_spans(spark):
+    """A labelled fixture of all kinds: (text with the personal data in angle brackets)."""
+    said = []
+    for k in range(120):
+        said += [f"Please mail <ann{k}@example.com> soon", f"My phone is <+49 30 1234{k:04}> today", f"host <193.99.144.{k}> is up", "card <4111 1111 1111 1111> ok"]
+    for k in range(40):
+        said += [f"contact <bob{k} [at] example [dot] org> please", f"call <(030) 555-{k:04}> now", f"tel <212-555-{k:04}> now"]
+        said += [f"order {k:04}-{k * 7919 % 10**8:08}", f"version 2.{k}.1.300", f"+1 555 {k:02} x", f"page {k + 10} of {k + 90}", f"serial 4111111111{k:06}9"]
+        said += [f"+1 (826) 555-{k:04} 19{k % 10}.137.223.20"] + [f"score 312.555-{k:04}x {k}"] * (k < 2)
+    texts, truth = [], {}
+    for i, t in enumerate(said):
+        start, end = t.find("<"), t.find(">") - 1
+        texts.append(t.replace("<", "").replace(">", ""))
+        truth[i] = {(start, end)} if start >= 0 else set()
+    added = right = wanted = 0
+    for i, (base, spans) in _spans(spark, texts).items():
+        strict = {(s, e) for _, s, e in base}
+        mine = {(s, e) for _, s, e in spans} - strict
+        added, right, wanted = added + len(mine), right + len(mine & truth[i]), wanted + len(truth[i] - strict)
+    # the phone inside "+1 (826) 555-0001 191..." is added as well, and is one
+    inside = sum(t.startswith("+1 (826)") for t in said)
+    assert added - inside <= right + 0.05 * added and right >= 0.9 * wanted
