@@ -39,6 +39,10 @@ MAX_CONDITIONS = 4
 MAX_RULES = 12
 MIN_PRECISION = 0.95
 MIN_COVERED = 5
+#: Rows of neither kind that pruning adds to those a rule covers.
+DOUBT = 20
+#: Rules that are tried for each that may be taken.
+TRIES = 2
 
 _SEPARATORS = r"[\x20\x09-\x0D]+"
 _BLANKS = " \t\n\x0b\x0c\r"
@@ -198,13 +202,20 @@ def _grow(rows: list, grid: dict[str, list[float]]) -> Rule:
 
 
 def _prune(rule: Rule, rows: list) -> Rule:
-    """The prefix of the rule with the best balance of bad over good rows."""
+    """The rule without the conditions that don't earn their place: the one
+    whose loss hurts the balance of bad over good rows least goes, while none is
+    lost by it.  A rule that covers few rows counts for less than its balance says."""
 
     def worth(r: Rule) -> float:
         bad, good = _count(_covered(r, rows))
-        return (bad - good) / (bad + good) if bad + good else -1.0
+        return (bad - good) / (bad + good + DOUBT)
 
-    return max((rule[:k] for k in range(1, len(rule) + 1)), key=lambda r: (worth(r), -len(r)))
+    while len(rule) > 1:
+        best = max((rule[:k] + rule[k + 1 :] for k in range(len(rule))), key=worth)
+        if worth(best) < worth(rule):
+            break
+        rule = best
+    return rule
 
 
 def learn(rows: list[tuple[dict[str, float], int]]) -> list[Rule]:
@@ -215,17 +226,17 @@ def learn(rows: list[tuple[dict[str, float], int]]) -> list[Rule]:
         grid[name] = sorted({values[len(values) * k // THRESHOLDS] for k in range(1, THRESHOLDS)}) if values else []
     grow, prune = [r for k, r in enumerate(rows) if k % 3], rows[::3]
     rules: list[Rule] = []
-    while len(rules) < MAX_RULES:
-        rule = _grow(grow, grid)
+    for _ in range(TRIES * MAX_RULES):
+        rule = _grow(grow, grid) if len(rules) < MAX_RULES else ()
         if not rule:
             break
         rule = _prune(rule, prune)
         bad, good = _count(_covered(rule, prune))
-        if bad < MIN_COVERED or bad < MIN_PRECISION * (bad + good):
-            break
-        rules.append(rule)
+        # a weak rule is not taken, but its rows don't hide the next one
         grow = [r for r in grow if not all(c.holds(r[0]) for c in rule)]
-        prune = [r for r in prune if not all(c.holds(r[0]) for c in rule)]
+        if bad >= MIN_COVERED and bad >= MIN_PRECISION * (bad + good):
+            rules.append(rule)
+            prune = [r for r in prune if not all(c.holds(r[0]) for c in rule)]
     return rules
 
 
