@@ -23,6 +23,7 @@ from lifeline.operators import batching, checks, delivery, payload, state
 from lifeline.operators.identity import first_touch
 from lifeline.operators.identity_store import IdentityStore
 from lifeline.plans import events_job, oracle, state_job
+from lifeline.plans.views import register_views
 from lifeline.session import checkpoint_dir
 from lifeline.sources.inputs import Inputs, load_testdata
 
@@ -129,6 +130,16 @@ def q_identity_late_events(spark, sf_dir):
     return finalize_first_touch(merge_first_touch(older, first_touch_state(analytics.only(changed))), CFG)
 
 
+def q_views_events_of_state_users(spark, sf_dir):
+    """SQL over the registered views: yesterday's events of users with a state."""
+    register_views(spark, _inputs(spark, sf_dir), CFG)
+    return spark.sql(
+        """SELECT e.event_type, count(DISTINCT e.user_id) AS n_users, count(*) AS n_events
+           FROM lifeline_day_events e LEFT SEMI JOIN lifeline_state_rows s ON e.user_id = s.hashed_user_id
+           GROUP BY e.event_type"""
+    )
+
+
 def q_events_identity_store(spark, sf_dir):
     """Identity from a store that was created early and updated twice."""
     inputs = _inputs(spark, sf_dir)
@@ -363,6 +374,7 @@ QUERIES: dict[str, Query] = {
     "shard_fingerprints": q_shard_fingerprints,
     "identity_late_events": q_identity_late_events,
     "events_identity_store": q_events_identity_store,
+    "views_events_of_state_users": q_views_events_of_state_users,
     "payload_events_chunked": q_payload_events_chunked,
     "subscription_state_past_day": q_subscription_state_past_day,
     "events_identity_past_day": q_events_identity_past_day,
@@ -428,6 +440,8 @@ FROM wire_state"""
         "shard_fingerprints": f"{W} SELECT suffix, count(*) AS n_rows, max(event_id) AS last_event_id FROM analytics "
         f"WHERE suffix <= '{cfg.events_shard_range[1]}' GROUP BY suffix",
         "identity_late_events": f"{W} SELECT * FROM ident_all",
+        "views_events_of_state_users": f"""{W} SELECT event_type, count(DISTINCT user_id) AS n_users, count(*) AS n_events
+            FROM day_events WHERE user_id IN (SELECT hashed_user_id FROM state_ident) GROUP BY event_type""",
         "events_identity_store": f"""{W} SELECT user_id, event_custom_type, date_of_change, client_id, app_id, mp_url,
             subscription_id, offer_type FROM events_ident""",
         "churn_rollup_incremental": f"{W} SELECT * FROM churn_all",

@@ -1,5 +1,6 @@
 """The inputs and the lazy stages as temp views, for users who query with
-``spark.sql``.  Views are plans only: nothing runs when they are made.
+``spark.sql``.  Views are plans: when they are made, only the churn types are
+listed (a query fails if the snapshot has got others since; make them anew then).
 
     register_views(spark, inputs, cfg)
     spark.sql("SELECT subscription_status, count(*) FROM lifeline_subscription_state GROUP BY 1")
@@ -20,7 +21,7 @@ def register_views(
 ) -> list[str]:
     """Create or replace the temp views; returns their names.  Stages that
     need a sizing action first (identity key counts, batching) are left
-    out, so registering stays free."""
+    out, so registering stays cheap."""
     analytics = inputs.analytics.all().select(
         "event_id", "user_id", "user_pseudo_id", "event_timestamp",
         F.col("app_info.firebase_app_id").alias("firebase_app_id"), "suffix",

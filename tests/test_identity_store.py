@@ -44,7 +44,7 @@ def test_updates_equal_a_fold_of_all_shards(spark, tmp_path, analytics_path, mon
     users = want.select("user_id").where(F.crc32(F.col("user_id").cast("binary")) % 2 == 0)
     asked = users.union(spark.createDataFrame([("nobody",), (None,)], "user_id string"))
     assert _rows(store.lookup(asked)) == _rows(want.join(users, "user_id", "left_semi").select(want.columns))
-    assert not [t for t in spark.catalog.listTables() if t.name.startswith("lifeline_")]
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("lifeline_") and not t.isTemporary]
 
 
 def test_lookups_move_users_only(spark, tmp_path, analytics_path):
