@@ -2,8 +2,9 @@
 
 1. Documents are split by the vocabulary's pattern.  Each chunk of
    ``CHUNK_CHARS`` of text is coded by its own word list: a row per document
-   with word numbers, and the list itself in packs by the words' checksums,
-   written once, bucketed by chunk.
+   with word numbers, and the list itself in packs by the words' checksums (a
+   string each, so that a word's place tells its number), written once, bucketed
+   by chunk.
 2. Each distinct word of the corpus is encoded once, by Spark's higher-order
    functions: an ``aggregate`` holds the word's pieces (bytes in hexadecimal)
    and the ranks of neighbouring pairs; each step merges the leftmost pair of
@@ -33,6 +34,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -52,6 +54,10 @@ PACKS_PER_TASK, PACKS_AT_ONCE = 16, 64
 SLICE_DOCS = 256
 #: Bytes of the longest word that is folded.
 LONG_WORD = 256
+#: Stands between the words of a pack; a word that holds it is alone.
+SEPARATOR = "\x01"
+#: Packs that are none: of a word alone, and of the numbers by pack.
+ALONE, RENUMBERED = -1, -2
 #: Small maps of the rank literal, a power of two.
 RANK_MAPS = 1 << 14
 #: Bits of a pair's place beside its rank.
@@ -130,13 +136,16 @@ class _Numbers(dict):
 
 
 def _code(pattern: str, chunk_chars: int, n_packs: int):
-    """Rows of documents (doc_id, codes) and of packs of their chunk's words (pack, numbers, words)."""
-    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.string())]
+    """Rows of documents (doc_id, codes), of packs of their chunk's words (pack,
+    first, words), of words alone (pack ``ALONE``), and of the numbers by pack that the
+    codes' numbers become (pack ``RENUMBERED``)."""
+    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.string()]
 
     def rows(*columns):
+        n = max(len(c) for c in columns if c is not None)
         return pa.RecordBatch.from_arrays(
-            [c if isinstance(c, pa.Array) else pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-            names=["chunk", "doc_id", "codes", "pack", "numbers", "words"],
+            [c if isinstance(c, pa.Array) else pa.nulls(n, k) if c is None else pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+            names=["chunk", "doc_id", "codes", "pack", "first", "words"],
         )
 
     def run(batches):
@@ -147,15 +156,23 @@ def _code(pattern: str, chunk_chars: int, n_packs: int):
             return [part << 32 | seq] * n
 
         def packs():
-            words = list(numbers)
-            pack_of = np.fromiter((zlib.crc32(w.encode()) % n_packs for w in words), dtype=np.int32, count=len(words))
+            """Words are numbered anew, pack by pack, so a word's place tells its number."""
+            words, said = list(numbers), [w.encode() for w in numbers]
+            alone = np.array([len(b) > LONG_WORD or SEPARATOR in w for w, b in zip(words, said, strict=True)])
+            pack_of = np.where(alone, ALONE, np.array([zlib.crc32(b) % n_packs for b in said], dtype=np.int32))
             order = np.argsort(pack_of, kind="stable")
-            ends = np.flatnonzero(np.diff(pack_of[order], append=-1)) + 1
-            runs = [order[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+            number = np.empty(len(words), dtype=np.uint32)
+            number[order] = np.arange(len(words))
+            yield rows(chunk(1), None, [pack(number)], [RENUMBERED], None, None)
+            n = int(alone.sum())
+            if n:
+                yield rows(chunk(n), None, None, [ALONE] * n, range(n), [words[k] for k in order[:n]])
+            ends = np.flatnonzero(np.diff(pack_of[order[n:]], append=-1)) + 1 + n
+            runs = [(a, order[a:b]) for a, b in zip([n, *ends[:-1]], ends, strict=True) if b > a]
             for at in range(0, len(runs), PACKS_AT_ONCE):
                 some = runs[at : at + PACKS_AT_ONCE]
-                n = len(some)
-                yield rows(chunk(n), [None] * n, [None] * n, [pack_of[r[0]] for r in some], some, [[words[k] for k in r] for r in some])
+                texts = [SEPARATOR.join([words[k] for k in r]) for _, r in some]
+                yield rows(chunk(len(some)), None, None, [pack_of[r[0]] for _, r in some], [a for a, _ in some], texts)
 
         for b in batches:
             for at in range(0, b.num_rows, SLICE_DOCS):
@@ -165,8 +182,7 @@ def _code(pattern: str, chunk_chars: int, n_packs: int):
                     words = split(text)
                     size += len(text or "")
                     codes.append(pack(np.fromiter(map(numbers.__getitem__, words), dtype=np.uint32, count=len(words))))
-                n = len(codes)
-                yield rows(chunk(n), part_of.column("doc_id"), codes, [None] * n, [None] * n, [None] * n)
+                yield rows(chunk(len(codes)), part_of.column("doc_id"), codes, None, None, None)
                 if size >= chunk_chars:
                     yield from packs()
                     seq, size, numbers = seq + 1, 0, _Numbers()
@@ -177,11 +193,10 @@ def _code(pattern: str, chunk_chars: int, n_packs: int):
 
 
 def coded_documents(docs: DataFrame, pattern: str, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
-    """(chunk, doc_id, codes) rows of documents and (chunk, pack, numbers, words)
-    rows of word lists, written once, bucketed by chunk."""
+    """The rows of ``_code``, written once, bucketed by chunk."""
     n_packs = PACKS_PER_TASK * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    fields = "chunk bigint, doc_id bigint, codes binary, pack int, numbers array<int>, words array<string>"
+    fields = "chunk bigint, doc_id bigint, codes binary, pack int, first int, words string"
     return save_bucketed(docs.mapInArrow(_code(pattern, chunk_chars, n_packs), fields), "byte-bpe-coded", "chunk")
 
 
@@ -264,17 +279,19 @@ def id_width(ranks: dict[bytes, int]) -> int:
 
 
 def encode_listed(packs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """(of_chunk, number, ids) of the words of all packs (chunk, pack, numbers,
-    words); ids are big-endian, of ``id_width`` bytes.  Rows of a word meet in one
+    """(of_chunk, number, ids) of the words of all packs (chunk, pack, first,
+    words) and of those alone; ids are big-endian, of ``id_width`` bytes.  Rows of a word meet in one
     sorted run, whose first row encodes it for all."""
     ranks = read_ranks(path)
     width, kind = id_width(ranks), f">u{id_width(ranks)}"
     n = int(packs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    listed = packs.repartition(n, "pack").select(F.col("chunk").alias("of_chunk"), "pack", F.inline(F.arrays_zip("numbers", "words")).alias("number", "word"))
+    shared = packs.where(F.col("pack") >= 0).repartition(n, "pack")
+    listed = shared.select(F.col("chunk").alias("of_chunk"), "pack", "first", F.posexplode(F.split("words", SEPARATOR)).alias("place", "word"))
+    listed = listed.select("of_chunk", "pack", (F.col("first") + F.col("place")).alias("number"), "word")
     run = Window.partitionBy("pack", "word").orderBy("of_chunk", "number")
     folded = _let(rank_literal(ranks), lambda maps: fold_merges(maps, F.col("word")))
     packed = F.unhex(F.array_join(F.transform(folded, lambda i: F.lpad(F.hex(i), 2 * width, "0")), ""))
-    rows = listed.where(F.octet_length("word") <= LONG_WORD).withColumn("nth", F.row_number().over(run))
+    rows = listed.withColumn("nth", F.row_number().over(run))
     rows = rows.withColumn("own", F.when(F.col("nth") == 1, packed))
     so_far = run.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     short = rows.select("of_chunk", "number", F.first("own", ignorenulls=True).over(so_far).alias("ids"))
@@ -287,9 +304,8 @@ def encode_listed(packs: DataFrame, path: str, pattern: str) -> DataFrame:
             ids = [np.array(encode(w), dtype=kind).tobytes() for w in b.column("word").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("of_chunk"), b.column("number"), pa.array(ids, pa.binary())], names=["of_chunk", "number", "ids"])
 
-    unpacked = packs.select(F.col("chunk").alias("of_chunk"), F.inline(F.arrays_zip("numbers", "words")).alias("number", "word"))
-    long = unpacked.where(F.octet_length("word") > LONG_WORD).mapInArrow(by_library, "of_chunk bigint, number int, ids binary")
-    return short.unionByName(long)
+    alone = packs.where(F.col("pack") == ALONE).select(F.col("chunk").alias("of_chunk"), F.col("first").alias("number"), F.col("words").alias("word"))
+    return short.unionByName(alone.mapInArrow(by_library, "of_chunk bigint, number int, ids binary"))
 
 
 def _assemble(docs: DataFrame, path: str, pattern: str, chunk_chars: int, fields: str, emit) -> DataFrame:
@@ -297,8 +313,8 @@ def _assemble(docs: DataFrame, path: str, pattern: str, chunk_chars: int, fields
     the id arrays of a chunk's words and gives a function from the word numbers of
     a document to its values of ``fields``."""
     coded = coded_documents(docs, pattern, chunk_chars)
-    ids = encode_listed(coded.where("words is not null").select("chunk", "pack", "numbers", "words"), path, pattern)
-    rows = coded.where("codes is not null").select("chunk", "doc_id", "codes")
+    ids = encode_listed(coded.where("words is not null").select("chunk", "pack", "first", "words"), path, pattern)
+    rows = coded.where("codes is not null").select("chunk", "doc_id", "codes", "pack")
     kind, names = f">u{id_width(read_ranks(path))}", [f.split()[0] for f in fields.split(", ")]
     kinds = {"bigint": pa.int64(), "string": pa.string(), "array<int>": pa.list_(pa.int32())}
     schema = pa.schema([("doc_id", pa.int64()), *((f.split()[0], kinds[f.split()[1]]) for f in fields.split(", "))])
@@ -307,10 +323,13 @@ def _assemble(docs: DataFrame, path: str, pattern: str, chunk_chars: int, fields
         order = np.argsort(right.column("number").to_numpy())
         packed = right.column("ids").to_pylist()
         values = emit([np.frombuffer(packed[k], dtype=kind).astype(np.int32) for k in order])
-        out = []
+        is_doc = left.column("pack").is_null()
+        renumbered = left.filter(pc.invert(is_doc)).column("codes").to_pylist()
+        number = unpack(renumbered[0]) if renumbered else np.empty(0, dtype=np.uint32)
+        left, out = left.filter(is_doc), []
         for at in range(0, left.num_rows, SLICE_DOCS):
             part = left.slice(at, SLICE_DOCS)
-            columns = zip(*(values(unpack(codes)) for codes in part.column("codes").to_pylist()), strict=True)
+            columns = zip(*(values(number[unpack(codes)]) for codes in part.column("codes").to_pylist()), strict=True)
             arrays = [pa.array(c, schema.field(n).type) for n, c in zip(names, columns, strict=True)]
             out.append(pa.Table.from_arrays([part.column("doc_id").combine_chunks(), *arrays], schema=schema))
         return pa.concat_tables(out) if out else schema.empty_table()
