@@ -22,7 +22,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lifeline.llm.pretokens import Splitter
-from lifeline.llm.tables import scratch_path
+from lifeline.llm.tables import save_bucketed
 
 #: Characters of text that share a word list; bounds what a task holds.
 CHUNK_CHARS = 32 << 20
@@ -149,18 +148,8 @@ def _coded(chunk, doc_id, codes, first, words) -> pa.RecordBatch:
 
 def coded_documents(docs: DataFrame, path: str, chunk_chars: int) -> DataFrame:
     """The coded rows, written once to shared storage, bucketed by chunk."""
-    spark = docs.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    name = f"coded_{uuid.uuid4().hex}"
-    (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        .mapInArrow(_code(path, chunk_chars), _CODED)
-        .write.bucketBy(n, "chunk")
-        .option("compression", "zstd")
-        .option("path", scratch_path(spark, "bpe-coded"))
-        .saveAsTable(name)
-    )
-    return spark.table(name)
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return save_bucketed(docs.mapInArrow(_code(path, chunk_chars), _CODED), "bpe-coded", "chunk")
 
 
 def encoded_words(coded: DataFrame, path: str) -> DataFrame:
