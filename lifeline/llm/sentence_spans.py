@@ -6,9 +6,10 @@ than ``LONG_WORDS`` words is cut further at words picked by their own hash
 are cut alike wherever they stand.  From every piece starts a span, the
 shortest run of at least ``MIN_SENTENCES`` pieces and ``MIN_WORDS`` words, and
 at every piece ends one, so that spans cover a repeated run to its last piece.
-Spans are hashed and joined over the whole corpus; the first document (by
-doc_id) that holds a span keeps it, and pieces covered by a span that is
-not the first are removed.  No piece of a long sentence has more than 12 words,
+Spans are hashed and joined over the whole corpus; the first row that holds a
+span keeps it, and pieces covered by a span that is not the first are removed.
+Rows are in order of doc_id; those whose doc_id is null or stands in several rows
+come after all others.  No piece of a long sentence has more than 12 words,
 so a repeated passage, wherever it stands, loses at most 12 words at each end to
 its neighbours; all whole pieces between go if they are a span, which they
 always are from 44 words on.
@@ -18,9 +19,9 @@ shuffle; what a document loses comes back grouped by document, which is
 bounded by its length.
 
 Defined results: a null text stays null and an empty one empty; a span
-repeated inside one document stays once; rows with a null doc_id and rows that
-share a doc_id are not compared with each other; all rows and other columns
-are kept, and a document that is a copy as a whole becomes empty.
+repeated inside one document stays once; of equal rows one keeps its text; all
+rows and other columns are kept, and a document that is a copy as a whole becomes
+empty.  A span is known by 64 bits of hash.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lifeline.llm.tables import save
+from lifeline.llm.tables import maybe_broadcast, save
 
 MIN_SENTENCES = 2
 MIN_WORDS = 20
@@ -168,16 +169,48 @@ def taken_spans(docs: DataFrame) -> DataFrame:
 
 #: Names that the cleaning adds to the columns of the documents.
 ADDED = ("n_sentences", "n_removed", "n_words_removed", "first_docs")
-_TAKEN, _FIRST = "__taken_spans", "__first_docs"
+_TAKEN, _FIRST, _KEY = "__taken_spans", "__first_docs", "__row_key"
+
+
+def _numbered(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """The rows whose doc_id is theirs alone, and the others (if there are any)
+    with ``__key``, a number beyond all doc_ids; those are written once."""
+    name = F.col("doc_id").cast("long")
+    counts = docs.groupBy(name.alias("__id")).agg(F.count(F.lit(1)).alias("n"))
+    shared = save(counts.where("n > 1 or __id is null").select("__id"), "spans-shared-ids")
+    n = shared.count()
+    if not n:
+        return docs, None
+    mark = maybe_broadcast(shared, n)
+    beyond = (docs.agg(F.max(name)).first()[0] or 0) + 1
+    several = docs.join(mark, name.eqNullSafe(F.col("__id")), "left_semi").withColumn(_KEY, F.lit(beyond) + F.monotonically_increasing_id())
+    return docs.join(mark, name.eqNullSafe(F.col("__id")), "left_anti"), save(several, "spans-shared-rows")
+
+
+def _with_taken(docs: DataFrame, taken: DataFrame, key: F.Column) -> DataFrame:
+    return docs.join(taken, key == F.col("__id"), "left").drop("__id", _KEY)
 
 
 def clean(docs: DataFrame) -> DataFrame:
     """``docs`` with cleaned texts and the columns of ``ADDED``, which replace
     columns of the same names."""
     base = docs.drop(*ADDED)
-    taken = taken_spans(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    single, several = _numbered(base)
+    rows = single.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    if several is not None:
+        rows = rows.unionByName(several.select(F.col(_KEY).alias("doc_id"), "text"))
+    taken = taken_spans(rows)
     taken = taken.select(F.col("doc_id").alias("__id"), F.col("spans").alias(_TAKEN), F.col("first_docs").alias(_FIRST))
-    joined = base.join(taken, base.doc_id == F.col("__id"), "left").drop("__id")
+    joined = _with_taken(single, taken, F.col("doc_id").cast("long"))
+    if several is not None:
+        # first rows are named by their doc_id, null ones left out
+        names = several.select(F.col(_KEY).alias("__first"), F.col("doc_id").cast("long").alias("__name"))
+        taken = save(taken, "spans-taken")
+        firsts = taken.select("__id", F.explode(_FIRST).alias("__first")).join(names, "__first", "left")
+        own = F.when(F.col("__first") < F.lit(several.agg(F.min(_KEY)).first()[0]), F.col("__first")).otherwise(F.col("__name"))
+        firsts = firsts.groupBy("__id").agg(F.sort_array(F.collect_set(own)).alias(_FIRST))
+        taken = taken.drop(_FIRST).join(firsts, "__id")
+        joined = _with_taken(single, taken, F.col("doc_id").cast("long")).unionByName(_with_taken(several, taken, F.col(_KEY)))
     schema = T.StructType([
         *base.schema.fields,
         *(T.StructField(c, T.LongType()) for c in ADDED[:3]),
