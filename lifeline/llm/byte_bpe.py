@@ -6,10 +6,10 @@
    string each, so that a word's place tells its number), written once, bucketed
    by chunk.
 2. Each distinct word of the corpus is encoded once, by Spark's higher-order
-   functions: an ``aggregate`` holds the word's pieces (bytes in hexadecimal)
-   and the ranks of neighbouring pairs; each step merges the leftmost pair of
-   the lowest rank.  The ranks are one literal in the plan: small maps, found
-   by the checksum of a piece.  The packs are shuffled whole, and the first row
+   functions: an ``aggregate`` holds the word's pieces, a long each (what the piece
+   and the next one merge to, its place, its number); each step merges the
+   leftmost pair of the lowest rank.  The ranks are one literal in the plan, with
+   a table of the pairs that merge.  The packs are shuffled whole, and the first row
    of each word's run computes the ids for all of them.
 3. The ids go back to their chunks and are joined to the documents by word
    number and position; the coded rows do not move.
@@ -60,8 +60,15 @@ SEPARATOR = "\x01"
 ALONE, RENUMBERED = -1, -2
 #: Small maps of the rank literal, a power of two.
 RANK_MAPS = 1 << 14
-#: Bits of a pair's place beside its rank.
-_PLACE_BITS = 16
+#: Bits of a piece's place, and of its number, in an item of a fold.
+_PLACE_BITS, _NUMBER_BITS = 16, 21
+#: In place of the number that two pieces merge to: they don't.
+_NONE = 1 << _NUMBER_BITS
+#: A pair's key is ``_MIX`` times the left number, and the right one; bits from
+#: ``_HIGH`` on are its high ones.
+_MIX, _HIGH = 1_999_993, 18
+#: Bound of the shifts in the table of pairs.
+MOST_SHIFT = 1 << 10
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -201,28 +208,92 @@ def coded_documents(docs: DataFrame, pattern: str, chunk_chars: int = CHUNK_CHAR
 
 
 def _let(value: Column, body) -> Column:
-    """``body(value)``, with ``value`` computed once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+    """``body(value)``, with ``value`` computed once.  An element of a ``transform``
+    would do too, but its type is worked out anew for each row."""
+    return F.aggregate(F.array(), value, lambda value, _: value, body)
+
+
+def _numbers(ranks: dict[bytes, int]) -> dict[bytes, int]:
+    """Numbers of pieces inside a fold: from 1 in the order of ranks, above all those of bytes without a rank."""
+    bare = [bytes([b]) for b in range(256) if bytes([b]) not in ranks]
+    return {piece: n for n, piece in enumerate([*sorted(ranks, key=ranks.__getitem__), *bare], 1)}
+
+
+def _slots(entries: dict[int, int]) -> tuple[list[int], list[int]]:
+    """A table of twice as many slots, in which a key's entry is at slot
+    (low bits of the key) + (shift of its low and high bits).  Free slots hold 0."""
+    bits = max(1, len(entries)).bit_length() + 1
+    while True:
+        n, together = 1 << bits, {}
+        for key in entries:
+            together.setdefault((key ^ key >> _HIGH) & (n // 4 - 1), []).append(key)
+        slots, shifts = [0] * (n + MOST_SHIFT), [0] * (n // 4)
+        for at, keys in sorted(together.items(), key=lambda x: -len(x[1])):
+            places = {key & (n - 1) for key in keys}
+            shift = next((d for d in range(MOST_SHIFT) if not any(slots[p + d] for p in places)), None)
+            if shift is None or len(places) < len(keys):
+                break
+            shifts[at] = shift
+            for key in keys:
+                slots[(key & (n - 1)) + shift] = entries[key]
+        else:
+            return slots, shifts
+        bits += 1
 
 
 def rank_literal(ranks: dict[bytes, int]) -> Column:
-    """Ranks by hexadecimal piece, in ``RANK_MAPS`` maps."""
+    """What folds look up, as one literal: ``whole`` (ranks by hexadecimal piece,
+    in ``RANK_MAPS`` maps), ``bytes`` (numbers of the 256 bytes), ``ranks`` by
+    number, and the table of pairs, whose entries are a pair's key and the number
+    of its merge."""
     maps: list[dict[str, int]] = [{} for _ in range(RANK_MAPS)]
     for piece, rank in ranks.items():
         name = piece.hex().upper()
         maps[zlib.crc32(name.encode()) & (RANK_MAPS - 1)][name] = rank
-    return F.from_json(F.lit(json.dumps(maps)), "array<map<string,bigint>>")
+    numbers = _numbers(ranks)
+    if len(numbers) >= _MIX:
+        raise ValueError(f"a vocabulary of {_MIX} pieces or more")
+    pairs: dict[int, int] = {}
+    for piece in ranks:
+        for k in range(1, len(piece)):
+            left, right = numbers.get(piece[:k]), numbers.get(piece[k:])
+            if left and right:
+                key = left * _MIX + right
+                pairs[key] = key << _NUMBER_BITS | numbers[piece]
+    slots, shifts = _slots(pairs)
+    values = {
+        "whole": (maps, "array<map<string,bigint>>"),
+        "bytes": ([numbers[bytes([b])] for b in range(256)], "array<bigint>"),
+        "ranks": (sorted(ranks.values()), "array<bigint>"),
+        "slots": (slots, "array<bigint>"),
+        "shifts": (shifts, "array<bigint>"),
+        "slot_mask": (4 * len(shifts) - 1, "bigint"),
+        "shift_mask": (len(shifts) - 1, "bigint"),
+    }
+    said = json.dumps({name: value for name, (value, _) in values.items()}, separators=(",", ":"))
+    return F.from_json(F.lit(said), ", ".join(f"{name} {kind}" for name, (_, kind) in values.items()))
 
 
 def _rank(maps: Column, piece: Column) -> Column:
-    """The rank of a piece, null if it has none."""
+    """The rank of a hexadecimal piece, null if it has none."""
     at = F.crc32(piece.cast("binary")).bitwiseAND(RANK_MAPS - 1)
-    return F.try_element_at(F.get(maps, at.cast("int")), piece)
+    return F.try_element_at(F.get(maps["whole"], at.cast("int")), piece)
+
+
+def _merged(maps: Column, left: Column, right: Column) -> Column:
+    """The number that two neighbouring pieces merge to; ``_NONE`` if they don't."""
 
+    def found(key: Column) -> Column:
+        shift = F.get(maps["shifts"], key.bitwiseXOR(F.shiftright(key, _HIGH)).bitwiseAND(maps["shift_mask"]).cast("int"))
+        entry = F.get(maps["slots"], (key.bitwiseAND(maps["slot_mask"]) + shift).cast("int"))
+        # an entry of the same key leaves the number alone, any other more than _NONE
+        return F.least(entry.bitwiseXOR(F.shiftleft(key, _NUMBER_BITS)), F.lit(_NONE))
 
-def _lowest(ranks: Column) -> Column:
-    """The lowest rank, and its leftmost place in the lowest bits; null if no pair has one."""
-    return F.array_min(F.transform(ranks, lambda rank, place: F.shiftleft(rank, _PLACE_BITS).bitwiseOR(place.cast("long"))))
+    return _let(left * _MIX + right, found)
+
+
+def _number(item: Column) -> Column:
+    return item.bitwiseAND(_NONE - 1)
 
 
 def _joined(*arrays: Column) -> Column:
@@ -230,47 +301,55 @@ def _joined(*arrays: Column) -> Column:
     return F.flatten(F.array(*arrays))
 
 
-def _state(pieces: Column, ranks: Column) -> Column:
-    return F.struct(pieces.alias("pieces"), ranks.alias("ranks"), _lowest(ranks).alias("low"))
+def _merge(maps: Column, items: Column) -> Column:
+    """The items after the next merge.  An item is a piece: from the highest bits
+    what it and the next piece merge to, the place of its first byte, its own
+    number.  So the least item is the left piece of the next merge.  The first and
+    the last item stand for no piece."""
+    high = _NUMBER_BITS + _PLACE_BITS
+    places = (1 << high) - _NONE
 
+    def item(left: Column, right: Column, of: Column) -> Column:
+        return F.shiftleft(_merged(maps, left, right), high).bitwiseOR(of)
 
-def _merge(maps: Column, state: Column) -> Column:
-    """The state after its next merge.  ``ranks`` has a place before each piece
-    and one after the last, so place ``at`` is the pair of pieces at - 1 and at."""
-    pieces, ranks = state["pieces"], state["ranks"]
+    def least(low: Column) -> Column:
+        def from_place(place: Column) -> Column:
+            at = F.size(F.filter(items, lambda x: x.bitwiseAND(places) <= place))
+            return _let(at, lambda at: merge(at, place))
 
-    def at_place(at: Column) -> Column:
-        merged = F.concat(F.get(pieces, at - 1), F.get(pieces, at))
-        return _let(
-            merged,
-            lambda new: _state(
-                _joined(F.slice(pieces, F.lit(1), at - 1), F.array(new), F.slice(pieces, at + 2, F.size(pieces))),
-                _joined(
-                    F.slice(ranks, F.lit(1), at - 1),
-                    F.array(_rank(maps, F.concat(F.get(pieces, at - 2), new)), _rank(maps, F.concat(new, F.get(pieces, at + 1)))),
-                    F.slice(ranks, at + 3, F.size(ranks)),
-                ),
-            ),
-        )
+        def merge(at: Column, place: Column) -> Column:
+            new, before, after = F.shiftright(low, high), F.get(items, at - 2), F.get(items, at + 1)
+            changed = F.array(
+                item(_number(before), new, before.bitwiseAND((1 << high) - 1)),
+                item(new, _number(after), place.bitwiseOR(new)),
+            )
+            return _joined(F.slice(items, F.lit(1), at - 2), changed, F.slice(items, at + 2, F.size(items)))
 
-    place = state["low"].bitwiseAND((1 << _PLACE_BITS) - 1).cast("int")
-    return F.when(state["low"].isNull(), state).otherwise(_let(place, at_place))
+        return F.when(low >= _NONE << high, items).otherwise(_let(low.bitwiseAND(places), from_place))
+
+    return _let(F.array_min(items), least)
 
 
 def fold_merges(maps: Column, word: Column) -> Column:
     """Ids of a word of at least one byte, as an array of int."""
-    name = F.hex(F.encode(word, "UTF-8"))
-    letters = F.transform(F.sequence(F.lit(0), F.octet_length(word) - 1), lambda k: F.substr(name, 2 * k + 1, F.lit(2)))
-
-    def folded(pieces: Column) -> Column:
-        ranks = F.transform(F.sequence(F.lit(0), F.size(pieces)), lambda k: _rank(maps, F.concat(F.get(pieces, k - 1), F.get(pieces, k))))
-        steps = F.slice(pieces, F.lit(1), F.size(pieces) - 1)
-        return F.aggregate(steps, _state(pieces, ranks), lambda state, _: _merge(maps, state), lambda state: state["pieces"])
-
-    whole = _rank(maps, name).cast("int")  # a word that is a piece is not merged from bytes
-    return F.when(whole.isNotNull(), F.array(whole)).otherwise(
-        F.transform(_let(letters, folded), lambda piece: _rank(maps, piece).cast("int"))
-    )
+    said, edge = F.encode(word, "UTF-8"), F.array(F.lit(0).cast("long"))
+    letters = F.split(F.decode(said, "ISO-8859-1"), "")  # a character here is a byte of the word
+    numbers = _joined(edge, F.transform(letters, lambda c: F.get(maps["bytes"], F.ascii(c))), edge)
+
+    def folded(numbers: Column) -> Column:
+        def item(number: Column, k: Column) -> Column:
+            merged = _merged(maps, number, F.coalesce(F.get(numbers, k + 1), F.lit(0)))
+            return F.shiftleft(F.shiftleft(merged, _PLACE_BITS).bitwiseOR(k.cast("long")), _NUMBER_BITS).bitwiseOR(number)
+
+        steps = F.slice(numbers, F.lit(3), F.size(numbers))
+        return F.aggregate(steps, F.transform(numbers, item), lambda items, _: _merge(maps, items))
+
+    def ids(items: Column) -> Column:
+        pieces = F.slice(items, F.lit(2), F.size(items) - 2)
+        return F.transform(pieces, lambda x: F.get(maps["ranks"], (_number(x) - 1).cast("int")).cast("int"))
+
+    whole = _rank(maps, F.hex(said)).cast("int")  # a word that is a piece is not merged from bytes
+    return F.when(whole.isNotNull(), F.array(whole)).otherwise(_let(_let(numbers, folded), ids))
 
 
 def id_width(ranks: dict[bytes, int]) -> int:

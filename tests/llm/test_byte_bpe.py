@@ -104,3 +104,33 @@ def test_words_are_folded_in_spark(spark):
     plan = spark.createDataFrame([("a",)], "word string").select(byte_bpe.fold_merges(byte_bpe.rank_literal({b"a": 1}), F.col("word")))
     shown = plan._jdf.queryExecution().toString()
     assert "aggregate(" in shown and "Python" not in shown and "Arrow" not in shown
+
+
+def test_a_merge_builds_no_strings(spark):
+    """A step works on numbers: strings of pieces made the fold too slow."""
+    words = spark.createDataFrame([("a",)], "word string")
+    fold = byte_bpe._let(byte_bpe.rank_literal({b"a": 1}), lambda maps: byte_bpe.fold_merges(maps, F.col("word")))
+    shown = words.select(fold)._jdf.queryExecution().optimizedPlan().toString()
+    assert "concat(" not in shown and "aggregate(" in shown
+
+
+def test_table_of_pairs():
+    """Every pair is found, by its own key alone, also in a table that has to grow."""
+    rng = random.Random(5)
+    near = [left * byte_bpe._MIX + right for left in range(1, 60) for right in range(1, 60)]
+    for keys in ([], near, [rng.randrange(1, byte_bpe._MIX**2) for _ in range(5_000)], [(k << 40) + 1 for k in range(1, 2)]):
+        entries = {key: key << byte_bpe._NUMBER_BITS | 1 + n for n, key in enumerate(keys)}
+        slots, shifts = byte_bpe._slots(entries)
+        assert sorted(filter(None, slots)) == sorted(entries.values())
+        n = 4 * len(shifts)
+        assert all(slots[(k & (n - 1)) + shifts[(k ^ k >> byte_bpe._HIGH) & (n // 4 - 1)]] == e for k, e in entries.items())
+
+
+def test_far_ranks_and_bytes_without_one(spark):
+    """Ranks need not follow each other; a byte without a rank merges but has no id."""
+    top = 2**31 - 9
+    ranks = {b"a": 3, b"b": 1, b"c": 2, b"ab": top + 1, b"bc": top, b"xa": 50, b"xab": 40, b"qqq": 7}
+    cases = {"abc": [3, top], "ab": [top + 1], "xabc": [40, 2], "xxa": [None, 50], "x": [None], "aé": [3, None, None], "xab": [40], "qqq": [7]}
+    fold = byte_bpe._let(byte_bpe.rank_literal(ranks), lambda maps: byte_bpe.fold_merges(maps, F.col("word")))
+    got = spark.createDataFrame([(w,) for w in cases], "word string").select("word", fold.alias("ids"))
+    assert {r["word"]: r["ids"] for r in got.collect()} == cases
